@@ -71,3 +71,78 @@ def prefix_before(small: DataFrame, order_cols: list[str], value_cols: list[str]
     for v in value_cols:
         out = out.withColumn(f"{v}_before", F.coalesce(F.sum(v).over(w), F.lit(0)))
     return out
+
+
+def bucketize(df: DataFrame, col: str, edges: list, out: str) -> DataFrame:
+    """Add ``out`` = order-preserving bucket of ``col`` (see ``bucket_of``).
+
+    Up to 255 edges use the code-generated CASE tree; more edges use
+    ``ml.feature.Bucketizer`` (JVM binary search over the split array).
+    """
+    if len(edges) <= 255:
+        return df.withColumn(out, bucket_of(F.col(col), edges))
+    from pyspark.ml.feature import Bucketizer
+    splits = [float("-inf")] + [float(e) for e in edges] + [float("inf")]
+    # keep strictly increasing after the double conversion
+    dedup = [splits[0]]
+    for s in splits[1:]:
+        if s > dedup[-1]:
+            dedup.append(s)
+    tmp = f"{out}__in"
+    b = Bucketizer(splits=dedup, inputCol=tmp, outputCol=out, handleInvalid="keep")
+    return b.transform(df.withColumn(tmp, F.col(col).cast("double"))) \
+        .withColumn(out, F.col(out).cast("int")).drop(tmp)
+
+
+def kth_smallest(df: DataFrame, key: str, k: int, n_rows: int | None = None,
+                 final_rows: int = 200_000, n_buckets: int = 256):
+    """Exact k-th smallest (1-based) value of a unique ``key`` column.
+
+    Each round buckets the remaining candidate interval by approximate
+    quantiles, counts rows per bucket (<= ``n_buckets`` rows come back), and
+    keeps the one bucket holding the answer; once at most ``final_rows``
+    candidates remain, a ``row_number`` over them picks the value.  Work per
+    round is one filtered pass; no round moves more than a bounded number of
+    rows into one task, however large or skewed the input.
+    """
+    c = F.col(key)
+    lo = hi = None   # candidate interval [lo, hi)
+    below = 0        # rows with key < lo
+    remaining = n_rows if n_rows is not None else df.count()
+    if not 1 <= k <= remaining:
+        raise ValueError(f"k={k} outside 1..{remaining}")
+
+    def cands():
+        out = df
+        if lo is not None:
+            out = out.filter(c >= F.lit(lo))
+        if hi is not None:
+            out = out.filter(c < F.lit(hi))
+        return out.select(key)
+
+    while remaining > final_rows:
+        sub = cands()
+        acc = max(10000, 20 * n_buckets)
+        edges = quantile_edges(sub, key, n_buckets, acc)
+        if not edges:
+            break
+        counts = {r["b"]: r["n"] for r in
+                  bucketize(sub, key, edges, "b").groupBy("b").count().collect()}
+        run = 0
+        target = k - below
+        for b in range(len(edges) + 1):
+            n_b = counts.get(b, 0)
+            if run + n_b >= target:
+                new_lo = edges[b - 1] if b > 0 else lo
+                new_hi = edges[b] if b < len(edges) else hi
+                break
+            run += n_b
+        if n_b >= remaining:  # no progress (duplicate keys): finish by window
+            break
+        below += run
+        lo, hi, remaining = new_lo, new_hi, n_b
+
+    w = Window.orderBy(c)
+    row = (cands().withColumn("_pos", F.row_number().over(w))
+           .filter(F.col("_pos") == k - below).select(key).first())
+    return row[0]

@@ -77,3 +77,98 @@ bouts AS (
 def with_ctes(body: str, *extra_ctes: str) -> str:
     ctes = [BOUTS_CTES.strip()] + [c.strip() for c in extra_ctes]
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+
+
+# --- fixture vocabularies and schema (what the SQL side states) -------------
+# FIXED VALUES: value sets of the TPC-H-style columns behind the fixture.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+BETTER_RANKS = ["Blue", "Red", "neither"]
+
+STANCES = sorted(f"{r}_vs_{b}" for r in SEGMENTS + ["Unknown"] for b in REGIONS + ["Unknown"])
+
+RAW_TYPES = {
+    "bout_id": "bigint", "Date": "date", "RedFighter": "string", "BlueFighter": "string",
+    "Winner": "string", "RedOdds": "double", "BlueOdds": "double",
+    "RedAvgSigStrPct": "double", "BlueAvgSigStrPct": "double",
+    "RedAvgTDPct": "double", "BlueAvgTDPct": "double",
+    "RedWinsByDecisionSplit": "bigint", "BlueWinsByDecisionSplit": "bigint",
+    "RedDraws": "bigint", "BlueDraws": "bigint",
+    "RMatchWCRank": "int", "BMatchWCRank": "int",
+    "RedStance": "string", "BlueStance": "string", "WeightClass": "string",
+    "Gender": "string", "BetterRank": "string", "TitleBout": "boolean",
+    "NumberOfRounds": "int", "EmptyArena": "int", "Finish": "string", "FinishRound": "bigint",
+}
+RAW_COLUMNS = list(RAW_TYPES)
+CLEAN_COLUMNS = [c for c in RAW_COLUMNS if c not in ("Finish", "FinishRound")]
+
+PAIRED = ["sig_str_pct_diff", "td_pct_diff", "odds_diff", "dec_split_wins_diff", "draws_diff"]
+RANKS = ["wc_rank_diff"]
+CONTEXT = ["TitleBout", "NumberOfRounds", "EmptyArena"]
+STANCE_COLS = [f"stance_{s}" for s in STANCES]
+WC_COLS = [f"wc_{v}" for v in PART_TYPES]
+BR_COLS = [f"better_rank_{v}" for v in BETTER_RANKS]
+FEATURES = PAIRED + RANKS + CONTEXT + STANCE_COLS + WC_COLS + BR_COLS + ["is_male"]
+FEATURE_TABLE = FEATURES + ["target", "RedFighter", "BlueFighter", "Date", "bout_id", "stance_matchup"]
+
+
+def q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def lit(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def _onehots(expr: str, prefix: str, values: list[str]) -> list[str]:
+    return [f"CASE WHEN {expr} = {lit(v)} THEN 1 ELSE 0 END AS {q(prefix + '_' + v)}" for v in values]
+
+
+CLEAN_CTE = 'clean AS (SELECT * EXCLUDE ("Finish", "FinishRound") FROM bouts)'
+
+FEAT_CTE = "feat AS (SELECT " + ",\n  ".join(
+    [
+        'coalesce("RedAvgSigStrPct" - "BlueAvgSigStrPct", 0) AS sig_str_pct_diff',
+        'coalesce("RedAvgTDPct" - "BlueAvgTDPct", 0) AS td_pct_diff',
+        'coalesce("RedOdds" - "BlueOdds", 0) AS odds_diff',
+        '"RedWinsByDecisionSplit" - "BlueWinsByDecisionSplit" AS dec_split_wins_diff',
+        '"RedDraws" - "BlueDraws" AS draws_diff',
+        'coalesce("RMatchWCRank", 99) - coalesce("BMatchWCRank", 99) AS wc_rank_diff',
+        'CAST("TitleBout" AS INTEGER) AS "TitleBout"',
+        '"NumberOfRounds"',
+        'coalesce("EmptyArena", 0) AS "EmptyArena"',
+    ]
+    + _onehots("sm", "stance", STANCES)
+    + _onehots('"WeightClass"', "wc", PART_TYPES)
+    + _onehots('"BetterRank"', "better_rank", BETTER_RANKS)
+    + [
+        "CASE WHEN \"Gender\" = 'MALE' THEN 1 ELSE 0 END AS is_male",
+        "CASE WHEN \"Winner\" = 'Red' THEN 1 ELSE 0 END AS target",
+        '"RedFighter"', '"BlueFighter"', '"Date"', "bout_id", "sm AS stance_matchup",
+    ]) + """
+  FROM (SELECT *, coalesce("RedStance", 'Unknown') || '_vs_' || coalesce("BlueStance", 'Unknown') AS sm
+        FROM clean))"""
+
+SPLIT_CTES = [
+    """ordered AS (SELECT *, row_number() OVER (ORDER BY "Date", bout_id) AS pos,
+                       count(*) OVER () AS n_all
+                FROM feat WHERE "Date" IS NOT NULL)""",
+    """split AS (SELECT * EXCLUDE (pos, n_all),
+                     CASE WHEN pos <= floor(n_all * 0.8) THEN 'train' ELSE 'test' END AS split
+              FROM ordered)""",
+    "tv AS (SELECT bout_id, split, target, " + ", ".join(
+        f"CAST(coalesce({q(c)}, 0) AS DOUBLE) AS {q(c)}" for c in FEATURES) + " FROM split)",
+    "train AS (SELECT * FROM tv WHERE split = 'train')",
+    "test AS (SELECT * FROM tv WHERE split = 'test')",
+    """rule AS (SELECT bout_id, target, odds_diff AS score,
+                    CAST(odds_diff > 0 AS INTEGER) AS prediction FROM test)""",
+]
+
+
+def feat_sql(body: str, *more: str) -> str:
+    return with_ctes(body, CLEAN_CTE, FEAT_CTE, *more)
+
+
+def split_sql(body: str, *more: str) -> str:
+    return with_ctes(body, CLEAN_CTE, FEAT_CTE, *SPLIT_CTES, *more)

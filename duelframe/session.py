@@ -29,6 +29,7 @@ def build_session(master: str | None = None, app: str = "duelframe",
         b = b.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
