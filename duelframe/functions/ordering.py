@@ -127,7 +127,8 @@ def kth_smallest(df: DataFrame, key: str, k: int, n_rows: int | None = None,
         if not edges:
             break
         counts = {r["b"]: r["n"] for r in
-                  bucketize(sub, key, edges, "b").groupBy("b").count().collect()}
+                  bucketize(sub, key, edges, "b").groupBy("b")
+                  .agg(F.count(F.lit(1)).alias("n")).collect()}
         run = 0
         target = k - below
         for b in range(len(edges) + 1):

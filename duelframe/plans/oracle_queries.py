@@ -69,7 +69,8 @@ def _feature_groups() -> str:
         nulls = " + ".join(f"count_if({q(c)} IS NULL)" for c in cols) or "0"
         nz = " + ".join(f"count_if({q(c)} <> 0)" for c in cols) or "0"
         parts.append(f"SELECT {lit(g)} AS feature_group, CAST({len(cols)} AS BIGINT) AS n_columns, "
-                     f"CAST({nulls} AS BIGINT) AS null_cells, CAST({nz} AS BIGINT) AS nonzero_cells FROM feat")
+                     f"CAST({nulls} AS BIGINT) AS null_cells, CAST({nz} AS BIGINT) AS nonzero_cells"
+                     + (" FROM feat" if cols else ""))
     return feat_sql("\nUNION ALL\n".join(parts))
 
 
