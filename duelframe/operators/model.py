@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from duelframe import config as C
 
 MAX_ITER = 1000
-TOL = 1e-10
+TOL = 1e-8
 
 
 def training_columns(columns: list[str]) -> list[str]:

@@ -25,6 +25,16 @@ from duelframe.plans.pipeline import ContestPipeline
 R = 9  # rounding of aggregate doubles in registered outputs
 
 
+def round_half_away(c):
+    """``R``-decimal rounding in double arithmetic: rint(x * 10^R) / 10^R.
+
+    Stays in generated code (``F.round`` on doubles goes through BigDecimal)
+    and is the same arithmetic the SQL oracle's ``round`` uses.
+    """
+    scale = float(10 ** R)
+    return F.rint(c * F.lit(scale)) / F.lit(scale)
+
+
 def fin(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
     """Dates -> text, booleans -> int, listed doubles rounded."""
     out = []
@@ -35,7 +45,7 @@ def fin(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
         elif t == "boolean":
             c = c.cast("int")
         elif name in rounded:
-            c = F.round(c, R)
+            c = round_half_away(c)
         out.append(c.alias(name))
     return df.select(*out)
 

@@ -59,8 +59,8 @@ class ContestPipeline:
                      lambda: normalize_raw(fixtures.bouts(self.spark, self.sf_dir)))
 
     def clean(self) -> DataFrame:
-        return stage(self.spark, "clean", self.sf_dir, TABLES,
-                     lambda: qa.drop_leakage(self.raw()))
+        # a projection of the raw stage: cheaper to recompute than to copy
+        return qa.drop_leakage(self.raw())
 
     # --- E2 -----------------------------------------------------------------
     def vocab(self) -> fe.Vocabulary:
@@ -70,8 +70,9 @@ class ContestPipeline:
         return self._m("spec", lambda: fe.feature_exprs(self.clean(), self.vocab())[1])
 
     def features(self) -> DataFrame:
-        return stage(self.spark, "features", self.sf_dir, TABLES,
-                     lambda: fe.feature_matrix(self.clean(), self.vocab())[0])
+        # one flat projection over the raw stage (see ``write_features`` for
+        # the partitioned feature-table sink)
+        return fe.feature_matrix(self.clean(), self.vocab())[0]
 
     # --- E3 -----------------------------------------------------------------
     def split_point(self) -> sp.SplitPoint:

@@ -17,6 +17,9 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # one-pass profiles aggregate hundreds of columns at once; the default
+    # (100 fields) would drop those plans out of whole-stage codegen
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 
