@@ -154,9 +154,13 @@ class FittedModel:
 
 def fit_logistic(train: DataFrame, feature_cols: list[str], scaler: Scaler | None = None,
                  balanced: bool = False, key: str = "bout_id",
-                 handle_invalid: str = "error") -> FittedModel:
-    """Fit [optional scaler] -> assembler -> L2 logistic regression."""
-    n_train = train.count()
+                 handle_invalid: str = "error", n_train: int | None = None) -> FittedModel:
+    """Fit [optional scaler] -> assembler -> L2 logistic regression.
+
+    ``n_train`` (rows of ``train``) sets ``regParam = 1/n``; it is counted
+    when not supplied.
+    """
+    n_train = n_train if n_train is not None else train.count()
     stages = []
     passthrough = [key, "split", "target"] + (["weight"] if balanced else [])
     inputs = feature_cols

@@ -34,9 +34,12 @@ _PIPELINES: dict = {}
 class ContestPipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, ratio: float = C.TRAIN_RATIO,
                  vocab: fe.Vocabulary | None = None, missing: str = "zero",
-                 odds_direction: int = 1):
+                 odds_direction: int = 1, vocab_on: str = "all"):
+        """``vocab_on``: 'all' discovers categories on the whole table (the
+        reference's behaviour), 'train' only on the rows before the cut."""
         self.spark, self.sf_dir, self.ratio = spark, sf_dir, ratio
         self._vocab, self.missing, self.odds_direction = vocab, missing, odds_direction
+        self.vocab_on = vocab_on
         self._memo: dict = {}
 
     @classmethod
@@ -64,7 +67,15 @@ class ContestPipeline:
 
     # --- E2 -----------------------------------------------------------------
     def vocab(self) -> fe.Vocabulary:
-        return self._m("vocab", lambda: self._vocab or fe.discover_vocabulary(self.clean()))
+        def discover():
+            if self._vocab is not None:
+                return self._vocab
+            src = self.clean()
+            if self.vocab_on == "train":
+                point = self.split_point()
+                src = src.filter(point.is_train(sp.as_date(src, "Date"), F.col("bout_id")))
+            return fe.discover_vocabulary(src)
+        return self._m("vocab", discover)
 
     def spec(self) -> fe.FeatureSpec:
         return self._m("spec", lambda: fe.feature_exprs(self.clean(), self.vocab())[1])
@@ -76,7 +87,9 @@ class ContestPipeline:
 
     # --- E3 -----------------------------------------------------------------
     def split_point(self) -> sp.SplitPoint:
-        return self._m("point", lambda: sp.time_split(self.features(), self.ratio)[1])
+        # only (Date, bout_id) matter, so the point comes from the cleaned rows
+        return self._m("point", lambda: sp.time_split(
+            self.clean().select("Date", "bout_id"), self.ratio)[1])
 
     def split(self) -> DataFrame:
         feats = self.features()
@@ -106,11 +119,13 @@ class ContestPipeline:
     def odds_model(self) -> mo.FittedModel | None:
         if "odds_diff" not in self.feature_cols():
             return None
-        return self._m("odds_model", lambda: mo.fit_logistic(self.train(), ["odds_diff"]))
+        return self._m("odds_model", lambda: mo.fit_logistic(
+            self.train(), ["odds_diff"], n_train=self.split_point().cut))
 
     def full_model(self) -> mo.FittedModel:
         return self._m("full_model", lambda: mo.fit_logistic(
-            self.train(), self.feature_cols(), scaler=self.scaler(), balanced=True))
+            self.train(), self.feature_cols(), scaler=self.scaler(), balanced=True,
+            n_train=self.split_point().cut))
 
     def odds_scored(self) -> DataFrame | None:
         m = self.odds_model()

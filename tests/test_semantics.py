@@ -272,3 +272,24 @@ def test_logistic_matches_reference_objective(spark):  # O73, O74, O75
     m2 = mo.fit_logistic(df, ["a"])
     beta2 = _newton(X[:, :1], y, np.ones(n))
     assert abs(m2.coefficients()[0] - beta2[0]) < 1e-6 and abs(m2.lr.intercept - beta2[1]) < 1e-6
+
+
+def test_vocabulary_fit_on_train_only(spark):  # Q8 option
+    from duelframe.plans.pipeline import ContestPipeline
+    from conftest import SF001
+    p_all = ContestPipeline(spark, SF001)
+    p_tr = ContestPipeline(spark, SF001, vocab_on="train")
+    assert set(p_tr.vocab().stance) <= set(p_all.vocab().stance)
+    assert p_tr.split_point() == p_all.split_point()
+
+
+def test_roc_auc_many_buckets_bucketizer_path(spark):
+    rnd = random.Random(21)
+    y = [rnd.randrange(2) for _ in range(3000)]
+    s = [round(rnd.gauss(a * 0.5, 1), 3) for a in y]
+    df = spark.createDataFrame(list(zip(y, s)), "target int, score double")
+    got = ev.roc_auc(df, rows_per_bucket=2).first().roc_auc   # > 1024 buckets
+    ys, ss = np.array(y), np.array(s)
+    pos, neg = ss[ys == 1], ss[ys == 0]
+    brute = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
+    assert abs(got - brute) < 1e-12
