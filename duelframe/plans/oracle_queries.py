@@ -214,7 +214,7 @@ def build() -> dict[str, str]:
         'SELECT "WeightClass" AS value, count(*) AS n FROM bouts WHERE "WeightClass" IS NOT NULL GROUP BY 1')
     s["yearly_trend"] = with_ctes(
         f"""SELECT CAST(year("Date") AS BIGINT) AS year, count("Winner") AS fights,
-                   count_if("Winner" = 'Red') AS red_wins,
+                   CAST(count_if("Winner" = 'Red') AS BIGINT) AS red_wins,
                    {rnd("100.0 * count_if(\"Winner\" = 'Red') / nullif(count(\"Winner\"), 0)")} AS red_pct
             FROM bouts GROUP BY 1""")
     s["date_range"] = with_ctes(
@@ -237,10 +237,10 @@ def build() -> dict[str, str]:
         'coalesce("RedAvgTDPct" - "BlueAvgTDPct", 0) AS td_pct_diff, '
         'coalesce("RedOdds" - "BlueOdds", 0) AS odds_diff, coalesce("EmptyArena", 0) AS "EmptyArena" FROM bouts')
     s["fill_counts"] = with_ctes(" UNION ALL ".join([
-        "SELECT 'sig_str_pct_diff' AS column_name, count_if((\"RedAvgSigStrPct\" - \"BlueAvgSigStrPct\") IS NULL) AS filled FROM bouts",
-        "SELECT 'td_pct_diff', count_if((\"RedAvgTDPct\" - \"BlueAvgTDPct\") IS NULL) FROM bouts",
-        "SELECT 'odds_diff', count_if((\"RedOdds\" - \"BlueOdds\") IS NULL) FROM bouts",
-        "SELECT 'EmptyArena', count_if(\"EmptyArena\" IS NULL) FROM bouts"]))
+        "SELECT 'sig_str_pct_diff' AS column_name, CAST(count_if((\"RedAvgSigStrPct\" - \"BlueAvgSigStrPct\") IS NULL) AS BIGINT) AS filled FROM bouts",
+        "SELECT 'td_pct_diff', CAST(count_if((\"RedAvgTDPct\" - \"BlueAvgTDPct\") IS NULL) AS BIGINT) FROM bouts",
+        "SELECT 'odds_diff', CAST(count_if((\"RedOdds\" - \"BlueOdds\") IS NULL) AS BIGINT) FROM bouts",
+        "SELECT 'EmptyArena', CAST(count_if(\"EmptyArena\" IS NULL) AS BIGINT) FROM bouts"]))
     s["rank_diffs"] = with_ctes(
         'SELECT bout_id, coalesce("RMatchWCRank", 99) - coalesce("BMatchWCRank", 99) AS wc_rank_diff FROM bouts')
     sm = "coalesce(\"RedStance\", 'Unknown') || '_vs_' || coalesce(\"BlueStance\", 'Unknown')"
@@ -277,7 +277,7 @@ def build() -> dict[str, str]:
         f"FROM (SELECT {_pair_corr(c, 'target', 'feat')} AS corr)"
         for c in corr_cols if c != "target"))
     s["date_quality"] = feat_sql(
-        'SELECT count(*) AS n_rows, count_if("Date" IS NULL) AS invalid_dates, count("Date") AS valid_dates, '
+        'SELECT count(*) AS n_rows, CAST(count_if("Date" IS NULL) AS BIGINT) AS invalid_dates, count("Date") AS valid_dates, '
         'CAST(min("Date") AS VARCHAR) AS first_date, CAST(max("Date") AS VARCHAR) AS last_date FROM feat')
     s["time_split"] = split_sql('SELECT bout_id, CAST("Date" AS VARCHAR) AS "Date", target, split FROM split')
     s["split_summary"] = split_sql(

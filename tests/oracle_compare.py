@@ -46,8 +46,23 @@ def rows_of(names, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows]
 
 
-def compare(spark_df, con, sql):
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+
+
+def type_mismatches(spark_df, con, sql):
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(c, t, duck_types.get(c)) for c, t in spark_df.dtypes
+            if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)]
+
+
+def compare(spark_df, con, sql, check_types=True):
     s_names = spark_df.columns
+    if check_types:
+        bad = type_mismatches(spark_df, con, sql)
+        if bad:
+            return [f"types differ: {bad[:5]}"]
     s_rows = [tuple(r) for r in spark_df.collect()]
     cur = con.execute(sql)
     d_names = [d[0] for d in cur.description]
