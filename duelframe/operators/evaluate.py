@@ -26,7 +26,8 @@ PROBE = 1024  # quantile ladder taken in the counting pass
 
 
 def roc_auc(scored: DataFrame, label: str = "target", score: str = "score",
-            rows_per_bucket: int = 500_000, max_buckets: int = 100_000) -> DataFrame:
+            rows_per_bucket: int = 500_000, max_buckets: int = 100_000,
+            pred: str | None = None, n_rows_hint: int | None = None) -> DataFrame:
     """Exact ROC-AUC; tied scores get half credit.
 
     AUC = sum over distinct scores s of pos(s) * (neg(<s) + neg(s)/2) / (P*N).
@@ -35,18 +36,28 @@ def roc_auc(scored: DataFrame, label: str = "target", score: str = "score",
     row), cut into quantile buckets sized ~``rows_per_bucket`` distinct
     scores, bucket offsets come from the (bounded) bucket totals, and the
     running sum inside each bucket is a window partitioned by bucket.
+
+    ``pred`` adds the accuracy of that prediction column, computed in the
+    same pass.  ``n_rows_hint`` (an upper bound on the rows) skips the
+    counting pass when the scores fit one bucket anyway.  Rows with a NULL
+    score or label are left out.
     """
     y = F.col(label).cast("bigint")
+    aggs = [F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")]
+    if pred is not None:
+        aggs.append(F.sum((F.col(pred) == F.col(label)).cast("bigint")).alias("_ok"))
     g = (scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-         .groupBy(F.col(score).alias("_s"))
-         .agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")))
-    # one pass: the number of distinct scores and a fixed ladder of quantile
-    # edges; a second pass with a finer ladder only beyond PROBE buckets
-    probe = [i / PROBE for i in range(1, PROBE)]
-    st = g.agg(F.count(F.lit(1)).alias("n"),
-               F.percentile_approx("_s", probe, 10 * PROBE).alias("q")).first()
-    n_distinct = int(st["n"])
-    buckets = min(max_buckets, max(1, math.ceil(n_distinct / rows_per_bucket)))
+         .groupBy(F.col(score).alias("_s")).agg(*aggs))
+    if n_rows_hint is not None and n_rows_hint <= rows_per_bucket:
+        buckets, st = 1, None
+    else:
+        # one pass: the number of distinct scores and a fixed ladder of
+        # quantile edges; a finer ladder needs a second pass beyond PROBE
+        probe = [i / PROBE for i in range(1, PROBE)]
+        st = g.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx("_s", probe, 10 * PROBE).alias("q")).first()
+        n_distinct = int(st["n"])
+        buckets = min(max_buckets, max(1, math.ceil(n_distinct / rows_per_bucket)))
     if buckets <= 1:
         edges = []
     elif buckets <= PROBE:
@@ -63,9 +74,12 @@ def roc_auc(scored: DataFrame, label: str = "target", score: str = "score",
              .withColumn("_below", F.col("_bneg_before") + F.coalesce(F.sum("_neg").over(w), F.lit(0))))
     pos, neg = F.sum("_pos"), F.sum("_neg")
     credit = F.sum(F.col("_pos").cast("double") * (F.col("_below").cast("double") + 0.5 * F.col("_neg")))
-    return below.agg(
-        F.try_divide(credit, pos.cast("double") * neg.cast("double")).alias("roc_auc"),
-        pos.cast("bigint").alias("n_pos"), neg.cast("bigint").alias("n_neg"))
+    out = [F.try_divide(credit, pos.cast("double") * neg.cast("double")).alias("roc_auc"),
+           pos.cast("bigint").alias("n_pos"), neg.cast("bigint").alias("n_neg")]
+    if pred is not None:
+        out.append(F.try_divide(F.sum("_ok").cast("double"), (pos + neg).cast("double"))
+                   .alias("accuracy"))
+    return below.agg(*out)
 
 
 def confusion_counts(scored: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
@@ -116,14 +130,17 @@ def classification_report(scored: DataFrame, label: str = "target", pred: str =
 
 
 def evaluation_row(scored: DataFrame, name: str, label: str = "target",
-                   pred: str = "prediction", score: str | None = "score") -> DataFrame:
-    """One row: model name, accuracy, ROC-AUC (NULL without a score)."""
-    acc = accuracy(scored, label, pred).select("accuracy")
+                   pred: str = "prediction", score: str | None = "score",
+                   n_rows_hint: int | None = None) -> DataFrame:
+    """One row: model name, accuracy, ROC-AUC (NULL without a score).
+
+    With a score, accuracy and AUC come from the same grouped pass.
+    """
     if score is None:
-        auc = scored.sparkSession.range(1).select(F.lit(None).cast("double").alias("roc_auc"))
-    else:
-        auc = roc_auc(scored, label, score).select("roc_auc")
-    return acc.crossJoin(auc).select(F.lit(name).alias("model"), "accuracy", "roc_auc")
+        return accuracy(scored, label, pred).select(
+            F.lit(name).alias("model"), "accuracy", F.lit(None).cast("double").alias("roc_auc"))
+    return roc_auc(scored, label, score, pred=pred, n_rows_hint=n_rows_hint).select(
+        F.lit(name).alias("model"), "accuracy", "roc_auc")
 
 
 def baseline_comparison(candidate: DataFrame, majority: DataFrame, odds: DataFrame | None) -> DataFrame:

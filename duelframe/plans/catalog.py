@@ -281,7 +281,8 @@ def eval_accuracy(s, d):
 
 
 def eval_roc_auc(s, d):
-    return fin(ev.roc_auc(P(s, d).rule_scored()), ("roc_auc",))
+    p = P(s, d)
+    return fin(ev.roc_auc(p.rule_scored(), n_rows_hint=p.n_test()), ("roc_auc",))
 
 
 def confusion_matrix(s, d):
@@ -298,14 +299,14 @@ def classification_report(s, d):
 def odds_baseline(s, d):
     p = P(s, d)
     m = p.odds_model()
-    row = ev.evaluation_row(p.odds_scored(), "Odds Only (LogReg)")
+    row = p.evaluate(p.odds_scored(), "Odds Only (LogReg)")
     return row.select("*", F.lit(m.coefficients()[0]).alias("coefficient"),
                       F.lit(float(m.lr.intercept)).alias("intercept"))
 
 
 def logreg_baseline(s, d):
     p = P(s, d)
-    return ev.evaluation_row(p.full_scored(), "Logistic Regression (Full)")
+    return p.evaluate(p.full_scored(), "Logistic Regression (Full)")
 
 
 def scored_bouts(s, d):

@@ -141,10 +141,18 @@ class ContestPipeline:
         return self.test().select("bout_id", "split", "target", s.alias("score"),
                                   (s > 0).cast("int").alias("prediction"))
 
+    def n_test(self) -> int:
+        point = self.split_point()
+        return point.n_rows - point.cut
+
+    def evaluate(self, scored: DataFrame, name: str) -> DataFrame:
+        """Accuracy and exact ROC-AUC of a scored test side (one pass)."""
+        return ev.evaluation_row(scored, name, n_rows_hint=self.n_test())
+
     def metric_rows(self) -> list[DataFrame]:
         rows = [self.majority().select("model", "accuracy",
                                        F.lit(None).cast("double").alias("roc_auc"))]
         if self.odds_model() is not None:
-            rows.append(ev.evaluation_row(self.odds_scored(), "Odds Only (LogReg)"))
-        rows.append(ev.evaluation_row(self.full_scored(), "Logistic Regression (Full)"))
+            rows.append(self.evaluate(self.odds_scored(), "Odds Only (LogReg)"))
+        rows.append(self.evaluate(self.full_scored(), "Logistic Regression (Full)"))
         return rows

@@ -31,14 +31,14 @@ def metrics_document(p) -> DataFrame:
         "accuracy", F.lit(None).cast("double").alias("roc_auc")).alias("b0"))
     odds_scored = p.odds_scored()
     if odds_scored is not None:
-        odds = ev.evaluation_row(odds_scored, "Odds Only (LogReg)").select(F.struct(
+        odds = p.evaluate(odds_scored, "Odds Only (LogReg)").select(F.struct(
             F.col("model").alias("name"), F.lit(None).cast("string").alias("majority_class"),
             "accuracy", "roc_auc").alias("b1"))
     else:
         odds = maj.sparkSession.range(1).select(F.lit(None).cast(
             "struct<name:string,majority_class:string,accuracy:double,roc_auc:double>").alias("b1"))
     scored = p.full_scored()
-    full = ev.evaluation_row(scored, "LogisticRegression")
+    full = p.evaluate(scored, "LogisticRegression")
     cm = ev.confusion_counts(scored).agg(F.array(*[
         F.array(*[F.max(F.when((F.col("actual") == a) & (F.col("predicted") == b), F.col("n")))
                   for b in (0, 1)]) for a in (0, 1)]).alias("confusion_matrix"))

@@ -293,3 +293,51 @@ def test_roc_auc_many_buckets_bucketizer_path(spark):
     pos, neg = ss[ys == 1], ss[ys == 0]
     brute = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
     assert abs(got - brute) < 1e-12
+
+
+def test_evaluation_row_single_pass_matches_parts(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(2), round(rnd.random(), 2)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "target int, score double") \
+        .withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    one = ev.evaluation_row(df, "m", n_rows_hint=500).first()
+    assert abs(one.accuracy - ev.accuracy(df).first().accuracy) < 1e-15
+    assert abs(one.roc_auc - _brute_auc([r[0] for r in rows], [r[1] for r in rows])) < 1e-12
+
+
+def test_time_split_hot_date_bounded_rounds(spark):
+    """A date holding 40% of all rows straddles the cut; the tiebreak search
+    must stay exact while never ordering more than 300 rows in one task."""
+    rnd = random.Random(9)
+    n = 20000
+    keys = rnd.sample(range(10**7), n)
+    hot = dt.date(2015, 6, 1)
+    rows = []
+    for i, k in enumerate(keys):
+        if i < 0.4 * n:
+            d = hot
+        elif i < 0.75 * n:
+            d = hot - dt.timedelta(days=1 + rnd.randrange(50))
+        else:
+            d = hot + dt.timedelta(days=1 + rnd.randrange(50))
+        rows.append((k, d, 0))
+    df = spark.createDataFrame(rows, "bout_id bigint, Date date, target int")
+    out, point = sp.time_split(df, 0.5, final_rows=300)
+    assert point.boundary_date == hot and point.key_threshold is not None
+    got = {r.bout_id: r.split for r in out.collect()}
+    assert got == _naive_split(rows, 0.5)
+
+
+def test_top_k_per_group_with_hot_group(spark):
+    from duelframe.functions.ordering import top_k_per_group
+    rnd = random.Random(13)
+    rows = [(i, "HOT" if i % 3 == 0 else f"g{i % 7}", round(rnd.uniform(-1000, 1000), 0))
+            for i in range(6000)]   # ties on the balance are broken by key
+    df = spark.createDataFrame(rows, "k bigint, grp string, bal double")
+    got = {(r.grp, r.rank): r.k for r in top_k_per_group(
+        df, ["grp"], [F.col("bal").desc(), F.col("k").asc()], 15).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "grp", "bal"]).sort_values(
+        ["grp", "bal", "k"], ascending=[True, False, True])
+    pdf["rank"] = pdf.groupby("grp").cumcount() + 1
+    want = {(g, r): k for g, r, k in pdf[pdf["rank"] <= 15][["grp", "rank", "k"]].itertuples(index=False)}
+    assert got == want
