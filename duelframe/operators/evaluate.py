@@ -67,11 +67,15 @@ def roc_auc(scored: DataFrame, label: str = "target", score: str = "score",
                         for i in range(1, buckets)} - {None})
     else:
         edges = quantile_edges(g, "_s", buckets, max(10000, 10 * buckets))
-    gb = bucketize(g, "_s", edges, "_b")
-    offsets = prefix_before(gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg")), ["_b"], ["_bneg"])
     w = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    below = (gb.join(F.broadcast(offsets.select("_b", "_bneg_before")), "_b")  # <= max_buckets rows
-             .withColumn("_below", F.col("_bneg_before") + F.coalesce(F.sum("_neg").over(w), F.lit(0))))
+    if edges:
+        gb = bucketize(g, "_s", edges, "_b")
+        offsets = prefix_before(gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg")), ["_b"], ["_bneg"])
+        start = gb.join(F.broadcast(offsets.select("_b", "_bneg_before")), "_b")  # <= max_buckets rows
+    else:  # one bucket (<= rows_per_bucket distinct scores): no offsets to add
+        start = g.withColumn("_b", F.lit(0)).withColumn("_bneg_before", F.lit(0).cast("bigint"))
+    below = start.withColumn(
+        "_below", F.col("_bneg_before") + F.coalesce(F.sum("_neg").over(w), F.lit(0)))
     pos, neg = F.sum("_pos"), F.sum("_neg")
     credit = F.sum(F.col("_pos").cast("double") * (F.col("_below").cast("double") + 0.5 * F.col("_neg")))
     out = [F.try_divide(credit, pos.cast("double") * neg.cast("double")).alias("roc_auc"),
@@ -82,12 +86,20 @@ def roc_auc(scored: DataFrame, label: str = "target", score: str = "score",
     return below.agg(*out)
 
 
-def confusion_counts(scored: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
-    """Rows = actual, columns = predicted; all four cells, zeros kept."""
+def confusion_cells(scored: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
+    """One row c00, c01, c10, c11 (c<actual><predicted>)."""
     a, p = F.col(label), F.col(pred)
-    wide = scored.agg(*[F.count_if((a == i) & (p == j)).alias(f"c{i}{j}")
+    return scored.agg(*[F.count_if((a == i) & (p == j)).alias(f"c{i}{j}")
                         for i in (0, 1) for j in (0, 1)])
-    return wide.selectExpr(
+
+
+def confusion_counts(scored: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
+    """Rows = actual, columns = predicted; all four cells, zeros kept."""
+    return confusion_long(confusion_cells(scored, label, pred))
+
+
+def confusion_long(cells: DataFrame) -> DataFrame:
+    return cells.selectExpr(
         "stack(4, 0, 0, c00, 0, 1, c01, 1, 0, c10, 1, 1, c11) AS (actual, predicted, n)")
 
 
@@ -123,10 +135,7 @@ def report_from_cells(cells: DataFrame) -> DataFrame:
 
 
 def classification_report(scored: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
-    a, p = F.col(label), F.col(pred)
-    cells = scored.agg(*[F.count_if((a == i) & (p == j)).alias(f"c{i}{j}")
-                         for i in (0, 1) for j in (0, 1)])
-    return report_from_cells(cells)
+    return report_from_cells(confusion_cells(scored, label, pred))
 
 
 def evaluation_row(scored: DataFrame, name: str, label: str = "target",

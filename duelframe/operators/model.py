@@ -17,7 +17,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
@@ -93,13 +93,17 @@ class Scaler:
 # --- O75: class weights -----------------------------------------------------------
 
 def class_weights(train: DataFrame, target: str = "target") -> DataFrame:
-    """Balanced weights n / (2 * n_class) per class (two rows)."""
+    """Balanced weights n / (k * n_class) per class, from one pass.
+
+    The window runs over the per-class counts (k rows, two for a binary
+    target), never over data rows.
+    """
     counts = train.groupBy(F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("n_class"))
-    total = counts.agg(F.sum("n_class").alias("n_rows"))
-    n_classes = counts.agg(F.count(F.lit(1)).alias("k"))
-    return (counts.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(n_classes))
-            .select("class", "n_class",
-                    (F.col("n_rows") / (F.col("k") * F.col("n_class"))).alias("weight")))
+    every = Window.partitionBy()
+    return counts.select(
+        "class", "n_class",
+        (F.sum("n_class").over(every) / (F.count(F.lit(1)).over(every) * F.col("n_class")))
+        .alias("weight"))
 
 
 def with_weights(train: DataFrame, target: str = "target") -> DataFrame:
@@ -116,14 +120,32 @@ def majority_class(train: DataFrame, target: str = "target") -> DataFrame:
             .orderBy(F.col("n").desc(), F.col("majority_class").asc()).limit(1))
 
 
-def majority_baseline(train: DataFrame, test: DataFrame, target: str = "target") -> DataFrame:
-    maj = majority_class(train, target).select("majority_class")
-    scored = test.crossJoin(F.broadcast(maj))  # one row
-    return scored.groupBy("majority_class").agg(
-        F.avg((F.col(target) == F.col("majority_class")).cast("double")).alias("accuracy")
+def majority_baseline_split(view: DataFrame, target: str = "target", split: str = "split") -> DataFrame:
+    """Majority class of the train side and its accuracy on the test side.
+
+    One pass: counts per (side, class) -- at most 2 x classes rows -- then
+    a window over that small table picks the train mode.
+    """
+    c = view.groupBy(F.col(split).alias("_side"), F.col(target).alias("_cls")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    train_n = F.when(F.col("_side") == "train", F.col("_n"))
+    mode = Window.partitionBy().orderBy(train_n.desc_nulls_last(), F.col("_cls").asc())
+    c = c.withColumn("majority_class", F.first("_cls").over(mode))
+    test_n = F.when(F.col("_side") == "test", F.col("_n"))
+    hits = F.when((F.col("_side") == "test") & (F.col("_cls") == F.col("majority_class")), F.col("_n"))
+    return c.groupBy("majority_class").agg(
+        F.try_divide(F.sum(hits).cast("double"), F.sum(test_n).cast("double")).alias("accuracy")
     ).select(F.lit("Majority Class").alias("model"),
              F.when(F.col("majority_class") == 1, F.lit("Red")).otherwise(F.lit("Blue"))
-             .alias("majority_label"), F.col("majority_class").cast("int"), "accuracy")
+             .alias("majority_label"), F.col("majority_class").cast("int"),
+             F.coalesce(F.col("accuracy"), F.lit(0.0)).alias("accuracy"))
+
+
+def majority_baseline(train: DataFrame, test: DataFrame, target: str = "target") -> DataFrame:
+    """Two-frame form of ``majority_baseline_split``."""
+    both = train.select(F.lit("train").alias("split"), F.col(target)) \
+        .unionByName(test.select(F.lit("test").alias("split"), F.col(target)))
+    return majority_baseline_split(both, target)
 
 
 # --- O73 / O74 / O77 / O78 / O79: logistic regression -----------------------------------

@@ -8,7 +8,7 @@ with the data (checked bound: columns x classes).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
@@ -20,14 +20,14 @@ from duelframe.functions.exprs import histogram_bin, pearson, percent, sign_labe
 def value_counts(df: DataFrame, col: str, with_percent: bool = True) -> DataFrame:
     """Counts of non-missing values, largest first; percent of *all* rows.
 
-    The NULL group is counted (it belongs to the denominator) and then
-    dropped, so the data is read once.
+    One scan: the NULL group is counted (it belongs to the denominator) and
+    dropped after the total is taken by a window over the grouped result --
+    one row per category of a categorical column, so that window is small.
     """
     grouped = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     if with_percent:
-        total = grouped.agg(F.sum("n").alias("total_rows"))  # one row
-        grouped = grouped.crossJoin(F.broadcast(total)).withColumn(
-            "pct", percent(F.col("n"), F.col("total_rows"))).drop("total_rows")
+        grouped = grouped.withColumn(
+            "pct", percent(F.col("n"), F.sum("n").over(Window.partitionBy())))
     return grouped.filter(F.col("value").isNotNull()).orderBy(F.col("n").desc(), F.col("value"))
 
 

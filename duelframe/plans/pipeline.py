@@ -114,7 +114,7 @@ class ContestPipeline:
         return self._m("scaler", lambda: mo.Scaler.fit(self.train(), self.feature_cols()))
 
     def majority(self) -> DataFrame:
-        return mo.majority_baseline(self.train(), self.test())
+        return mo.majority_baseline_split(self.training())
 
     def odds_model(self) -> mo.FittedModel | None:
         if "odds_diff" not in self.feature_cols():

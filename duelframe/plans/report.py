@@ -39,10 +39,11 @@ def metrics_document(p) -> DataFrame:
             "struct<name:string,majority_class:string,accuracy:double,roc_auc:double>").alias("b1"))
     scored = p.full_scored()
     full = p.evaluate(scored, "LogisticRegression")
-    cm = ev.confusion_counts(scored).agg(F.array(*[
+    cells = ev.confusion_cells(scored)  # one aggregate feeds matrix and report
+    cm = ev.confusion_long(cells).agg(F.array(*[
         F.array(*[F.max(F.when((F.col("actual") == a) & (F.col("predicted") == b), F.col("n")))
                   for b in (0, 1)]) for a in (0, 1)]).alias("confusion_matrix"))
-    rep = ev.classification_report(scored).agg(
+    rep = ev.report_from_cells(cells).agg(
         F.collect_list(F.struct("label", "precision", "recall", "f1_score", "support"))
         .alias("classification_report"))  # five rows
     doc = (_split_info(p).crossJoin(maj).crossJoin(odds).crossJoin(full).crossJoin(cm).crossJoin(rep))
