@@ -66,7 +66,7 @@ class SplitPoint:
 
 
 def find_split_point(dated: DataFrame, ratio: float, date_col: str, key: str,
-                     final_rows: int = 200_000) -> SplitPoint:
+                     final_rows: int = 200_000, whole_dates: bool = False) -> SplitPoint:
     per_date = dated.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n"))
     everything = Window.partitionBy()  # small table: one row per date
     w = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
@@ -84,20 +84,28 @@ def find_split_point(dated: DataFrame, ratio: float, date_col: str, key: str,
     k = cut - int(hit["_before"])
     if k == int(hit["_n"]):
         return SplitPoint(n_total, cut, hit[date_col], None)
+    if whole_dates:  # the straddling date goes to test: train ends the day before
+        before = int(hit["_before"])
+        prev = (dated.filter(F.col(date_col) < F.lit(hit[date_col]))
+                .agg(F.max(date_col).alias("d")).first()["d"]) if before else None
+        return SplitPoint(n_total, before, prev, None)
     one_date = dated.filter(F.col(date_col) == F.lit(hit[date_col]))
     thr = kth_smallest(one_date, key, k, n_rows=int(hit["_n"]), final_rows=final_rows)
     return SplitPoint(n_total, cut, hit[date_col], thr)
 
 
 def time_split(df: DataFrame, ratio: float = C.TRAIN_RATIO, date_col: str = "Date",
-               key: str = "bout_id", final_rows: int = 200_000) -> tuple[DataFrame, SplitPoint]:
+               key: str = "bout_id", final_rows: int = 200_000,
+               whole_dates: bool = False) -> tuple[DataFrame, SplitPoint]:
     """Label rows 'train'/'test' by (date, key) order; invalid dates dropped.
 
     ``final_rows`` bounds the rows the tiebreak search ever orders in one
-    task (see ``kth_smallest``).
+    task (see ``kth_smallest``).  ``whole_dates`` keeps every date on one
+    side: a date the cut would straddle goes entirely to test.
     """
     dated = df.withColumn(date_col, as_date(df, date_col)).filter(F.col(date_col).isNotNull())
-    point = find_split_point(dated.select(date_col, key), ratio, date_col, key, final_rows)
+    point = find_split_point(dated.select(date_col, key), ratio, date_col, key, final_rows,
+                             whole_dates)
     split = F.when(point.is_train(F.col(date_col), F.col(key)), F.lit("train")).otherwise(F.lit("test"))
     return dated.withColumn("split", split), point
 

@@ -34,12 +34,12 @@ _PIPELINES: dict = {}
 class ContestPipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, ratio: float = C.TRAIN_RATIO,
                  vocab: fe.Vocabulary | None = None, missing: str = "zero",
-                 odds_direction: int = 1, vocab_on: str = "all"):
+                 odds_direction: int = 1, vocab_on: str = "all", whole_dates: bool = False):
         """``vocab_on``: 'all' discovers categories on the whole table (the
         reference's behaviour), 'train' only on the rows before the cut."""
         self.spark, self.sf_dir, self.ratio = spark, sf_dir, ratio
         self._vocab, self.missing, self.odds_direction = vocab, missing, odds_direction
-        self.vocab_on = vocab_on
+        self.vocab_on, self.whole_dates = vocab_on, whole_dates
         self._memo: dict = {}
 
     @classmethod
@@ -89,7 +89,8 @@ class ContestPipeline:
     def split_point(self) -> sp.SplitPoint:
         # only (Date, bout_id) matter, so the point comes from the cleaned rows
         return self._m("point", lambda: sp.time_split(
-            self.clean().select("Date", "bout_id"), self.ratio)[1])
+            self.clean().select("Date", "bout_id"), self.ratio,
+            whole_dates=self.whole_dates)[1])
 
     def split(self) -> DataFrame:
         feats = self.features()

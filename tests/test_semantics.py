@@ -341,3 +341,15 @@ def test_top_k_per_group_with_hot_group(spark):
     pdf["rank"] = pdf.groupby("grp").cumcount() + 1
     want = {(g, r): k for g, r, k in pdf[pdf["rank"] <= 15][["grp", "rank", "k"]].itertuples(index=False)}
     assert got == want
+
+
+def test_time_split_whole_dates(spark):  # Q12 option
+    d0 = dt.date(2022, 5, 20)
+    rows = [(i, d0 + dt.timedelta(days=i // 4), 0) for i in range(20)]   # 4 rows per date
+    df = spark.createDataFrame(rows, "bout_id bigint, Date date, target int")
+    out, point = sp.time_split(df, 0.5, whole_dates=True)                 # cut 10 falls inside day 3
+    got = {r.bout_id: r.split for r in out.collect()}
+    assert [k for k, v in sorted(got.items()) if v == "train"] == list(range(8))
+    assert point.cut == 8
+    out2, _ = sp.time_split(df, 0.4, whole_dates=True)                    # cut 8 ends a date exactly
+    assert sum(r.split == "train" for r in out2.collect()) == 8
