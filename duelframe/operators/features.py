@@ -158,6 +158,21 @@ class FeatureSpec:
                 + self.weight_class + self.better_rank + self.other)
         return list(dict.fromkeys(cols))
 
+    @classmethod
+    def from_columns(cls, columns: list[str]) -> "FeatureSpec":
+        """Groups of an existing feature table, read back from its names."""
+        cols = [c for c in columns if c not in REFERENCE_COLUMNS + ["bout_id", "stance_matchup", "year"]]
+
+        def pref(p):
+            return [c for c in cols if c.startswith(p + "_") and c not in C.RANKING_PAIRS]
+        return cls(existing=[c for c in C.EXISTING_DIFF_COLUMNS if c in cols],
+                   paired=[c for c in C.PAIRED_STATS if c in cols],
+                   ranks=[c for c in C.RANKING_PAIRS if c in cols],
+                   contextual=[c for c in C.CONTEXTUAL_NUMERIC if c in cols],
+                   stance=pref(C.STANCE_PREFIX), weight_class=pref(C.WEIGHTCLASS_PREFIX),
+                   better_rank=pref(C.BETTERRANK_PREFIX),
+                   other=[c for c in cols if c == "is_male"])
+
     def groups(self) -> dict[str, list[str]]:
         return {"existing_diffs": self.existing, "paired_diffs": self.paired,
                 "rank_diffs": self.ranks, "contextual": self.contextual,

@@ -28,7 +28,8 @@ TOL = 1e-8
 
 def training_columns(columns: list[str]) -> list[str]:
     """Feature columns = everything not excluded (reference exclusion list)."""
-    return [c for c in columns if c not in C.EXCLUDE_AT_TRAINING and c not in ("bout_id", "split")]
+    return [c for c in columns
+            if c not in C.EXCLUDE_AT_TRAINING and c not in ("bout_id", "split", "year")]
 
 
 def training_view(split_df: DataFrame, feature_cols: list[str], missing: str = "zero",

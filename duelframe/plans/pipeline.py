@@ -32,14 +32,26 @@ _PIPELINES: dict = {}
 
 
 class ContestPipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, ratio: float = C.TRAIN_RATIO,
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None,
+                 ratio: float = C.TRAIN_RATIO,
                  vocab: fe.Vocabulary | None = None, missing: str = "zero",
-                 odds_direction: int = 1, vocab_on: str = "all", whole_dates: bool = False):
-        """``vocab_on``: 'all' discovers categories on the whole table (the
+                 odds_direction: int = -1, vocab_on: str = "all", whole_dates: bool = False,
+                 raw: DataFrame | None = None, clean: DataFrame | None = None,
+                 features: DataFrame | None = None):
+        """Input: ``sf_dir`` (the bouts fixture from the driver tables) or a
+        ready table at any stage -- ``raw``, ``clean`` or ``features`` (each
+        needs a ``bout_id`` key; see ``io.read_contests``).
+
+        ``odds_direction``: -1 when lower odds favour Red (American odds,
+        the reference's domain), +1 when higher values do.
+        ``vocab_on``: 'all' discovers categories on the whole table (the
         reference's behaviour), 'train' only on the rows before the cut."""
+        if sf_dir is None and raw is None and clean is None and features is None:
+            raise ValueError("no input: give sf_dir, raw, clean or features")
         self.spark, self.sf_dir, self.ratio = spark, sf_dir, ratio
         self._vocab, self.missing, self.odds_direction = vocab, missing, odds_direction
         self.vocab_on, self.whole_dates = vocab_on, whole_dates
+        self._raw, self._clean, self._features = raw, clean, features
         self._memo: dict = {}
 
     @classmethod
@@ -48,7 +60,8 @@ class ContestPipeline:
         with _LOCK:
             p = _PIPELINES.get(key)
             if p is None:
-                p = _PIPELINES[key] = cls(spark, sf_dir)
+                # the bouts fixture's odds are balances: higher favours Red
+                p = _PIPELINES[key] = cls(spark, sf_dir, odds_direction=1)
             return p
 
     def _m(self, name, fn):
@@ -58,10 +71,16 @@ class ContestPipeline:
 
     # --- E1 -----------------------------------------------------------------
     def raw(self) -> DataFrame:
+        if self._raw is not None:
+            return self._raw
+        if self.sf_dir is None:
+            raise ValueError("this pipeline starts after the raw stage")
         return stage(self.spark, "raw", self.sf_dir, TABLES,
                      lambda: normalize_raw(fixtures.bouts(self.spark, self.sf_dir)))
 
     def clean(self) -> DataFrame:
+        if self._clean is not None:
+            return self._clean
         # a projection of the raw stage: cheaper to recompute than to copy
         return qa.drop_leakage(self.raw())
 
@@ -78,9 +97,13 @@ class ContestPipeline:
         return self._m("vocab", discover)
 
     def spec(self) -> fe.FeatureSpec:
+        if self._features is not None:
+            return fe.FeatureSpec.from_columns(self._features.columns)
         return self._m("spec", lambda: fe.feature_exprs(self.clean(), self.vocab())[1])
 
     def features(self) -> DataFrame:
+        if self._features is not None:
+            return self._features
         # one flat projection over the raw stage (see ``write_features`` for
         # the partitioned feature-table sink)
         return fe.feature_matrix(self.clean(), self.vocab())[0]
@@ -88,9 +111,9 @@ class ContestPipeline:
     # --- E3 -----------------------------------------------------------------
     def split_point(self) -> sp.SplitPoint:
         # only (Date, bout_id) matter, so the point comes from the cleaned rows
+        src = self._features if self._features is not None else self.clean()
         return self._m("point", lambda: sp.time_split(
-            self.clean().select("Date", "bout_id"), self.ratio,
-            whole_dates=self.whole_dates)[1])
+            src.select("Date", "bout_id"), self.ratio, whole_dates=self.whole_dates)[1])
 
     def split(self) -> DataFrame:
         feats = self.features()

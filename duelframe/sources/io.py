@@ -52,15 +52,84 @@ def normalize_raw(df: DataFrame, schema: T.StructType | None = None) -> DataFram
     return df.select(*out)
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Raw contests from CSV with a header, typed by ``schema``."""
-    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    df = (spark.read.schema(as_text).option("header", True)
-          .option("nullValue", "\u0000never\u0000").option("emptyValue", "")
-          .csv(path))
+def _text_scan(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    reader = spark.read.option("header", True).option("emptyValue", "") \
+        .option("nullValue", "\u0000never\u0000")
+    if names is not None:
+        reader = reader.schema(T.StructType([T.StructField(n, T.StringType(), True) for n in names]))
+    else:
+        reader = reader.option("inferSchema", False)  # every column as text
+    return reader.csv(path)
+
+
+def infer_schema(text: DataFrame) -> T.StructType:
+    """Types for an all-text table, like pandas' CSV inference, in one pass.
+
+    A column is boolean / bigint / double / date when every non-missing
+    value parses as one (tried in that order), text otherwise; a column with
+    no values at all is double (pandas' all-NaN float column).
+    """
+    aggs = []
+    for i, name in enumerate(text.columns):
+        c = F.col(f"`{name}`")
+        c = F.when(_is_na(c), F.lit(None).cast("string")).otherwise(F.trim(c))
+        aggs += [F.count(c).alias(f"n{i}"),
+                 F.count_if(F.lower(c).isin("true", "false")).alias(f"b{i}"),
+                 F.count_if(c.try_cast("bigint").isNotNull()).alias(f"i{i}"),
+                 F.count_if(c.try_cast("double").isNotNull()).alias(f"d{i}"),
+                 F.count_if(F.try_to_date(c, "yyyy-MM-dd").isNotNull()).alias(f"t{i}")]
+    row = text.agg(*aggs).first()
+    fields = []
+    for i, name in enumerate(text.columns):
+        n = row[f"n{i}"]
+        if n == 0:
+            dtype = T.DoubleType()
+        elif row[f"b{i}"] == n:
+            dtype = T.BooleanType()
+        elif row[f"i{i}"] == n:
+            dtype = T.LongType()
+        elif row[f"d{i}"] == n:
+            dtype = T.DoubleType()
+        elif row[f"t{i}"] == n:
+            dtype = T.DateType()
+        else:
+            dtype = T.StringType()
+        fields.append(T.StructField(name, dtype, True))
+    return T.StructType(fields)
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Raw contests from CSV with a header, typed by ``schema`` (inferred
+    with one pass over the text when not given)."""
+    if schema is None:
+        schema = infer_schema(_text_scan(spark, path))
+    df = _text_scan(spark, path, [f.name for f in schema.fields])
     return normalize_raw(df, schema)
 
 
+def with_row_key(df: DataFrame, key: str = "bout_id") -> DataFrame:
+    """Add a row key when the input has none.
+
+    ``monotonically_increasing_id`` applied directly on a file scan (no
+    shuffle before it) depends only on the file split and the row's place in
+    it, so it is stable across recomputation and follows file order -- the
+    order the reference's stable sort falls back to for equal dates.
+    """
+    if key in df.columns:
+        return df
+    return df.select(F.monotonically_increasing_id().alias(key), "*")
+
+
+def read_contests(spark: SparkSession, path: str, fmt: str = "csv",
+                  schema: T.StructType | None = None, key: str = "bout_id") -> DataFrame:
+    """Raw contest table from CSV (typed, NA tokens handled) or parquet."""
+    if fmt == "csv":
+        df = read_raw_csv(spark, path, schema)
+    else:
+        df = normalize_raw(spark.read.parquet(path))
+    return with_row_key(df, key)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> None:
     """Overwrite ``path`` (parents are created by the writer)."""
@@ -81,7 +150,10 @@ def write_features(features: DataFrame, path: str, date_col: str = "Date") -> No
                 partition_by=["year"])
 
 
-def read_features(spark: SparkSession, path: str, first_date=None, last_date=None) -> DataFrame:
+def read_features(spark: SparkSession, path: str, first_date=None, last_date=None,
+                  keep_year: bool = False) -> DataFrame:
+    """Feature table written by ``write_features``; date bounds prune
+    year directories before any file is opened."""
     df = spark.read.parquet(path)
     if first_date is not None:
         df = df.filter((F.col("year") >= F.year(F.lit(first_date)))
@@ -89,4 +161,4 @@ def read_features(spark: SparkSession, path: str, first_date=None, last_date=Non
     if last_date is not None:
         df = df.filter((F.col("year") <= F.year(F.lit(last_date)))
                        & (F.col("Date") <= F.lit(last_date).cast("date")))
-    return df
+    return df if keep_year else df.drop("year")
