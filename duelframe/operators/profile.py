@@ -48,8 +48,9 @@ def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
 
 def yearly_trend(df: DataFrame, date_col: str = "Date") -> DataFrame:
     """Per year: non-missing outcomes, Red wins and Red percentage."""
+    from duelframe.operators.split import as_date  # lenient for text dates
     w = F.col(C.TARGET_COLUMN)
-    return (df.groupBy(F.year(F.to_date(F.col(date_col))).cast("bigint").alias("year"))
+    return (df.groupBy(F.year(as_date(df, date_col)).cast("bigint").alias("year"))
             .agg(F.count(w).alias("fights"),
                  F.count_if(w == C.TARGET_POSITIVE).alias("red_wins"))
             .withColumn("red_pct", percent(F.col("red_wins"), F.col("fights"))))

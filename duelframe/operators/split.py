@@ -24,10 +24,14 @@ from duelframe import config as C
 from duelframe.functions.ordering import kth_smallest
 
 
+# date layouts tried in order by the lenient parser (ISO first)
+DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "d MMMM yyyy", "MMMM d, yyyy"]
+
+
 def lenient_date(c: Column) -> Column:
     """Parse to DATE; unparseable text becomes NULL (never raises under ANSI)."""
-    return F.coalesce(F.try_to_date(c.cast("string"), "yyyy-MM-dd"),
-                      F.try_to_date(c.cast("string")))
+    t = F.trim(c.cast("string"))
+    return F.coalesce(*[F.try_to_date(t, f) for f in DATE_FORMATS], F.try_to_date(t))
 
 
 def as_date(df: DataFrame, date_col: str) -> Column:

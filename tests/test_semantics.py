@@ -353,3 +353,12 @@ def test_time_split_whole_dates(spark):  # Q12 option
     assert point.cut == 8
     out2, _ = sp.time_split(df, 0.4, whole_dates=True)                    # cut 8 ends a date exactly
     assert sum(r.split == "train" for r in out2.collect()) == 8
+
+
+def test_lenient_dates_and_yearly_trend_on_text(spark):
+    rows = [("2024-12-07", "Red"), ("12/7/2024", "Blue"), ("2023/1/5", "Red"), ("garbage", "Red"), (None, "Blue")]
+    df = spark.createDataFrame(rows, "Date string, Winner string")
+    q = sp.date_quality(df).first()
+    assert (q.invalid_dates, q.valid_dates) == (2, 3)
+    yt = {r.year: (r.fights, r.red_wins) for r in pr.yearly_trend(df).collect()}
+    assert yt[2024] == (2, 1) and yt[2023] == (1, 1) and yt[None] == (2, 1)
