@@ -70,7 +70,7 @@ def do_features(spark, args, clean: DataFrame | None = None) -> DataFrame:
     _show("feature groups", qa.feature_groups(feats, spec.groups()))
     write_features(feats, args.output)
     cols = [c for c in C.KEY_FEATURE_SAMPLE if c in feats.columns]
-    _show("sample", feats.select("bout_id", *cols).orderBy("bout_id").limit(C.SAMPLE_ROWS))
+    _show("sample", feats.select("bout_id", "Date", *cols).orderBy("Date", "bout_id").limit(C.SAMPLE_ROWS))
     return feats
 
 

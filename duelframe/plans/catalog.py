@@ -215,7 +215,7 @@ def feature_nulls(s, d):
 def feature_sample(s, d):
     f = P(s, d).features()
     cols = [c for c in C.KEY_FEATURE_SAMPLE if c in f.columns]
-    return f.select("bout_id", *cols).orderBy("bout_id").limit(C.SAMPLE_ROWS)
+    return fin(f.select("bout_id", "Date", *cols).orderBy("Date", "bout_id").limit(C.SAMPLE_ROWS))
 
 
 def class_balance(s, d):

@@ -259,8 +259,9 @@ def build() -> dict[str, str]:
     s["feature_groups"] = _feature_groups()
     s["feature_nulls"] = _feature_nulls()
     sample = [c for c in C.KEY_FEATURE_SAMPLE if c in FEATURE_TABLE]
-    s["feature_sample"] = feat_sql("SELECT bout_id, " + ", ".join(q(c) for c in sample) +
-                                   f" FROM feat ORDER BY bout_id LIMIT {C.SAMPLE_ROWS}")
+    s["feature_sample"] = feat_sql('SELECT bout_id, CAST("Date" AS VARCHAR) AS "Date", ' +
+                                   ", ".join(q(c) for c in sample) +
+                                   f' FROM feat ORDER BY "Date", bout_id LIMIT {C.SAMPLE_ROWS}')
     s["class_balance"] = feat_sql(
         f"""SELECT count(*) AS n_rows, CAST(sum(target) AS BIGINT) AS red_wins,
                    CAST(sum(1 - target) AS BIGINT) AS blue_wins,

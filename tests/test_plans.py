@@ -56,3 +56,37 @@ def test_scan_prunes_columns(spark):
     assert len(scans) == 1
     cols = {c.split(":")[0].split("#")[0].strip() for c in scans[0].split(",")}
     assert cols == {"Date", "Winner"}
+
+
+SKIP = {"Project", "Filter", "Sort", "InputAdapter", "WholeStageCodegen", "ColumnarToRow",
+        "AQEShuffleRead", "ShuffleQueryStage", "Window", "Exchange"}
+BOUNDED = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "TakeOrderedAndProject",
+           "GlobalLimit", "LocalLimit", "BroadcastNestedLoopJoin", "LocalTableScan")
+
+
+def _below_single_partition(text):
+    """Operator names directly under each SinglePartition exchange."""
+    lines = text.splitlines()
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        for nxt in lines[i + 1:]:
+            name = re.sub(r"^[\s:+\-*()\d]*", "", nxt).split(" ")[0].split("(")[0]
+            if name and name not in SKIP:
+                found.append(name)
+                break
+    return found
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(E.queries()) if n not in {
+    "odds_baseline", "logreg_baseline", "scored_bouts", "top_coefficients", "model_report",
+    "baseline_comparison", "results_summary", "metrics_report"}])
+def test_single_partition_only_over_bounded_inputs(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for op in _below_single_partition(text):
+        assert op.startswith(BOUNDED), (name, op)
