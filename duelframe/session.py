@@ -43,11 +43,22 @@ def build_session(master: str | None = None, app: str = "duelframe",
     return spark
 
 
+# Spark's own defaults for the keys above; on a session we did not build,
+# only keys still at these values are changed, so a cluster's explicit
+# settings always win.
+SPARK_BUILTIN = {"spark.sql.codegen.maxFields": "100"}
+
+
 def apply_defaults(spark: SparkSession) -> None:
-    """Apply the runtime-settable defaults to an existing session."""
-    for k, v in SESSION_DEFAULTS.items():
+    """Raise settings still at Spark's built-in value on an existing session.
+
+    AQE, skew-join handling and ANSI mode are Spark 4 defaults already and
+    are left as the session has them.
+    """
+    for k, builtin in SPARK_BUILTIN.items():
         try:
-            spark.conf.set(k, v)
+            if spark.conf.get(k, builtin) == builtin:
+                spark.conf.set(k, SESSION_DEFAULTS[k])
         except Exception:  # static or locked conf: keep the cluster's value
             pass
 
