@@ -19,10 +19,24 @@ from duelframe import __version__
 from duelframe.session import checkpoint_dir
 
 STAGE_FORMAT = 3  # bump when a stage's definition changes
+NAMESPACE_KEY = "spark.duelframe.stageNamespace"
+
+
+def _code_digest() -> str:
+    """Digest of the modules that define stage contents, so a changed
+    definition never reuses a table written by older code."""
+    from duelframe.functions import ordering
+    from duelframe.sources import fixtures, io
+    h = hashlib.sha1()
+    for mod in (fixtures, io, ordering):
+        with open(mod.__file__, "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()
 
 
 def _signature(sf_dir: str, tables: list[str]) -> str:
-    h = hashlib.sha1(f"{__version__}/{STAGE_FORMAT}/{os.path.abspath(sf_dir)}".encode())
+    h = hashlib.sha1(f"{__version__}/{STAGE_FORMAT}/{_code_digest()}/"
+                     f"{os.path.abspath(sf_dir)}".encode())
     for t in tables:
         p = os.path.join(sf_dir, f"{t}.parquet")
         try:
@@ -45,7 +59,11 @@ def stage(spark: SparkSession, name: str, sf_dir: str, tables: list[str], build)
     root = checkpoint_dir(spark)
     if not root:
         return build()
-    path = f"{root.rstrip('/')}/duelframe-stages/{name}-{_signature(sf_dir, tables)}"
+    # optional run scope inside the shared folder (the bench uses one so it
+    # always measures a fresh build)
+    ns = spark.conf.get(NAMESPACE_KEY, "") or ""
+    scope = f"{ns.strip('/')}/" if ns else ""
+    path = f"{root.rstrip('/')}/duelframe-stages/{scope}{name}-{_signature(sf_dir, tables)}"
     if not _exists(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -17,7 +16,7 @@ def spark():
     from duelframe.session import build_session, ensure_checkpoint_dir
     s = build_session("local[*]", app="duelframe-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="duelframe-test-ckpt-"))
+    ensure_checkpoint_dir(s)  # a fresh local folder only when none is configured
     yield s
     s.stop()
 
