@@ -6,15 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def col_or_null(df_columns, name: str, dtype: str = "double") -> Column:
-    """``col(name)`` when present, else a typed NULL (schema-optional input)."""
-    return F.col(name) if name in df_columns else F.lit(None).cast(dtype)
-
-
-def not_missing(c: Column) -> Column:
-    return c.isNotNull()
-
-
 def flag_equals(c: Column, value) -> Column:
     """0/1 indicator of ``c == value`` where NULL counts as 0 (null-safe)."""
     return c.eqNullSafe(F.lit(value)).cast("int")
@@ -39,9 +30,9 @@ def class_label(c: Column) -> Column:
     return F.when(c == 1, F.lit("Red")).otherwise(F.lit("Blue"))
 
 
-def nan_to_null(c: Column) -> Column:
+def nan_to_null(c: Column, dtype: str = "double") -> Column:
     """Spark keeps NaN distinct from NULL; the contest schema never wants NaN."""
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
+    return F.when(F.isnan(c), F.lit(None).cast(dtype)).otherwise(c)
 
 
 def pearson(a: Column, b: Column) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
+from duelframe.functions.exprs import class_label
 
 MAX_ITER = 1000
 TOL = 1e-8
@@ -137,8 +138,8 @@ def majority_baseline_split(view: DataFrame, target: str = "target", split: str
     return c.groupBy("majority_class").agg(
         F.try_divide(F.sum(hits).cast("double"), F.sum(test_n).cast("double")).alias("accuracy")
     ).select(F.lit("Majority Class").alias("model"),
-             F.when(F.col("majority_class") == 1, F.lit("Red")).otherwise(F.lit("Blue"))
-             .alias("majority_label"), F.col("majority_class").cast("int"),
+             class_label(F.col("majority_class")).alias("majority_label"),
+             F.col("majority_class").cast("int"),
              F.coalesce(F.col("accuracy"), F.lit(0.0)).alias("accuracy"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelframe import config as C
+from duelframe.functions.exprs import nan_to_null
 
 
 def _is_na(c: Column) -> Column:
@@ -47,7 +48,7 @@ def normalize_raw(df: DataFrame, schema: T.StructType | None = None) -> DataFram
                     else:
                         c = c.try_cast(target)
         if isinstance(target, (T.DoubleType, T.FloatType)):
-            c = F.when(F.isnan(c), F.lit(None).cast(target)).otherwise(c)
+            c = nan_to_null(c, target.simpleString())
         out.append(c.alias(name))
     return df.select(*out)
 
