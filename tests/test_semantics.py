@@ -362,3 +362,17 @@ def test_lenient_dates_and_yearly_trend_on_text(spark):
     assert (q.invalid_dates, q.valid_dates) == (2, 3)
     yt = {r.year: (r.fights, r.red_wins) for r in pr.yearly_trend(df).collect()}
     assert yt[2024] == (2, 1) and yt[2023] == (1, 1) and yt[None] == (2, 1)
+
+
+def test_roc_auc_equals_spark_exact_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from conftest import SF001
+    from duelframe.plans.pipeline import ContestPipeline
+    p = ContestPipeline.for_input(spark, SF001)
+    scored = p.rule_scored()
+    ours = ev.roc_auc(scored, rows_per_bucket=97).first().roc_auc     # several buckets
+    spark_exact = BinaryClassificationEvaluator(
+        rawPredictionCol="score", labelCol="label", metricName="areaUnderROC", numBins=0
+    ).evaluate(scored.withColumn("label", F.col("target").cast("double")))
+    assert abs(ours - spark_exact) < 1e-9
