@@ -62,3 +62,23 @@ def histogram_bin(v: Column, lo: Column, hi: Column, bins: int) -> Column:
                            F.lit(bins - 1)))
         .cast("bigint")
     )
+
+
+# date layouts tried in order by the lenient parser (ISO first)
+DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "d MMMM yyyy", "MMMM d, yyyy"]
+
+
+def lenient_date(c: Column) -> Column:
+    """Parse to DATE; unparseable text becomes NULL (never raises under ANSI)."""
+    t = F.trim(c.cast("string"))
+    return F.coalesce(*[F.try_to_date(t, f) for f in DATE_FORMATS], F.try_to_date(t))
+
+
+def as_date(df, date_col: str) -> Column:
+    """``date_col`` as DATE whatever its stored type (text parsed leniently)."""
+    t = dict(df.dtypes)[date_col]
+    if t == "date":
+        return F.col(date_col)
+    if t.startswith("timestamp"):
+        return F.to_date(F.col(date_col))
+    return lenient_date(F.col(date_col))

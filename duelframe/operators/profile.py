@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
-from duelframe.functions.exprs import histogram_bin, pearson, percent, sign_label
+from duelframe.functions.exprs import as_date, histogram_bin, pearson, percent, sign_label
 
 
 # --- O52 / O53 / O69: category counts ----------------------------------------
@@ -48,7 +48,6 @@ def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
 
 def yearly_trend(df: DataFrame, date_col: str = "Date") -> DataFrame:
     """Per year: non-missing outcomes, Red wins and Red percentage."""
-    from duelframe.operators.split import as_date  # lenient for text dates
     w = F.col(C.TARGET_COLUMN)
     return (df.groupBy(F.year(as_date(df, date_col)).cast("bigint").alias("year"))
             .agg(F.count(w).alias("fights"),

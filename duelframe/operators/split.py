@@ -21,28 +21,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
+from duelframe.functions.exprs import as_date, lenient_date  # noqa: F401 (re-exported)
 from duelframe.functions.ordering import kth_smallest
 
 
-# date layouts tried in order by the lenient parser (ISO first)
-DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "d MMMM yyyy", "MMMM d, yyyy"]
-
-
-def lenient_date(c: Column) -> Column:
-    """Parse to DATE; unparseable text becomes NULL (never raises under ANSI)."""
-    t = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_date(t, f) for f in DATE_FORMATS], F.try_to_date(t))
-
-
-def as_date(df: DataFrame, date_col: str) -> Column:
-    t = dict(df.dtypes)[date_col]
-    if t == "date":
-        return F.col(date_col)
-    if t.startswith("timestamp"):
-        return F.to_date(F.col(date_col))
-    return lenient_date(F.col(date_col))
-
-
 def date_quality(df: DataFrame, date_col: str = "Date") -> DataFrame:
     """Rows, rows with an invalid/missing date (dropped by the split), range."""
     d = as_date(df, date_col)

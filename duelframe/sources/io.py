@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelframe import config as C
-from duelframe.functions.exprs import nan_to_null
+from duelframe.functions.exprs import as_date, lenient_date, nan_to_null
 
 
 def _is_na(c: Column) -> Column:
@@ -40,7 +40,7 @@ def normalize_raw(df: DataFrame, schema: T.StructType | None = None) -> DataFram
                     low = F.lower(F.trim(c))
                     c = F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
                 elif isinstance(target, T.DateType):
-                    c = F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c))
+                    c = lenient_date(c)
                 else:
                     # integral text such as "3.0" (pandas writes nullable ints as floats)
                     if isinstance(target, (T.IntegerType, T.LongType, T.ShortType)):
@@ -67,8 +67,9 @@ def infer_schema(text: DataFrame) -> T.StructType:
     """Types for an all-text table, like pandas' CSV inference, in one pass.
 
     A column is boolean / bigint / double / date when every non-missing
-    value parses as one (tried in that order), text otherwise; a column with
-    no values at all is double (pandas' all-NaN float column).
+    value parses as one (tried in that order; dates in any layout of
+    ``DATE_FORMATS``), text otherwise; a column with no values at all is
+    double (pandas' all-NaN float column).
     """
     aggs = []
     for i, name in enumerate(text.columns):
@@ -78,7 +79,7 @@ def infer_schema(text: DataFrame) -> T.StructType:
                  F.count_if(F.lower(c).isin("true", "false")).alias(f"b{i}"),
                  F.count_if(c.try_cast("bigint").isNotNull()).alias(f"i{i}"),
                  F.count_if(c.try_cast("double").isNotNull()).alias(f"d{i}"),
-                 F.count_if(F.try_to_date(c, "yyyy-MM-dd").isNotNull()).alias(f"t{i}")]
+                 F.count_if(lenient_date(c).isNotNull()).alias(f"t{i}")]
     row = text.agg(*aggs).first()
     fields = []
     for i, name in enumerate(text.columns):
@@ -147,7 +148,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 def write_features(features: DataFrame, path: str, date_col: str = "Date") -> None:
     """Feature table partitioned by year, so date-range reads prune files."""
-    write_table(features.withColumn("year", F.year(F.col(date_col))), path,
+    write_table(features.withColumn("year", F.year(as_date(features, date_col))), path,
                 partition_by=["year"])
 
 
@@ -156,10 +157,11 @@ def read_features(spark: SparkSession, path: str, first_date=None, last_date=Non
     """Feature table written by ``write_features``; date bounds prune
     year directories before any file is opened."""
     df = spark.read.parquet(path)
+    d = as_date(df, "Date")
     if first_date is not None:
-        df = df.filter((F.col("year") >= F.year(F.lit(first_date)))
-                       & (F.col("Date") >= F.lit(first_date).cast("date")))
+        df = df.filter((F.col("year") >= F.year(F.lit(first_date).cast("date")))
+                       & (d >= F.lit(first_date).cast("date")))
     if last_date is not None:
-        df = df.filter((F.col("year") <= F.year(F.lit(last_date)))
-                       & (F.col("Date") <= F.lit(last_date).cast("date")))
+        df = df.filter((F.col("year") <= F.year(F.lit(last_date).cast("date")))
+                       & (d <= F.lit(last_date).cast("date")))
     return df if keep_year else df.drop("year")

@@ -42,3 +42,50 @@ def test_cli_eda_runs(spark, tmp_path, capsys):
     cli.main(["eda", "--input", path], spark=spark)
     printed = capsys.readouterr().out
     assert "[missing values (top 15)]" in printed and "[yearly trend]" in printed
+
+
+def test_cli_full_reference_schema(spark, tmp_path):
+    """Hand-made rows with every column the reference reads (all pairs, all
+    rank pairs, all 15 existing diffs): feature count and groups follow."""
+    import random
+
+    import pandas as pd
+
+    from duelframe import config as C
+    rnd = random.Random(17)
+    n = 120
+    data = {"RedFighter": [f"r{i}" for i in range(n)], "BlueFighter": [f"b{i}" for i in range(n)],
+            "Date": [f"{1 + i % 12}/{1 + i % 28}/{2015 + i % 8}" for i in range(n)],  # M/d/yyyy text
+            "Location": ["x"] * n, "Country": ["y"] * n,
+            "Winner": [rnd.choice(["Red", "Blue"]) for _ in range(n)],
+            "Finish": ["KO"] * n, "FinishDetails": ["-"] * n, "FinishRound": [1] * n,
+            "FinishRoundTime": ["1:00"] * n, "TotalFightTimeSecs": [60] * n}
+    for r, b in C.PAIRED_STATS.values():
+        data[r] = [rnd.choice([None, round(rnd.uniform(-300, 300), 1)]) for _ in range(n)]
+        data[b] = [round(rnd.uniform(-300, 300), 1) for _ in range(n)]
+    for r, b in C.RANKING_PAIRS.values():
+        data[r] = [rnd.choice([None, None, rnd.randint(1, 15)]) for _ in range(n)]
+        data[b] = [rnd.choice([None, None, rnd.randint(1, 15)]) for _ in range(n)]
+    for c in C.EXISTING_DIFF_COLUMNS:
+        data[c] = [rnd.randint(-5, 5) for _ in range(n)]
+    data["TitleBout"] = [rnd.choice([True, False]) for _ in range(n)]
+    data["NumberOfRounds"] = [rnd.choice([3, 5]) for _ in range(n)]
+    data["EmptyArena"] = [rnd.choice([None, 0, 1]) for _ in range(n)]
+    data["RedStance"] = [rnd.choice(["Orthodox", "Southpaw", None]) for _ in range(n)]
+    data["BlueStance"] = [rnd.choice(["Orthodox", "Switch"]) for _ in range(n)]
+    data["WeightClass"] = [rnd.choice(["Lightweight", "Flyweight", "Heavyweight"]) for _ in range(n)]
+    data["Gender"] = [rnd.choice(["MALE", "FEMALE"]) for _ in range(n)]
+    data["BetterRank"] = [rnd.choice(["Red", "Blue", "neither", None]) for _ in range(n)]
+    path = str(tmp_path / "ufc.csv")
+    pd.DataFrame(data).to_csv(path, index=False, na_rep="NA")
+
+    doc = cli.main(["run", "--input", path, "--output", str(tmp_path / "out")], spark=spark).first()
+    stance = 3 * 2   # (Orthodox, Southpaw, Unknown) x (Orthodox, Switch)
+    want = 15 + 12 + 14 + 3 + stance + 3 + 3 + 1
+    assert doc.feature_count == want
+    assert doc.split_info.train_rows == int(n * 0.8)
+    assert doc.split_info.test_rows == n - int(n * 0.8)
+    feats = spark.read.parquet(str(tmp_path / "out" / "features"))
+    assert "stance_matchup" in feats.columns and "Finish" not in feats.columns
+    assert feats.filter(F.col("odds_diff").isNull()).count() == 0        # neutral fill
+    assert feats.filter(F.col("draws_diff").isNull()).count() > 0        # left NULL, as in the reference
