@@ -79,6 +79,5 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return d
     d = fallback or tempfile.mkdtemp(prefix="duelframe-ckpt-")
     os.makedirs(d, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
+    spark.sparkContext.setCheckpointDir(d)  # the conf key itself is static
     return d

@@ -11,13 +11,17 @@ stages stay lazy plans (always correct, recomputed per query).
 from __future__ import annotations
 
 import hashlib
+import logging
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from duelframe import __version__
 from duelframe.session import checkpoint_dir
 
+log = logging.getLogger(__name__)
+
 STAGE_FORMAT = 3  # bump when a stage's definition changes
 NAMESPACE_KEY = "spark.duelframe.stageNamespace"
 
@@ -47,13 +51,34 @@ def _signature(sf_dir: str, tables: list[str]) -> str:
     return h.hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path + "/_SUCCESS")
     return bool(fs.exists(jpath))
 
 
+def _publish(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write to a private folder, then rename into place.
+
+    Concurrent builders of the same stage each write their own folder; the
+    first rename wins and the others drop their copy, so a reader never
+    sees a half-written or overwritten stage.
+    """
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(tmp)
+    fs, src = _fs(spark, tmp)
+    _, dst = _fs(spark, path)
+    if not fs.rename(src, dst) or not _exists(spark, path):
+        fs.delete(src, True)
+        if not _exists(spark, path):
+            raise OSError(f"could not publish stage {path}")
+
+
 def stage(spark: SparkSession, name: str, sf_dir: str, tables: list[str], build) -> DataFrame:
     """Return stage ``name``: read it if written, else build, write, read."""
     root = checkpoint_dir(spark)
@@ -64,6 +89,10 @@ def stage(spark: SparkSession, name: str, sf_dir: str, tables: list[str], build)
     ns = spark.conf.get(NAMESPACE_KEY, "") or ""
     scope = f"{ns.strip('/')}/" if ns else ""
     path = f"{root.rstrip('/')}/duelframe-stages/{scope}{name}-{_signature(sf_dir, tables)}"
-    if not _exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+    try:
+        if not _exists(spark, path):
+            _publish(spark, build(), path)
+    except Exception as e:  # unwritable shared folder: stay correct, run lazily
+        log.warning("stage %s not materialised (%s); using the lazy plan", name, e)
+        return build()
     return spark.read.parquet(path)

@@ -68,3 +68,29 @@ def test_streaming_scorer_matches_batch(spark, tmp_path):
     batch = {r.bout_id: r.score for r in p.full_scored().collect()}
     assert streamed.keys() == batch.keys()
     assert max(abs(streamed[k] - batch[k]) for k in batch) < 1e-12
+
+
+def test_stage_publish_is_first_writer_wins(spark, tmp_path):
+    from duelframe.sources.stages import _exists, _publish
+    target = str(tmp_path / "stage")
+    _publish(spark, spark.range(5), target)
+    _publish(spark, spark.range(7), target)        # a second builder loses quietly
+    assert _exists(spark, target) and spark.read.parquet(target).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["stage"]
+
+
+def test_stage_falls_back_to_lazy_plan_when_unwritable(spark, tmp_path, monkeypatch):
+    from duelframe.sources import stages
+    blocker = tmp_path / "file"
+    blocker.write_text("x")                         # a file where a folder is needed
+    monkeypatch.setattr(stages, "checkpoint_dir", lambda s: str(blocker))
+    df = stages.stage(spark, "raw", SF001, ["orders"], lambda: spark.range(3))
+    assert df.count() == 3
+
+
+def test_ensure_checkpoint_dir_when_none_is_configured(spark, monkeypatch, tmp_path):
+    from duelframe import session
+    monkeypatch.setattr(session, "checkpoint_dir", lambda s: None)
+    d = session.ensure_checkpoint_dir(spark, str(tmp_path / "ckpt"))
+    assert d == str(tmp_path / "ckpt") and os.path.isdir(d)
+    assert spark.sparkContext.getCheckpointDir() is not None
