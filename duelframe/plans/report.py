@@ -64,7 +64,7 @@ def save_artifacts(p, out_dir: str) -> DataFrame:
     """Model pipeline (scaler + assembler + LR), feature manifest and metrics."""
     root = out_dir.rstrip("/")
     model = p.full_model()
-    model.save(f"{root}/models/logreg_baseline")
+    model.save(f"{root}/models/full_model")
     sc = p.scaler()
     spark = p.spark
     manifest = spark.createDataFrame(
@@ -72,5 +72,5 @@ def save_artifacts(p, out_dir: str) -> DataFrame:
         "position int, feature string, mean double, scale double")
     write_table(manifest.coalesce(1), f"{root}/models/feature_manifest")
     doc = metrics_document(p)
-    write_table(doc.coalesce(1), f"{root}/reports/baseline_metrics", fmt="json")
+    write_table(doc.coalesce(1), f"{root}/reports/metrics", fmt="json")
     return doc

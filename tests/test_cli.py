@@ -24,7 +24,7 @@ def test_cli_run_matches_fixture_pipeline(spark, tmp_path, capsys):
     assert doc.split_info.train_rows == want.cut
     assert doc.split_info.test_rows == want.n_rows - want.cut
     assert doc.feature_count == len(fixture.feature_cols())
-    assert os.path.isdir(os.path.join(out, "models", "logreg_baseline"))
+    assert os.path.isdir(os.path.join(out, "models", "full_model"))
     printed = capsys.readouterr().out
     assert "[column audit]" in printed and "[top coefficients]" in printed
     feats = spark.read.parquet(os.path.join(out, "features")).drop("year")
@@ -76,7 +76,7 @@ def test_cli_full_reference_schema(spark, tmp_path):
     data["WeightClass"] = [rnd.choice(["Lightweight", "Flyweight", "Heavyweight"]) for _ in range(n)]
     data["Gender"] = [rnd.choice(["MALE", "FEMALE"]) for _ in range(n)]
     data["BetterRank"] = [rnd.choice(["Red", "Blue", "neither", None]) for _ in range(n)]
-    path = str(tmp_path / "ufc.csv")
+    path = str(tmp_path / "contests.csv")
     pd.DataFrame(data).to_csv(path, index=False, na_rep="NA")
 
     doc = cli.main(["run", "--input", path, "--output", str(tmp_path / "out")], spark=spark).first()

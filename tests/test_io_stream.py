@@ -44,9 +44,9 @@ def test_artifacts_saved_and_reloaded(spark, tmp_path):  # O6, O7, O86
     assert row.feature_count == len(p.feature_cols())
     assert row.split_info.train_rows + row.split_info.test_rows == 15000
     assert len(row.model_metrics.confusion_matrix) == 2
-    js = spark.read.json(str(tmp_path / "reports" / "baseline_metrics"))
+    js = spark.read.json(str(tmp_path / "reports" / "metrics"))
     assert js.count() == 1
-    reloaded = PipelineModel.load(str(tmp_path / "models" / "logreg_baseline"))
+    reloaded = PipelineModel.load(str(tmp_path / "models" / "full_model"))
     m2 = mo.FittedModel(reloaded, p.feature_cols(), 0)
     a = {r.bout_id: r.score for r in p.full_scored().collect()}
     b = {r.bout_id: r.score for r in m2.score(p.test()).collect()}
