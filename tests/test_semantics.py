@@ -376,3 +376,26 @@ def test_roc_auc_equals_spark_exact_evaluator(spark):
         rawPredictionCol="score", labelCol="label", metricName="areaUnderROC", numBins=0
     ).evaluate(scored.withColumn("label", F.col("target").cast("double")))
     assert abs(ours - spark_exact) < 1e-9
+
+
+def test_no_odds_columns_skips_odds_baseline(spark):  # Q19
+    from duelframe.plans.pipeline import ContestPipeline
+    rnd = random.Random(23)
+    base = dt.date(2020, 1, 1)
+    rows = [(i, base + dt.timedelta(days=i), rnd.choice(["Red", "Blue"]),
+             rnd.choice(["Orthodox", "Southpaw"]), "Orthodox", rnd.choice(["MALE", "FEMALE"]),
+             float(rnd.randint(-3, 3)))
+            for i in range(60)]
+    raw = spark.createDataFrame(rows, "bout_id bigint, Date date, Winner string, RedStance string, "
+                                      "BlueStance string, Gender string, WinDif double")
+    p = ContestPipeline(spark, raw=raw)
+    assert p.odds_model() is None and "odds_diff" not in p.feature_cols()
+    ev_rows = [r.model for r in ev.results_summary(p.metric_rows()).collect()]
+    assert ev_rows == ["Majority Class", "Logistic Regression (Full)"]
+    rows = p.metric_rows()
+    cmp = ev.baseline_comparison(rows[-1], rows[0], None).first()
+    assert cmp.beat_odds_baseline is None and cmp.beat_majority_baseline in (0, 1)
+    from duelframe.plans.report import metrics_document
+    doc = metrics_document(p).first()
+    assert doc.beat_odds_baseline is None and len(doc.baselines) == 1
+    assert doc.split_info.train_rows == 48
