@@ -179,8 +179,9 @@ def _histogram() -> str:
 def build() -> dict[str, str]:
     s: dict[str, str] = {}
     s["scan_raw"] = with_ctes(RAW_STAR)
-    s["clean_bouts"] = with_ctes(RAW_STAR.replace("FROM bouts", "FROM bouts").replace(
-        "SELECT * REPLACE", 'SELECT * EXCLUDE ("Finish", "FinishRound") REPLACE'))
+    s["clean_bouts"] = with_ctes(
+        'SELECT * EXCLUDE ("Finish", "FinishRound") REPLACE (CAST("Date" AS VARCHAR) AS "Date", '
+        'CAST("TitleBout" AS INTEGER) AS "TitleBout") FROM bouts')
     s["column_audit"] = _column_audit()
     s["leakage_census"] = with_ctes(" UNION ALL ".join(
         f"SELECT {lit(c)} AS column_name, count({q(c)}) AS non_null FROM bouts" for c in LEAK_PRESENT))
