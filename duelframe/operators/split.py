@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
-from duelframe.functions.exprs import as_date, lenient_date  # noqa: F401 (re-exported)
+from duelframe.functions.exprs import as_date
 from duelframe.functions.ordering import kth_smallest
 
 

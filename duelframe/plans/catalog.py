@@ -19,7 +19,6 @@ from duelframe.operators import model as mo
 from duelframe.operators import profile as pr
 from duelframe.operators import quality as qa
 from duelframe.operators import split as sp
-from duelframe.plans import oracle_sql as O
 from duelframe.plans.pipeline import ContestPipeline
 
 R = 9  # rounding of aggregate doubles in registered outputs
