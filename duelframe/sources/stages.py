@@ -22,7 +22,7 @@ from duelframe.session import checkpoint_dir
 
 log = logging.getLogger(__name__)
 
-STAGE_FORMAT = 3  # bump when a stage's definition changes
+STAGE_FORMAT = 4  # bump when a stage's definition changes
 NAMESPACE_KEY = "spark.duelframe.stageNamespace"
 
 
