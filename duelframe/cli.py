@@ -103,7 +103,8 @@ def do_eda(spark, args) -> None:
     _show("class-conditional histograms", pr.class_histogram(feats), 400)
     _show("correlations", pr.corr_matrix(feats))
     _show("correlation with target", pr.target_corr(feats))
-    _show("favourite win rate", pr.favorite_win_rate(clean))
+    if {"RedOdds", "BlueOdds"} <= set(clean.columns):
+        _show("favourite win rate", pr.favorite_win_rate(clean))
     _show("yearly trend", pr.yearly_trend(clean).orderBy("year"))
     if "WeightClass" in clean.columns:
         _show("weight classes", pr.value_counts(clean, "WeightClass", with_percent=False))

@@ -233,5 +233,7 @@ def fill_counts(df: DataFrame) -> DataFrame:
     if "EmptyArena" in cols:
         raw["EmptyArena"] = F.col("EmptyArena")
     targets = [c for c in C.ZERO_FILL_COLUMNS if c in raw]
+    if not targets:
+        return df.sparkSession.createDataFrame([], "column_name string, filled bigint")
     agg = df.agg(*[F.count_if(raw[c].isNull()).alias(c) for c in targets])
     return agg.unpivot([], targets, "column_name", "filled")

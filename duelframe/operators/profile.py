@@ -92,6 +92,9 @@ def favorite_win_rate(df: DataFrame, key: str = "bout_id") -> DataFrame:
 def rank_coverage(df: DataFrame) -> DataFrame:
     """Percent of rows where the Red side of each rank pair is present."""
     pairs = {k: v for k, v in C.RANKING_PAIRS.items() if v[0] in df.columns and v[1] in df.columns}
+    if not pairs:
+        return df.sparkSession.createDataFrame(
+            [], "rank_diff string, red_ranked bigint, red_ranked_pct double")
     aggs = [F.count(F.lit(1)).alias("_rows")] + [
         F.count(F.col(r)).alias(f"_c{i}") for i, (r, _) in enumerate(pairs.values())]
     stacked = ", ".join(f"'{k}', _c{i}" for i, k in enumerate(pairs))
@@ -107,6 +110,9 @@ def class_histogram(features: DataFrame, columns: list[str] | None = None,
                     bins: int = C.HISTOGRAM_BINS, target: str = "target") -> DataFrame:
     """Equal-width bins over each (column, class)'s own min..max."""
     columns = [c for c in (columns or C.HISTOGRAM_COLUMNS) if c in features.columns]
+    if not columns:
+        return features.sparkSession.createDataFrame(
+            [], "feature string, target int, bin bigint, bin_start double, bin_end double, n bigint")
     long = features.select(
         F.col(target).alias("target"),
         F.explode(F.array(*[F.struct(F.lit(c).alias("feature"),
@@ -147,6 +153,8 @@ def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def target_corr(df: DataFrame, columns: list[str] | None = None, target: str = "target") -> DataFrame:
     """Correlation of each numeric column with the target, strongest first."""
     cols = [c for c in present_numeric(df, columns or C.CORRELATION_COLUMNS) if c != target]
+    if not cols or target not in df.columns:
+        return df.sparkSession.createDataFrame([], "feature string, corr double, direction string")
     aggs = [pearson(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"_p{k}")
             for k, c in enumerate(cols)]
     stacked = ", ".join(f"'{c}', _p{k}" for k, c in enumerate(cols))

@@ -91,6 +91,9 @@ def table_shape(tables: dict[str, DataFrame]) -> DataFrame:
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column_name, missing, total_rows) for every column, one pass."""
     columns = columns if columns is not None else df.columns
+    if not columns:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, missing bigint, total_rows bigint")
     aggs = [F.count(F.lit(1)).alias("_rows")] + [
         F.count_if(F.col(f"`{c}`").isNull()).alias(f"_m{i}") for i, c in enumerate(columns)]
     stacked = ", ".join(f"'{c}', _m{i}" for i, c in enumerate(columns))

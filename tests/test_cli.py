@@ -89,3 +89,22 @@ def test_cli_full_reference_schema(spark, tmp_path):
     assert "stance_matchup" in feats.columns and "Finish" not in feats.columns
     assert feats.filter(F.col("odds_diff").isNull()).count() == 0        # neutral fill
     assert feats.filter(F.col("draws_diff").isNull()).count() > 0        # left NULL, as in the reference
+
+
+def test_cli_minimal_schema(spark, tmp_path):
+    """Only the mandatory columns plus one existing diff: every stage and
+    the EDA still run, skipping what is absent."""
+    import pandas as pd
+    n = 50
+    pd.DataFrame({
+        "Date": [f"2020-01-{1 + i % 28:02d}" for i in range(n)],
+        "Winner": ["Red" if i % 3 else "Blue" for i in range(n)],
+        "RedStance": ["Orthodox"] * n, "BlueStance": ["Southpaw" if i % 2 else "Orthodox" for i in range(n)],
+        "RedFighter": ["a"] * n, "BlueFighter": ["b"] * n,
+        "WinDif": [i % 5 - 2 for i in range(n)],
+    }).to_csv(str(tmp_path / "mini.csv"), index=False)
+    doc = cli.main(["run", "--input", str(tmp_path / "mini.csv"), "--output", str(tmp_path / "o")],
+                   spark=spark).first()
+    assert doc.feature_count == 1 + 2          # WinDif + two stance dummies
+    assert len(doc.baselines) == 1 and doc.beat_odds_baseline is None
+    cli.main(["eda", "--input", str(tmp_path / "mini.csv")], spark=spark)
