@@ -25,6 +25,10 @@ from duelframe.functions.exprs import class_label
 
 MAX_ITER = 1000
 TOL = 1e-8
+# A one-feature fit reaches the objective's floating-point floor by 1e-6
+# (its coefficients then equal a Newton solve to ~2e-7, the same as at 1e-12);
+# tighter tolerances only add failed line searches, i.e. extra data passes.
+TOL_ONE_FEATURE = 1e-6
 
 
 def training_columns(columns: list[str]) -> list[str]:
@@ -178,11 +182,12 @@ class FittedModel:
 
 def fit_logistic(train: DataFrame, feature_cols: list[str], scaler: Scaler | None = None,
                  balanced: bool = False, key: str = "bout_id",
-                 handle_invalid: str = "error", n_train: int | None = None) -> FittedModel:
+                 handle_invalid: str = "error", n_train: int | None = None,
+                 tol: float | None = None) -> FittedModel:
     """Fit [optional scaler] -> assembler -> L2 logistic regression.
 
     ``n_train`` (rows of ``train``) sets ``regParam = 1/n``; it is counted
-    when not supplied.
+    when not supplied.  ``tol`` defaults to ``TOL``.
     """
     n_train = n_train if n_train is not None else train.count()
     stages = []
@@ -195,7 +200,8 @@ def fit_logistic(train: DataFrame, feature_cols: list[str], scaler: Scaler | Non
                                   handleInvalid=handle_invalid))
     lr = LogisticRegression(featuresCol="features", labelCol="label",
                             regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
-                            standardization=False, maxIter=MAX_ITER, tol=TOL,
+                            standardization=False, maxIter=MAX_ITER,
+                            tol=TOL if tol is None else tol,
                             fitIntercept=True)
     if balanced:
         lr.setWeightCol("weight")

@@ -148,7 +148,8 @@ class ContestPipeline:
         if "odds_diff" not in self.feature_cols():
             return None
         return self._m("odds_model", lambda: mo.fit_logistic(
-            self.train(), ["odds_diff"], n_train=self.split_point().cut))
+            self.train(), ["odds_diff"], n_train=self.split_point().cut,
+            tol=mo.TOL_ONE_FEATURE))
 
     def full_model(self) -> mo.FittedModel:
         return self._m("full_model", lambda: mo.fit_logistic(
