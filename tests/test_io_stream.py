@@ -95,3 +95,12 @@ def test_ensure_checkpoint_dir_when_none_is_configured(spark, monkeypatch, tmp_p
     d = session.ensure_checkpoint_dir(spark, str(tmp_path / "ckpt"))
     assert d == str(tmp_path / "ckpt") and os.path.isdir(d)
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_raw_stage_is_clustered_by_date_within_files(spark):
+    import pyarrow.parquet as pq
+    files = _p(spark).raw().inputFiles()
+    assert files
+    t = pq.read_table(files[0].replace("file://", "").replace("file:", ""), columns=["Date", "bout_id"])
+    keys = list(zip(t.column("Date").to_pylist(), t.column("bout_id").to_pylist()))
+    assert keys == sorted(keys)
