@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -28,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHED_PIECES = 200_000  # per generation of a Python worker's memo
+CACHED_PIECES = 120_000  # per generation of a Python worker's memo
 CACHED_PIECE_CHARS = 64
 #: A space between two characters that are no white space: a piece always starts at it.
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 CROWDED_SPACE = re.compile(r"^ | $| \s|\s ")
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -175,7 +176,11 @@ class BytePairCoder:
         return self.encode_pieces(first) + b"".join(map(self.spaced.__getitem__, words))
 
     def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        return decoded(packed, self.bytes_of)
+
+
+def decoded(packed: bytes, bytes_of: dict[int, bytes]) -> bytes:
+    return b"".join(map(bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
 class _Memo(dict):
@@ -227,7 +232,7 @@ def encode(df: DataFrame, vocab_path: str, pattern: str, text: str = "text",
         bpe = coder(vocab_path, pattern)
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            packed = pa.array([bpe.encode(t or "") for t in batch.column(at).to_pylist()], pa.binary())
+            packed = pa.array([bpe.encode(t.as_py() or "") for t in batch.column(at)], pa.binary())
             rest = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in rest] + [packed],
                                              [batch.schema.names[i] for i in rest] + [ids])
@@ -235,15 +240,20 @@ def encode(df: DataFrame, vocab_path: str, pattern: str, text: str = "text",
     return df.mapInArrow(run, _replaced(df, text, [T.StructField(ids, T.BinaryType())]))
 
 
-def decode(df: DataFrame, vocab_path: str, pattern: str, ids: str = "token_ids",
-           out: str = "decoded") -> DataFrame:
+@lru_cache(maxsize=4)
+def _entries(path: str) -> dict[int, bytes]:
+    """What each token stands for; decoding needs nothing else in memory."""
+    return {rank: token for token, rank in load_ranks(path).items()}
+
+
+def decode(df: DataFrame, vocab_path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """Append the bytes that the packed ids in ``ids`` stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(vocab_path, pattern)
+        bytes_of = _entries(vocab_path)
         for batch in batches:
-            packed = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            back = pa.array([bpe.decode(p or b"") for p in packed], pa.binary())
+            column = batch.column(batch.schema.get_field_index(ids))
+            back = pa.array([decoded(p.as_py() or b"", bytes_of) for p in column], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, back], [*batch.schema.names, out])
 
     return df.mapInArrow(run, _replaced(df, out, [T.StructField(out, T.BinaryType())]))

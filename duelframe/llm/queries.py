@@ -4,15 +4,63 @@ from __future__ import annotations
 
 from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, quality_rules, simhash_dedup
+from . import (byte_bpe, decontaminate, line_dedup, quality_rules, secret_scan, sharding, simhash_dedup,
+               suffix_dedup, url_filter, warc_zip)
 from .common import read_table
 
 VOCABULARY = tokenizer_path("byte_bpe_50k.tiktoken")
 
 
+SHARDS = [f"shard-{i:02d}" for i in range(16)]
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their source's boilerplate lines."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs)
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document."""
+    return sharding.place(read_table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
+def _joined(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: pattern spans and those that the CRF adds."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs)).select("doc_id", "secrets").withColumn(
+        "base", F.filter("secrets", lambda s: s["kind"] != "crf"))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(_joined("base"), 256).alias("base_sha256"),
+                        _joined("secrets").alias("spans"), count("crf").alias("n_crf"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that leaked into each document."""
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to ZIP-packaged WARC files and read back by byte ranges."""
+    manifest = warc_zip.write_archives(read_table(spark, sf_dir, "pages"))
+    records = warc_zip.read_records(warc_zip.record_ranges(manifest))
+    return warc_zip.resolved(records)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL, by rule or by its host's trust and distrust."""
+    return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints differ in two bits or fewer."""
     groups = simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -22,7 +70,7 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Per document: token count and digests of its ids and of the decoded bytes."""
     ids = byte_bpe.encode(docs.select("doc_id", "text"), VOCABULARY, PATTERN)
-    back = byte_bpe.decode(ids, VOCABULARY, PATTERN)
+    back = byte_bpe.decode(ids, VOCABULARY)
     return back.select("doc_id", F.expr("cast(octet_length(token_ids) div 4 as long)").alias("n_tokens"),
                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -40,6 +88,55 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality_rules.COUNTS, "base_failed", "kept", "score")
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_dedup, op8_byte_bpe, op9_quality_rules)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 400-byte strings that occur elsewhere."""
+    cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["b"] - r["a"])
+    return cut.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_secret_scan, op4_simhash_dedup,
+                                   op5_decontamination, op6_warc_zip, op7_url_filter, op8_byte_bpe,
+                                   op9_quality_rules, op10_suffix_dedup)}
+
+LINE_DEDUP_SQL = f"""
+WITH lines AS (
+  SELECT rn, doc_id, source, line, i, trim(line, ' ') AS key
+  FROM (SELECT rn, doc_id, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+        FROM (SELECT row_number() OVER () AS rn, doc_id, source, string_split(text, chr(10)) AS parts FROM documents))
+), pages AS (
+  SELECT source, count(*) AS n FROM documents GROUP BY source
+), bad AS (
+  SELECT s.source, s.key
+  FROM (SELECT source, key, count(DISTINCT rn) AS n FROM lines WHERE key <> '' GROUP BY source, key) s
+  JOIN pages p ON s.source IS NOT DISTINCT FROM p.source
+  WHERE s.n >= {line_dedup.MIN_PAGES} AND s.n > {line_dedup.RATIO}::DOUBLE * p.n
+), marked AS (
+  SELECT l.*, b.key IS NOT NULL AS dropped
+  FROM lines l LEFT JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.key = b.key
+), kept AS (
+  SELECT rn, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '') AS text
+  FROM marked GROUP BY rn
+)
+SELECT d.doc_id, d.source, k.text, coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_dropped, 0)::BIGINT AS n_dropped
+FROM (SELECT row_number() OVER () AS rn, doc_id, source FROM documents) d LEFT JOIN kept k USING (rn)
+"""
+
+WARC_SQL = f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keeper,
+         count(*) OVER (PARTITION BY payload_digest, payload_bytes) AS n FROM p
+), r AS (
+  SELECT *, CASE WHEN payload_bytes >= {warc_zip.MIN_BYTES} AND n > 1 AND page_id IS DISTINCT FROM keeper
+                 THEN keeper END AS refers_to FROM k
+)
+SELECT page_id, payload_bytes, payload_digest, refers_to, true AS digest_ok,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type FROM r
+"""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op6_warc_zip": WARC_SQL}
