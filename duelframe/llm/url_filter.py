@@ -68,8 +68,9 @@ def parsed(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str
 
 def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
     """(src, dst, weight) over different hosts; ``pages`` has a column host."""
-    linked = F.explode(F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1))))
-    links = (pages.select(F.col("host").alias("src"), F.translate(linked, UPPER, LOWER).alias("dst"))
+    linked = F.transform(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1)),
+                         lambda host: F.translate(host, UPPER, LOWER))
+    links = (pages.select(F.col("host").alias("src"), F.explode(F.array_distinct(linked)).alias("dst"))
              .where("src <> dst and src <> ''").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight")))
     names = pages.select("host").union(links.select("dst")).where("host <> ''").distinct()
     # every domain above a host, two labels at least, with the one below it

@@ -240,8 +240,10 @@ def write_archives(pages: DataFrame, folder: str | None = None, page_id: str = "
 
 
 def _after(first, rest):
+    """``rest`` goes on after this generator is closed, so no ``yield from``."""
     yield first
-    yield from rest
+    for row in rest:  # noqa: UP028
+        yield row
 
 
 def record_ranges(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:

@@ -10,7 +10,7 @@ from duelframe.llm import queries
 
 def brute(text, items, threshold=0.8):
     """Best weighted similarity of any window of an item's size, and its first place."""
-    w, out = D.words_of(text), {}
+    w, out, of_text = D.words_of(text), {}, {}
     for i, t in items:
         x = D.words_of(t)
         if not x:
@@ -18,6 +18,10 @@ def brute(text, items, threshold=0.8):
         k = min(5, len(x))
         bag = lambda y: Counter(tuple(y[j:j + k]) for j in range(len(y) - k + 1))
         own, best = bag(x), (0.0, 0)
+        if k not in of_text:
+            of_text[k] = set(bag(w))
+        if not of_text[k] & own.keys():
+            continue  # no window has anything in common with the item
         for s in range(len(w) - len(x) + 1):
             win = bag(w[s:s + len(x)])
             sim = sum((own & win).values()) / sum((own | win).values())
@@ -96,7 +100,7 @@ def test_query_matches_brute_force(spark):
 
 def test_blocks_and_odd_rows(spark, monkeypatch):
     rng = random.Random(17)
-    items, texts = planted(rng, 60)
+    items, texts = planted(rng, 40)
     bench = spark.createDataFrame([*items, items[0], (90, None), (91, ""), (None, "a b"), (92, " \n")], "item_id long, text string")
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA).union(odd_docs(spark))
     rows = docs.collect()

@@ -82,7 +82,7 @@ def test_round_trip_of_odd_pages(spark):
             (4, "u", "short", "d"), (5, "u", "short", "d"), (6, None, None, None), (None, "u", big, "d"),
             (None, "u", "lone" * 500, "d"), (7, "", "", "d"), (8, "u", "WARC/1.1\r\n\r\n" * 300, "d"), (9, "ü漢", "a" * 3_000_000, "")]
     pages = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    manifest = Z.write_archives(pages, archive_bytes=1000)
+    manifest = Z.write_archives(pages, archive_bytes=300)
     assert manifest.count() > 3  # full archives are followed by new ones
     records = Z.read_records(Z.record_ranges(manifest, range_bytes=500))
     got = Z.resolved(records).collect()
