@@ -91,16 +91,17 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rou
     ways = way[0].union(way[1])
     out = ways.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     ways = written(ways.join(out, ["kind", "src"]).select(
-        "kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share")), "host-edges")
+        F.col("kind").alias("way"), "src", "dst", (F.col("weight") / F.col("all")).alias("share")), "host-edges")
     start = seeds.select("host", F.expr("stack(2, 'trust', allowed, 'distrust', blocked) as (kind, n)")).where("n > 0")
     total = start.groupBy("kind").agg(F.sum("n").alias("total"))  # two rows
     start = written(start.join(F.broadcast(total), "kind").select(
         "kind", "host", (F.col("n") / F.col("total")).alias("mass")), "seeds")
     mass = start
     for i in range(rounds):
-        sent = (mass.join(ways, (mass["kind"] == ways["kind"]) & (mass["host"] == ways["src"]))
-                .select(mass["kind"], ways["dst"].alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass")))
-        mass = (sent.union(start.select("kind", "host", F.col("mass") * (1 - damping)))
+        at = mass.select("kind", "host", "mass")
+        sent = (at.join(ways, (F.col("kind") == F.col("way")) & (F.col("host") == F.col("src")))
+                .select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass")))
+        mass = (sent.union(start.select("kind", "host", (F.col("mass") * (1 - damping)).alias("mass")))
                 .groupBy("kind", "host").agg(F.sum("mass").alias("mass")))
         if (i + 1) % ROUNDS_PER_TABLE == 0 or i + 1 == rounds:
             mass = written(mass, "trust")
