@@ -31,22 +31,29 @@ from duelframe.session import build_session
 from duelframe.sources.io import read_contests, read_features, write_features, write_table
 
 
-def _show(title: str, df: DataFrame, n: int = 50) -> None:
-    print(f"\n[{title}]")
-    df.show(n, truncate=False)
+def _show(title: str, df: DataFrame) -> None:
+    """Print a small result table whole (rows bounded by columns or categories)."""
+    rows = df.collect()
+    print(f"\n[{title}]\n" + " | ".join(df.columns))
+    for r in rows:
+        print(" | ".join("" if v is None else str(v) for v in r))
 
 
 def _fmt(path: str, fmt: str | None) -> str:
     return fmt or ("csv" if path.lower().endswith(".csv") else "parquet")
 
 
+def _read(spark: SparkSession, args) -> DataFrame:
+    return read_contests(spark, args.input, _fmt(args.input, args.format), multi_line=args.multi_line)
+
+
 def _pipeline(spark: SparkSession, args, **inputs) -> ContestPipeline:
     return ContestPipeline(spark, ratio=args.ratio, odds_direction=args.direction,
                            whole_dates=args.whole_dates, vocab_on=args.vocab_on, **inputs)
 
 
 def do_clean(spark, args, raw: DataFrame | None = None) -> DataFrame:
-    raw = raw if raw is not None else read_contests(spark, args.input, _fmt(args.input, args.format))
+    raw = raw if raw is not None else _read(spark, args)
     _show("column audit", qa.column_audit(raw))
     qa.require_target(raw)
     _show("target distribution", pr.value_counts(raw, C.TARGET_COLUMN))
@@ -58,14 +65,14 @@ def do_clean(spark, args, raw: DataFrame | None = None) -> DataFrame:
 
 def do_features(spark, args, clean: DataFrame | None = None) -> DataFrame:
     if clean is None:
-        clean = read_contests(spark, args.input, _fmt(args.input, args.format))
+        clean = _read(spark, args)
     p = _pipeline(spark, args, clean=clean)
     _show("neutral fills", fe.fill_counts(clean))
     _show("rank coverage", pr.rank_coverage(clean))
     _show("top stance matchups", pr.top_values(
         clean.select(fe.stance_matchup_expr().alias("stance_matchup")), "stance_matchup", C.STANCE_TOP_N))
     feats, spec = p.features(), p.spec()
-    _show("feature checks", qa.feature_checks(feats, spec.columns))
+    _show("feature checks", qa.feature_checks(feats, spec.columns, spec.labels))
     _show("feature nulls (not filled, as in the reference)", qa.feature_nulls(feats, spec.columns))
     _show("feature groups", qa.feature_groups(feats, spec.groups()))
     write_features(feats, args.output)
@@ -76,7 +83,8 @@ def do_features(spark, args, clean: DataFrame | None = None) -> DataFrame:
 
 def do_train(spark, args, feats: DataFrame | None = None) -> DataFrame:
     if feats is None:
-        feats = read_features(spark, args.input)
+        csv = _fmt(args.input, args.format) == "csv"
+        feats = _read(spark, args).drop("year") if csv else read_features(spark, args.input)
     p = _pipeline(spark, args, features=feats)
     _show("dates", sp.date_quality(feats))
     _show("split", sp.split_summary(p.split()))
@@ -92,15 +100,16 @@ def do_train(spark, args, feats: DataFrame | None = None) -> DataFrame:
 
 
 def do_eda(spark, args) -> None:
-    raw = read_contests(spark, args.input, _fmt(args.input, args.format))
+    raw = _read(spark, args)
     p = _pipeline(spark, args, raw=raw)
     clean, feats = p.clean(), p.features()
     _show("shape", qa.table_shape({"raw": raw, "clean": clean, "features": feats}))
     _show("date range", pr.date_range(raw))
     _show("dtypes", qa.dtype_census(raw))
+    _show("columns with missing values", qa.missing_summary(raw))
     _show("missing values (top 15)", qa.missing_profile(raw))
     _show("winner distribution", pr.value_counts(clean, C.TARGET_COLUMN))
-    _show("class-conditional histograms", pr.class_histogram(feats), 400)
+    _show("class-conditional histograms", pr.class_histogram(feats))
     _show("correlations", pr.corr_matrix(feats))
     _show("correlation with target", pr.target_corr(feats))
     if {"RedOdds", "BlueOdds"} <= set(clean.columns):
@@ -112,7 +121,7 @@ def do_eda(spark, args) -> None:
 
 def do_run(spark, args) -> DataFrame:
     out = args.output.rstrip("/")
-    raw = read_contests(spark, args.input, _fmt(args.input, args.format))
+    raw = _read(spark, args)
     a = argparse.Namespace(**{**vars(args), "output": f"{out}/cleaned"})
     clean = do_clean(spark, a, raw)
     a = argparse.Namespace(**{**vars(args), "output": f"{out}/features"})
@@ -128,6 +137,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--output", default="duelframe-out")
     ap.add_argument("--format", choices=["csv", "parquet"], default=None, help="input format")
     ap.add_argument("--output-format", choices=["csv", "parquet"], default="parquet")
+    ap.add_argument("--multi-line", action="store_true", help="CSV fields may hold line breaks")
     ap.add_argument("--ratio", type=float, default=C.TRAIN_RATIO)
     ap.add_argument("--direction", type=int, choices=[-1, 1], default=-1,
                     help="-1: lower odds favour Red (American odds)")

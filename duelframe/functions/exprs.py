@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,10 +16,6 @@ def percent(num: Column, den: Column) -> Column:
     return F.try_divide(F.lit(100.0) * num.cast("double"), den.cast("double"))
 
 
-def ratio(num: Column, den: Column) -> Column:
-    return F.try_divide(num.cast("double"), den.cast("double"))
-
-
 def sign_label(c: Column) -> Column:
     """'(+)' for strictly positive, '(-)' otherwise (zero is '(-)')."""
     return F.when(c > 0, F.lit("(+)")).otherwise(F.lit("(-)"))
@@ -82,3 +78,13 @@ def as_date(df, date_col: str) -> Column:
     if t.startswith("timestamp"):
         return F.to_date(F.col(date_col))
     return lenient_date(F.col(date_col))
+
+
+def long_rows(wide: DataFrame, names: list[str], rows: list[tuple], *more: Column) -> DataFrame:
+    """One output row per tuple and input row; tuples hold columns and plain values.
+
+    Built from columns and literals, so a name or value may hold any text.
+    """
+    cells = [F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(n) for n, v in zip(names, row)])
+             for row in rows]
+    return wide.select(F.inline(F.array(*cells)), *more)

@@ -4,15 +4,21 @@
   plans this as a *partial* ``WindowGroupLimit`` before the shuffle, so only
   ``k`` rows per group and map partition move -- a group holding a third of
   all rows costs no more than a small one.
-* ``quantile_edges`` / ``bucket_of``: order-preserving buckets from
-  approximate quantiles; the bucket id is a balanced CASE tree that stays in
-  whole-stage codegen.
+* ``quantile_edges`` / ``bucketize``: order-preserving buckets of a number
+  from approximate quantiles, by binary search in the JVM.
+* ``sample_edges`` / ``bucket_of``: the same for values of any orderable type,
+  from a bounded sample by hash; the bucket id is a balanced CASE tree.
+* ``kth_smallest`` / ``positions``: exact order statistics and exact places in
+  a sorted order, from bucket counts, without sorting everything in one task.
 * ``prefix_before``: exclusive running sums over a *small* ordered table
   (bucket totals), used to turn per-bucket counts into global offsets.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +47,20 @@ def quantile_edges(df: DataFrame, col: str, n_buckets: int,
     return sorted({q for q in qs if q is not None})
 
 
-def bucket_of(c: Column, edges: list) -> Column:
+EDGES = 255  # edges of one CASE tree
+
+
+def sample_edges(df: DataFrame, col: str, n: int = EDGES) -> list:
+    """At most ``n`` values of ``col`` in ascending order, for any orderable type.
+
+    Takes the values of least hash, which is a uniform sample of the distinct
+    values; a partial top-k per task, so at most ``n`` values per task move.
+    """
+    picked = df.select(col).orderBy(F.xxhash64(col), F.col(col)).limit(n)
+    return [r[0] for r in picked.orderBy(col).collect()]
+
+
+def bucket_of(c: Column, edges: list[Column]) -> Column:
     """Bucket index in ``0..len(edges)``: number of edges ``<= c``.
 
     Built as a balanced binary CASE tree (depth log2 of the edge count), so it
@@ -52,7 +71,7 @@ def bucket_of(c: Column, edges: list) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2          # test edge index mid-1
-        return F.when(c < F.lit(edges[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
+        return F.when(c < edges[mid - 1], build(lo, mid - 1)).otherwise(build(mid, hi))
 
     return build(0, len(edges)).cast("int")
 
@@ -74,76 +93,83 @@ def prefix_before(small: DataFrame, order_cols: list[str], value_cols: list[str]
 
 
 def bucketize(df: DataFrame, col: str, edges: list, out: str) -> DataFrame:
-    """Add ``out`` = order-preserving bucket of ``col`` (see ``bucket_of``).
-
-    Up to 255 edges use the code-generated CASE tree; more edges use
-    ``ml.feature.Bucketizer`` (JVM binary search over the split array).
-    """
-    if len(edges) <= 255:
-        return df.withColumn(out, bucket_of(F.col(col), edges))
-    from pyspark.ml.feature import Bucketizer
-    splits = [float("-inf")] + [float(e) for e in edges] + [float("inf")]
-    # keep strictly increasing after the double conversion
-    dedup = [splits[0]]
-    for s in splits[1:]:
-        if s > dedup[-1]:
-            dedup.append(s)
+    """Add ``out`` = order-preserving bucket of the number ``col``
+    (``ml.feature.Bucketizer``: JVM binary search over the split array)."""
+    splits = [float("-inf")] + sorted({float(e) for e in edges}) + [float("inf")]
     tmp = f"{out}__in"
-    b = Bucketizer(splits=dedup, inputCol=tmp, outputCol=out, handleInvalid="keep")
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return b.transform(df.withColumn(tmp, F.col(col).cast("double"))) \
         .withColumn(out, F.col(out).cast("int")).drop(tmp)
 
 
-def kth_smallest(df: DataFrame, key: str, k: int, n_rows: int | None = None,
-                 final_rows: int = 200_000, n_buckets: int = 256):
-    """Exact k-th smallest (1-based) value of a unique ``key`` column.
+def positions(df: DataFrame, col: str, out: str = "position") -> DataFrame:
+    """Distinct non-NULL values of ``col`` with their 0-based place in sorted order.
 
-    Each round buckets the remaining candidate interval by approximate
-    quantiles, counts rows per bucket (<= ``n_buckets`` rows come back), and
-    keeps the one bucket holding the answer; once at most ``final_rows``
-    candidates remain, a ``row_number`` over them picks the value.  Work per
-    round is one filtered pass; no round moves more than a bounded number of
-    rows into one task, however large or skewed the input.
+    Buckets by sampled edges, bucket totals for the offsets (at most
+    ``EDGES + 1`` rows), and a window inside each bucket.
+    """
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    edges = [F.lit(e) for e in sample_edges(values, col)]
+    placed = values.withColumn("_b", bucket_of(F.col(col), edges))
+    totals = prefix_before(placed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), ["_b"], ["_n"])
+    w = Window.partitionBy("_b").orderBy(col)
+    return (placed.join(F.broadcast(totals.select("_b", "_n_before")), "_b")  # <= EDGES + 1 rows
+            .select(col, (F.col("_n_before") + F.row_number().over(w) - 1).cast("bigint").alias(out)))
+
+
+@dataclass
+class OrderedKey:
+    """A key in (NULLs first) lexicographic order, and the rows before and at it."""
+    values: tuple
+    rows_before: int
+    rows_at: int
+
+
+def at_most(keys: list[Column], values: tuple) -> Column:
+    """Whether the keys are at or before ``values``; NULL comes first, never NULL itself."""
+    key, value, rest = keys[0], values[0], values[1:]
+    null = key.isNull()
+    if not rest:
+        return null if value is None else null | F.coalesce(key <= F.lit(value), F.lit(False))
+    less = F.lit(False) if value is None else null | F.coalesce(key < F.lit(value), F.lit(False))
+    return less | (key.eqNullSafe(F.lit(value)) & at_most(keys[1:], rest))
+
+
+def kth_smallest(df: DataFrame, key: str | list[str], k: int, final_keys: int = 20_000,
+                 n_edges: int = EDGES) -> OrderedKey:
+    """The key of the exact k-th row (1-based) in ascending order of ``key``.
+
+    Keys may be of any orderable type, NULL (first) or repeated: rows are
+    counted per distinct key first, so repeats collapse.  Each round samples
+    edges among the remaining keys, counts rows per bucket (at most
+    ``n_edges + 1`` rows come back) and keeps the bucket that holds row k,
+    which leaves fewer distinct keys each time.  The last ``final_keys`` keys
+    at most get a running sum.
     """
-    c = F.col(key)
-    lo = hi = None   # candidate interval [lo, hi)
-    below = 0        # rows with key < lo
-    remaining = n_rows if n_rows is not None else df.count()
-    if not 1 <= k <= remaining:
-        raise ValueError(f"k={k} outside 1..{remaining}")
-
-    def cands():
-        out = df
-        if lo is not None:
-            out = out.filter(c >= F.lit(lo))
-        if hi is not None:
-            out = out.filter(c < F.lit(hi))
-        return out.select(key)
-
-    while remaining > final_rows:
-        sub = cands()
-        acc = max(10000, 20 * n_buckets)
-        edges = quantile_edges(sub, key, n_buckets, acc)
-        if not edges:
-            break
-        counts = {r["b"]: r["n"] for r in
-                  bucketize(sub, key, edges, "b").groupBy("b")
-                  .agg(F.count(F.lit(1)).alias("n")).collect()}
-        run = 0
-        target = k - below
-        for b in range(len(edges) + 1):
-            n_b = counts.get(b, 0)
-            if run + n_b >= target:
-                new_lo = edges[b - 1] if b > 0 else lo
-                new_hi = edges[b] if b < len(edges) else hi
+    keys = [key] if isinstance(key, str) else list(key)
+    counted = df.groupBy(F.struct(*keys).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    types = counted.schema["_k"].dataType.fields
+
+    def lit(row) -> Column:
+        return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in types])
+
+    total = counted.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("keys")).first()
+    if not 1 <= k <= (total["n"] or 0):
+        raise ValueError(f"k={k} outside 1..{total['n'] or 0}")
+    left, below, n_keys = counted, 0, total["keys"]
+    while n_keys > final_keys:
+        edges = sample_edges(left, "_k", n_edges)
+        spread = left.withColumn("_b", bucket_of(F.col("_k"), [lit(e) for e in edges]))
+        counts = spread.groupBy("_b").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("keys"))
+        for r in sorted(counts.collect(), key=lambda r: r["_b"]):
+            if below + r["n"] >= k:
+                b, n_keys = r["_b"], r["keys"]
                 break
-            run += n_b
-        if n_b >= remaining:  # no progress (duplicate keys): finish by window
-            break
-        below += run
-        lo, hi, remaining = new_lo, new_hi, n_b
-
-    w = Window.orderBy(c)
-    row = (cands().withColumn("_pos", F.row_number().over(w))
-           .filter(F.col("_pos") == k - below).select(key).first())
-    return row[0]
+            below += r["n"]
+        low = F.lit(True) if b == 0 else F.col("_k") >= lit(edges[b - 1])
+        high = F.lit(True) if b == len(edges) else F.col("_k") < lit(edges[b])
+        left = left.filter(low & high)
+    w = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    row = (left.withColumn("_before", F.lit(below) + F.coalesce(F.sum("_n").over(w), F.lit(0)))
+           .filter((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k)).first())
+    return OrderedKey(tuple(row["_k"][f.name] for f in types), int(row["_before"]), int(row["_n"]))

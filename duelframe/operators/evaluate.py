@@ -7,12 +7,11 @@ Everything is an aggregation; the confusion grid is a fixed 2x2 table.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
+from duelframe.functions.exprs import long_rows
 from duelframe.functions.ordering import bucketize, prefix_before, quantile_edges
 
 
@@ -22,60 +21,37 @@ def accuracy(scored: DataFrame, label: str = "target", pred: str = "prediction")
         F.avg((F.col(pred) == F.col(label)).cast("double")).alias("accuracy"))
 
 
-PROBE = 1024  # quantile ladder taken in the counting pass
+BUCKETS = 1024
 
 
 def roc_auc(scored: DataFrame, label: str = "target", score: str = "score",
-            rows_per_bucket: int = 500_000, max_buckets: int = 100_000,
-            pred: str | None = None, n_rows_hint: int | None = None) -> DataFrame:
+            pred: str | None = None, cells: bool = False, n_buckets: int = BUCKETS) -> DataFrame:
     """Exact ROC-AUC; tied scores get half credit.
 
     AUC = sum over distinct scores s of pos(s) * (neg(<s) + neg(s)/2) / (P*N).
     ``neg(<s)`` is a running sum over distinct scores.  Scores are grouped
     first (ties collapse, so a score shared by a third of the rows is one
-    row), cut into quantile buckets sized ~``rows_per_bucket`` distinct
-    scores, bucket offsets come from the (bounded) bucket totals, and the
-    running sum inside each bucket is a window partitioned by bucket.
+    row), cut into ``n_buckets`` quantile buckets, bucket offsets come from
+    the (bounded) bucket totals, and the running sum inside each bucket is a
+    window partitioned by bucket.  The plan is the same at every size.
 
     ``pred`` adds the accuracy of that prediction column, computed in the
-    same pass.  ``n_rows_hint`` (an upper bound on the rows) skips the
-    counting pass when the scores fit one bucket anyway.  Rows with a NULL
-    score or label are left out.
+    same pass, and ``cells`` the four confusion cells c00, c01, c10, c11.
+    Rows with a NULL score or label are left out.
     """
     y = F.col(label).cast("bigint")
-    aggs = [F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")]
+    aggs = {"_pos": y, "_neg": F.lit(1) - y}
     if pred is not None:
-        aggs.append(F.sum((F.col(pred) == F.col(label)).cast("bigint")).alias("_ok"))
+        aggs["_ok"] = (F.col(pred) == F.col(label)).cast("bigint")
+    if cells:
+        aggs |= {f"c{a}{p}": ((F.col(label) == a) & (F.col(pred) == p)).cast("bigint") for a in (0, 1) for p in (0, 1)}
     g = (scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-         .groupBy(F.col(score).alias("_s")).agg(*aggs))
-    if n_rows_hint is not None and n_rows_hint <= rows_per_bucket:
-        buckets, st = 1, None
-    else:
-        # one pass: the number of distinct scores and a fixed ladder of
-        # quantile edges; a finer ladder needs a second pass beyond PROBE
-        probe = [i / PROBE for i in range(1, PROBE)]
-        st = g.agg(F.count(F.lit(1)).alias("n"),
-                   F.percentile_approx("_s", probe, 10 * PROBE).alias("q")).first()
-        n_distinct = int(st["n"])
-        buckets = min(max_buckets, max(1, math.ceil(n_distinct / rows_per_bucket)))
-    if buckets <= 1:
-        edges = []
-    elif buckets <= PROBE:
-        step = PROBE / buckets
-        ladder = st["q"] or []
-        edges = sorted({ladder[min(len(ladder) - 1, int(round(i * step)) - 1)]
-                        for i in range(1, buckets)} - {None})
-    else:
-        edges = quantile_edges(g, "_s", buckets, max(10000, 10 * buckets))
+         .groupBy(F.col(score).alias("_s")).agg(*[F.sum(c).alias(n) for n, c in aggs.items()]))
+    gb = bucketize(g, "_s", quantile_edges(g, "_s", n_buckets, 10 * n_buckets), "_b")
+    offsets = prefix_before(gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg")), ["_b"], ["_bneg"])
     w = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    if edges:
-        gb = bucketize(g, "_s", edges, "_b")
-        offsets = prefix_before(gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg")), ["_b"], ["_bneg"])
-        start = gb.join(F.broadcast(offsets.select("_b", "_bneg_before")), "_b")  # <= max_buckets rows
-    else:  # one bucket (<= rows_per_bucket distinct scores): no offsets to add
-        start = g.withColumn("_b", F.lit(0)).withColumn("_bneg_before", F.lit(0).cast("bigint"))
-    below = start.withColumn(
-        "_below", F.col("_bneg_before") + F.coalesce(F.sum("_neg").over(w), F.lit(0)))
+    below = (gb.join(F.broadcast(offsets.select("_b", "_bneg_before")), "_b")  # <= n_buckets rows
+             .withColumn("_below", F.col("_bneg_before") + F.coalesce(F.sum("_neg").over(w), F.lit(0))))
     pos, neg = F.sum("_pos"), F.sum("_neg")
     credit = F.sum(F.col("_pos").cast("double") * (F.col("_below").cast("double") + 0.5 * F.col("_neg")))
     out = [F.try_divide(credit, pos.cast("double") * neg.cast("double")).alias("roc_auc"),
@@ -83,6 +59,8 @@ def roc_auc(scored: DataFrame, label: str = "target", score: str = "score",
     if pred is not None:
         out.append(F.try_divide(F.sum("_ok").cast("double"), (pos + neg).cast("double"))
                    .alias("accuracy"))
+    if cells:
+        out += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in aggs if c.startswith("c")]
     return below.agg(*out)
 
 
@@ -99,8 +77,8 @@ def confusion_counts(scored: DataFrame, label: str = "target", pred: str = "pred
 
 
 def confusion_long(cells: DataFrame) -> DataFrame:
-    return cells.selectExpr(
-        "stack(4, 0, 0, c00, 0, 1, c01, 1, 0, c10, 1, 1, c11) AS (actual, predicted, n)")
+    return long_rows(cells, ["actual", "predicted", "n"],
+                     [(a, p, F.col(f"c{a}{p}")) for a in (0, 1) for p in (0, 1)])
 
 
 def report_from_cells(cells: DataFrame) -> DataFrame:
@@ -121,17 +99,19 @@ def report_from_cells(cells: DataFrame) -> DataFrame:
         p0.alias("p0"), r0.alias("r0"), f0.alias("f0"), s0.alias("s0"),
         p1.alias("p1"), r1.alias("r1"), f1.alias("f1"), s1.alias("s1"),
         acc.alias("acc"), tot.alias("tot"))
-    b, r = C.CLASS_LABELS[0], C.CLASS_LABELS[1]
-    return stats.selectExpr(
-        "stack(5, "
-        f"'{b}', p0, r0, f0, s0, "
-        f"'{r}', p1, r1, f1, s1, "
-        "'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), acc, tot, "
-        "'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, tot, "
-        "'weighted avg', try_divide(p0 * s0 + p1 * s1, tot), try_divide(r0 * s0 + r1 * s1, tot), "
-        "try_divide(f0 * s0 + f1 * s1, tot), tot"
-        ") AS (label, precision, recall, f1_score, support)"
-    ).withColumn("support", F.col("support").cast("bigint"))
+    none = F.lit(None).cast("double")
+    x = {c: F.col(c) for c in ("p0", "r0", "f0", "s0", "p1", "r1", "f1", "s1", "acc", "tot")}
+
+    def weighted(a, b):
+        return F.try_divide(x[a] * x["s0"] + x[b] * x["s1"], x["tot"])
+
+    return long_rows(stats, ["label", "precision", "recall", "f1_score", "support"], [
+        (C.CLASS_LABELS[0], x["p0"], x["r0"], x["f0"], x["s0"]),
+        (C.CLASS_LABELS[1], x["p1"], x["r1"], x["f1"], x["s1"]),
+        ("accuracy", none, none, x["acc"], x["tot"]),
+        ("macro avg", (x["p0"] + x["p1"]) / 2, (x["r0"] + x["r1"]) / 2, (x["f0"] + x["f1"]) / 2, x["tot"]),
+        ("weighted avg", weighted("p0", "p1"), weighted("r0", "r1"), weighted("f0", "f1"), x["tot"]),
+    ]).withColumn("support", F.col("support").cast("bigint"))
 
 
 def classification_report(scored: DataFrame, label: str = "target", pred: str = "prediction") -> DataFrame:
@@ -139,8 +119,7 @@ def classification_report(scored: DataFrame, label: str = "target", pred: str =
 
 
 def evaluation_row(scored: DataFrame, name: str, label: str = "target",
-                   pred: str = "prediction", score: str | None = "score",
-                   n_rows_hint: int | None = None) -> DataFrame:
+                   pred: str = "prediction", score: str | None = "score") -> DataFrame:
     """One row: model name, accuracy, ROC-AUC (NULL without a score).
 
     With a score, accuracy and AUC come from the same grouped pass.
@@ -148,7 +127,7 @@ def evaluation_row(scored: DataFrame, name: str, label: str = "target",
     if score is None:
         return accuracy(scored, label, pred).select(
             F.lit(name).alias("model"), "accuracy", F.lit(None).cast("double").alias("roc_auc"))
-    return roc_auc(scored, label, score, pred=pred, n_rows_hint=n_rows_hint).select(
+    return roc_auc(scored, label, score, pred=pred).select(
         F.lit(name).alias("model"), "accuracy", "roc_auc")
 
 

@@ -5,6 +5,10 @@ single ``select`` so the logical plan stays one flat projection (~80 outputs)
 instead of a chain of ``withColumn`` nodes.  The only job this stage triggers
 is category discovery (one small distinct aggregation), which is skipped when
 an explicit vocabulary is passed.
+
+Wide one-hot columns suit a schema's categories.  A column whose categories
+grow with the data is encoded by ``sparse_one_hot``: a category table with
+positions, and one (key, position) row per value, without any limit.
 """
 
 from __future__ import annotations
@@ -16,8 +20,7 @@ from pyspark.sql import functions as F
 
 from duelframe import config as C
 from duelframe.functions.exprs import flag_equals
-
-VOCAB_CAP = 1000  # more distinct values than this is not a one-hot column
+from duelframe.functions.ordering import positions
 
 
 class SchemaError(ValueError):
@@ -103,30 +106,54 @@ def category_table(df: DataFrame) -> DataFrame:
                     F.col("n").alias("n_rows")))
 
 
-def discover_vocabulary(df: DataFrame, cap: int = VOCAB_CAP) -> Vocabulary:
-    """Distinct non-missing categories, sorted; one bounded job.
+def discover_vocabulary(df: DataFrame) -> Vocabulary:
+    """Distinct non-missing categories, sorted; one small job.
 
-    Raises when a column has more than ``cap`` categories instead of building
-    an unbounded schema.
+    The lists become columns, so they reach the driver as any schema does;
+    for categories that grow with the rows use ``sparse_one_hot``.
     """
     groups = ["stance_matchup"] + [c for c in ("WeightClass", "BetterRank") if c in df.columns]
-    rows = (_category_source(df).select("g", "v").distinct()
-            .limit(cap * len(groups) + 1).collect())
     found: dict[str, list[str]] = {g: [] for g in groups}
-    for r in rows:
+    for r in _category_source(df).select("g", "v").distinct().collect():
         found[r["g"]].append(r["v"])
-    for g, vals in found.items():
-        if len(vals) > cap:
-            raise SchemaError(f"{g}: more than {cap} categories; pass a vocabulary")
+    for vals in found.values():
         vals.sort()
     return Vocabulary(stance=found["stance_matchup"],
                       weight_class=found.get("WeightClass"),
                       better_rank=found.get("BetterRank"))
 
 
+def column_names(prefix: str, categories: list[str]) -> list[str]:
+    """A column name per category: ``prefix_category``, made safe.
+
+    Dots and backticks, which Spark reads as syntax, become underscores; a
+    name that equals an earlier one but for case gets its place appended.
+    """
+    taken: set[str] = set()
+    out = []
+    for i, cat in enumerate(categories):
+        name = f"{prefix}_{cat}".replace(".", "_").replace("`", "_")
+        if name.lower() in taken:
+            name = f"{name}__{i}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def one_hot_exprs(value: Column, prefix: str, categories: list[str]) -> dict[str, Column]:
     """0/1 column per category; a missing value gives all zeros."""
-    return {f"{prefix}_{cat}": flag_equals(value, cat) for cat in categories}
+    return {name: flag_equals(value, cat) for name, cat in zip(column_names(prefix, categories), categories)}
+
+
+def sparse_one_hot(df: DataFrame, value: Column, key: str = "bout_id") -> tuple[DataFrame, DataFrame]:
+    """One-hot encoding of a column with any number of categories.
+
+    Returns the category table (category, position in sorted order) and the
+    set cells (key, position); a missing value has no cell.
+    """
+    cells = df.select(F.col(key), value.alias("category")).where(F.col("category").isNotNull())
+    categories = positions(cells, "category")
+    return categories, cells.join(categories, "category").select(key, "position")
 
 
 def gender_expr() -> Column:
@@ -151,6 +178,7 @@ class FeatureSpec:
     weight_class: list[str]
     better_rank: list[str]
     other: list[str]
+    labels: dict[str, str] = field(default_factory=dict)  # encoded column -> its category's text
 
     @property
     def columns(self) -> list[str]:
@@ -199,8 +227,11 @@ def feature_exprs(df: DataFrame, vocab: Vocabulary) -> tuple[dict[str, Column],
     br = (one_hot_exprs(F.col("BetterRank"), C.BETTERRANK_PREFIX, vocab.better_rank)
           if vocab.better_rank is not None and "BetterRank" in cols else {})
     other = {"is_male": gender_expr()} if "Gender" in cols else {}
+    labels = {name: f"{prefix}_{cat}" for prefix, cats, names in (
+        (C.STANCE_PREFIX, vocab.stance, stance), (C.WEIGHTCLASS_PREFIX, vocab.weight_class or [], wc),
+        (C.BETTERRANK_PREFIX, vocab.better_rank or [], br)) for name, cat in zip(names, cats)}
     spec = FeatureSpec(list(existing), list(paired), list(ranks), list(context),
-                       list(stance), list(wc), list(br), list(other))
+                       list(stance), list(wc), list(br), list(other), labels)
     exprs: dict[str, Column] = {}
     for group in (existing, paired, ranks, context, stance, wc, br, other):
         for k, v in group.items():

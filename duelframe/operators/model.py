@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
-from duelframe.functions.exprs import class_label
+from duelframe.functions.exprs import class_label, long_rows
 
 MAX_ITER = 1000
 TOL = 1e-8
@@ -62,8 +62,8 @@ def scaler_stats_wide(train: DataFrame, feature_cols: list[str]) -> DataFrame:
 
 def scaler_stats(train: DataFrame, feature_cols: list[str]) -> DataFrame:
     wide = scaler_stats_wide(train, feature_cols)
-    stacked = ", ".join(f"'{c}', m{i}, s{i}" for i, c in enumerate(feature_cols))
-    return wide.selectExpr(f"stack({len(feature_cols)}, {stacked}) AS (feature, mean, std)") \
+    return long_rows(wide, ["feature", "mean", "std"],
+                     [(c, F.col(f"m{i}"), F.col(f"s{i}")) for i, c in enumerate(feature_cols)]) \
         .withColumn("scale", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
 
 
@@ -86,7 +86,8 @@ class Scaler:
     def statement(self) -> str:
         """SQLTransformer statement: keeps every input column and adds the
         standardised feature ``<c>__z`` for each feature."""
-        parts = [f"(`{c}` - ({m!r})) / ({s!r}) AS `{self.scaled_name(c)}`"
+        quoted = lambda name: "`" + name.replace("`", "``") + "`"
+        parts = [f"({quoted(c)} - ({m!r})) / ({s!r}) AS {quoted(self.scaled_name(c))}"
                  for c, m, s in zip(self.feature_cols, self.means, self.scales)]
         return f"SELECT *, {', '.join(parts)} FROM __THIS__"
 
@@ -119,16 +120,11 @@ def with_weights(train: DataFrame, target: str = "target") -> DataFrame:
 
 # --- O62 / O76: majority class -------------------------------------------------------
 
-def majority_class(train: DataFrame, target: str = "target") -> DataFrame:
-    """Most frequent class; ties go to the smaller class (pandas' sorted mode)."""
-    return (train.groupBy(F.col(target).alias("majority_class"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.col("n").desc(), F.col("majority_class").asc()).limit(1))
-
-
 def majority_baseline_split(view: DataFrame, target: str = "target", split: str = "split") -> DataFrame:
     """Majority class of the train side and its accuracy on the test side.
 
+    Ties go to the smaller class (pandas' sorted mode).
+
     One pass: counts per (side, class) -- at most 2 x classes rows -- then
     a window over that small table picks the train mode.
     """
@@ -147,13 +143,6 @@ def majority_baseline_split(view: DataFrame, target: str = "target", split: str
              F.coalesce(F.col("accuracy"), F.lit(0.0)).alias("accuracy"))
 
 
-def majority_baseline(train: DataFrame, test: DataFrame, target: str = "target") -> DataFrame:
-    """Two-frame form of ``majority_baseline_split``."""
-    both = train.select(F.lit("train").alias("split"), F.col(target)) \
-        .unionByName(test.select(F.lit("test").alias("split"), F.col(target)))
-    return majority_baseline_split(both, target)
-
-
 # --- O73 / O74 / O77 / O78 / O79: logistic regression -----------------------------------
 
 @dataclass

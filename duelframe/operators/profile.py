@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
-from duelframe.functions.exprs import as_date, histogram_bin, pearson, percent, sign_label
+from duelframe.functions.exprs import as_date, histogram_bin, long_rows, pearson, percent, sign_label
 
 
 # --- O52 / O53 / O69: category counts ----------------------------------------
@@ -97,9 +97,8 @@ def rank_coverage(df: DataFrame) -> DataFrame:
             [], "rank_diff string, red_ranked bigint, red_ranked_pct double")
     aggs = [F.count(F.lit(1)).alias("_rows")] + [
         F.count(F.col(r)).alias(f"_c{i}") for i, (r, _) in enumerate(pairs.values())]
-    stacked = ", ".join(f"'{k}', _c{i}" for i, k in enumerate(pairs))
-    return (df.agg(*aggs)
-            .selectExpr(f"stack({len(pairs)}, {stacked}) AS (rank_diff, red_ranked)", "_rows")
+    return (long_rows(df.agg(*aggs), ["rank_diff", "red_ranked"],
+                      [(k, F.col(f"_c{i}")) for i, k in enumerate(pairs)], F.col("_rows"))
             .select("rank_diff", "red_ranked", percent(F.col("red_ranked"), F.col("_rows"))
                     .alias("red_ranked_pct")))
 
@@ -113,14 +112,17 @@ def class_histogram(features: DataFrame, columns: list[str] | None = None,
     if not columns:
         return features.sparkSession.createDataFrame(
             [], "feature string, target int, bin bigint, bin_start double, bin_end double, n bigint")
-    long = features.select(
-        F.col(target).alias("target"),
-        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"),
-                                     F.col(c).cast("double").alias("v")) for c in columns]))
-        .alias("kv")).select("target", "kv.feature", "kv.v").filter(F.col("v").isNotNull())
-    # bounded: one row per (column, class)
-    ranges = long.groupBy("feature", "target").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    binned = long.join(F.broadcast(ranges), ["feature", "target"]).withColumn(
+    # one wide aggregate gives every (column, class) range; then one pass bins
+    # the cells and counts them: one row per (column, class, bin)
+    named = [F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)]
+    wide = features.groupBy(F.col(target).alias("target")).agg(
+        *[f(F.col(f"`{c}`").cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns)
+          for n, f in (("lo", F.min), ("hi", F.max))])
+    ranges = long_rows(wide, ["i", "feature", "lo", "hi"],
+                       [(i, c, F.col(f"lo{i}"), F.col(f"hi{i}")) for i, c in enumerate(columns)], F.col("target"))
+    cells = (features.select(F.col(target).alias("target"), F.inline(F.array(*named)))
+             .where(F.col("v").isNotNull()))
+    binned = cells.join(F.broadcast(ranges), ["i", "target"]).withColumn(  # columns x classes rows
         "bin", histogram_bin(F.col("v"), F.col("lo"), F.col("hi"), bins))
     width = F.when(F.col("hi") == F.col("lo"), F.lit(1.0)) \
         .otherwise((F.col("hi") - F.col("lo")) / F.lit(float(bins)))
@@ -146,8 +148,8 @@ def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         return df.sparkSession.createDataFrame([], "row_feature string, col_feature string, corr double")
     aggs = [pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_p{k}")
             for k, (a, b) in enumerate(pairs)]
-    stacked = ", ".join(f"'{a}', '{b}', _p{k}" for k, (a, b) in enumerate(pairs))
-    return df.agg(*aggs).selectExpr(f"stack({len(pairs)}, {stacked}) AS (row_feature, col_feature, corr)")
+    return long_rows(df.agg(*aggs), ["row_feature", "col_feature", "corr"],
+                     [(a, b, F.col(f"_p{k}")) for k, (a, b) in enumerate(pairs)])
 
 
 def target_corr(df: DataFrame, columns: list[str] | None = None, target: str = "target") -> DataFrame:
@@ -157,8 +159,7 @@ def target_corr(df: DataFrame, columns: list[str] | None = None, target: str = "
         return df.sparkSession.createDataFrame([], "feature string, corr double, direction string")
     aggs = [pearson(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"_p{k}")
             for k, c in enumerate(cols)]
-    stacked = ", ".join(f"'{c}', _p{k}" for k, c in enumerate(cols))
-    return (df.agg(*aggs).selectExpr(f"stack({len(cols)}, {stacked}) AS (feature, corr)")
+    return (long_rows(df.agg(*aggs), ["feature", "corr"], [(c, F.col(f"_p{k}")) for k, c in enumerate(cols)])
             .withColumn("direction", sign_label(F.col("corr")))
             .orderBy(F.abs(F.col("corr")).desc_nulls_last(), F.col("feature")))
 

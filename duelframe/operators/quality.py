@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelframe import config as C
+from duelframe.functions.exprs import long_rows
 
 
 class LeakageError(ValueError):
@@ -27,10 +28,9 @@ def column_audit(df: DataFrame, expected: list[str] | None = None) -> DataFrame:
     for i, c in enumerate(expected):
         aggs.append((F.count(F.col(c)) if c in cols else F.lit(None).cast("bigint")).alias(f"_n{i}"))
     wide = df.agg(*aggs)
-    stacked = ", ".join(
-        f"'{c}', '{'found' if c in cols else 'missing'}', _n{i}" for i, c in enumerate(expected))
-    return wide.selectExpr(
-        f"stack({len(expected)}, {stacked}) AS (column_name, status, non_null)", "_rows AS total_rows")
+    return long_rows(wide, ["column_name", "status", "non_null"],
+                     [(c, "found" if c in cols else "missing", F.col(f"_n{i}")) for i, c in enumerate(expected)],
+                     F.col("_rows").alias("total_rows"))
 
 
 def leakage_census(df: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def leakage_census(df: DataFrame) -> DataFrame:
 
 def require_target(df: DataFrame) -> None:
     if C.TARGET_COLUMN not in df.columns:
-        raise ValueError(f"Target column '{C.TARGET_COLUMN}' not found in dataset!")
+        raise ValueError(f"the table has no outcome column {C.TARGET_COLUMN!r}")
 
 
 # --- O10 / O11: cleaning and its post-condition ------------------------------
@@ -96,9 +96,8 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             [], "column_name string, missing bigint, total_rows bigint")
     aggs = [F.count(F.lit(1)).alias("_rows")] + [
         F.count_if(F.col(f"`{c}`").isNull()).alias(f"_m{i}") for i, c in enumerate(columns)]
-    stacked = ", ".join(f"'{c}', _m{i}" for i, c in enumerate(columns))
-    return df.agg(*aggs).selectExpr(
-        f"stack({len(columns)}, {stacked}) AS (column_name, missing)", "_rows AS total_rows")
+    return long_rows(df.agg(*aggs), ["column_name", "missing"],
+                     [(c, F.col(f"_m{i}")) for i, c in enumerate(columns)], F.col("_rows").alias("total_rows"))
 
 
 def missing_profile(df: DataFrame, top_n: int | None = C.MISSING_TOP_N) -> DataFrame:
@@ -110,48 +109,57 @@ def missing_profile(df: DataFrame, top_n: int | None = C.MISSING_TOP_N) -> DataF
     return prof.limit(top_n) if top_n else prof
 
 
+def missing_summary(df: DataFrame) -> DataFrame:
+    """How many of the columns hold NULLs, and how many columns there are."""
+    return null_counts(df).agg(F.count_if(F.col("missing") > 0).alias("columns_with_missing"),
+                               F.count(F.lit(1)).alias("n_columns"))
+
+
 # --- O19: dtype census --------------------------------------------------------
 
 def dtype_census(df: DataFrame) -> DataFrame:
     """Per Spark type: number of columns and NULL cells (one pass)."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     aggs = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_m{i}") for i, c in enumerate(df.columns)]
-    stacked = ", ".join(f"'{types[c]}', _m{i}" for i, c in enumerate(df.columns))
-    long = df.agg(*aggs).selectExpr(f"stack({len(df.columns)}, {stacked}) AS (dtype, missing)")
+    long = long_rows(df.agg(*aggs), ["dtype", "missing"],
+                     [(types[c], F.col(f"_m{i}")) for i, c in enumerate(df.columns)])
     return long.groupBy("dtype").agg(F.count(F.lit(1)).alias("n_columns"),
                                      F.sum("missing").alias("null_cells"))
 
 
 # --- O20 / O21 / O22: feature audits -----------------------------------------
 
-def feature_checks(features: DataFrame, feature_cols: list[str]) -> DataFrame:
-    """Status rows: no missing values, no competitor names, no duplicate names."""
-    forbidden = [c for c in feature_cols if any(p in c for p in C.FORBIDDEN_NAME_PARTS)]
-    lowered = [c.lower() for c in feature_cols]
-    dupes = len(lowered) - len(set(lowered))  # Spark resolves names case-insensitively
+def feature_checks(features: DataFrame, feature_cols: list[str], labels: dict[str, str] | None = None) -> DataFrame:
+    """Status rows: no missing values, no competitor names, no duplicate names.
+
+    ``labels`` gives the text behind an encoded column where its name differs;
+    duplicates are judged by that text without regard to case, as Spark
+    resolves names.
+    """
+    texts = [(labels or {}).get(c, c) for c in feature_cols]
+    forbidden = [c for c in texts if any(p in c for p in C.FORBIDDEN_NAME_PARTS)]
+    lowered = [c.lower() for c in texts]
+    dupes = len(lowered) - len(set(lowered))
     null_cells = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in feature_cols), F.lit(0))
     wide = features.agg(null_cells.cast("bigint").alias("null_cells"),
                         F.count(F.lit(1)).alias("n_rows"))
-    return wide.selectExpr(
-        "stack(4, "
-        "'no_missing_values', CAST(null_cells = 0 AS INT), null_cells, "
-        f"'no_competitor_names', {int(not forbidden)}, CAST({len(forbidden)} AS BIGINT), "
-        f"'no_duplicate_columns', {int(dupes == 0)}, CAST({dupes} AS BIGINT), "
-        "'rows', 1, n_rows"
-        ") AS (check_name, passed, value)")
+    big = lambda n: F.lit(n).cast("bigint")
+    return long_rows(wide, ["check_name", "passed", "value"], [
+        ("no_missing_values", (F.col("null_cells") == 0).cast("int"), F.col("null_cells")),
+        ("no_competitor_names", int(not forbidden), big(len(forbidden))),
+        ("no_duplicate_columns", int(dupes == 0), big(dupes)),
+        ("rows", 1, F.col("n_rows"))])
 
 
 def feature_groups(features: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """Per feature group: columns, NULL cells and non-zero cells (one pass)."""
     aggs, entries = [], []
-    for g, cols in groups.items():
+    for i, (g, cols) in enumerate(groups.items()):
         nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in cols), F.lit(0))
         nonzero = sum((F.count_if(F.col(f"`{c}`") != 0) for c in cols), F.lit(0))
-        i = len(entries)
         aggs += [nulls.cast("bigint").alias(f"_n{i}"), nonzero.cast("bigint").alias(f"_z{i}")]
-        entries.append(f"'{g}', CAST({len(cols)} AS BIGINT), _n{i}, _z{i}")
-    return features.agg(*aggs).selectExpr(
-        f"stack({len(entries)}, {', '.join(entries)}) AS (feature_group, n_columns, null_cells, nonzero_cells)")
+        entries.append((g, F.lit(len(cols)).cast("bigint"), F.col(f"_n{i}"), F.col(f"_z{i}")))
+    return long_rows(features.agg(*aggs), ["feature_group", "n_columns", "null_cells", "nonzero_cells"], entries)
 
 
 def feature_nulls(features: DataFrame, feature_cols: list[str]) -> DataFrame:

@@ -93,6 +93,10 @@ def missing_profile(s, d):
     return fin(qa.missing_profile(P(s, d).raw()), ("pct",))
 
 
+def missing_summary(s, d):
+    return qa.missing_summary(P(s, d).raw())
+
+
 # --- profiles on the cleaned table ---------------------------------------------
 
 def complete_odds(s, d):
@@ -192,13 +196,18 @@ def betterrank_onehot(s, d):
     return _onehot(s, d, "BetterRank", C.BETTERRANK_PREFIX, "better_rank")
 
 
+def vocab_unbounded(s, d):
+    """One-hot cells of a column with a category per competitor."""
+    return fe.sparse_one_hot(P(s, d).clean(), F.col("RedFighter"))[1]
+
+
 def feature_matrix(s, d):
     return fin(P(s, d).features())
 
 
 def feature_checks(s, d):
     p = P(s, d)
-    return qa.feature_checks(p.features(), p.spec().columns)
+    return qa.feature_checks(p.features(), p.spec().columns, p.spec().labels)
 
 
 def feature_groups(s, d):
@@ -243,6 +252,13 @@ def time_split(s, d):
     return fin(P(s, d).split().select("bout_id", "Date", "target", "split"))
 
 
+def split_text_key(s, d):
+    """Time split ordered by a text key with NULLs and repeats, then the row's own key."""
+    bouts = P(s, d).clean().select("bout_id", "Date", F.when(F.col("bout_id") % 5 != 0, F.col("RedFighter"))
+                                   .alias("text_key"))
+    return sp.time_split(bouts, key=["text_key", "bout_id"])[0].select("bout_id", "text_key", "split")
+
+
 def split_summary(s, d):
     return fin(sp.split_summary(P(s, d).split()), ("red_win_rate",))
 
@@ -281,7 +297,7 @@ def eval_accuracy(s, d):
 
 def eval_roc_auc(s, d):
     p = P(s, d)
-    return fin(ev.roc_auc(p.rule_scored(), n_rows_hint=p.n_test()), ("roc_auc",))
+    return fin(ev.roc_auc(p.rule_scored()), ("roc_auc",))
 
 
 def confusion_matrix(s, d):
@@ -293,6 +309,36 @@ def classification_report(s, d):
                ("precision", "recall", "f1_score"))
 
 
+def rule_comparison(s, d):
+    """The odds rule as the candidate, against the majority class and against itself."""
+    p = P(s, d)
+    row = p.evaluate(p.rule_scored(), "Odds Rule")
+    return fin(ev.baseline_comparison(row, p.majority(), row),
+               ("model_accuracy", "model_roc_auc", "majority_accuracy", "odds_roc_auc"))
+
+
+def rule_summary(s, d):
+    p = P(s, d)
+    majority = p.majority().select("model", "accuracy", F.lit(None).cast("double").alias("roc_auc"))
+    return fin(ev.results_summary([majority, p.evaluate(p.rule_scored(), "Odds Rule")]), ("accuracy", "roc_auc"))
+
+
+#: A declared linear model: feature -> coefficient.
+DECLARED = {"odds_diff": 0.0001, "td_pct_diff": -0.5, "draws_diff": 0.03125, "is_male": 0.25, "wc_rank_diff": -0.0078125}
+
+
+def declared_scores(s, d):
+    """Scoring with declared coefficients: margin and predicted class of the test side."""
+    test = P(s, d).test()
+    margin = sum((F.col(c) * F.lit(w) for c, w in DECLARED.items()), F.lit(0.0))
+    return fin(test.select("bout_id", "target", margin.alias("margin"), (margin > 0).cast("int").alias("prediction")),
+               ("margin",))
+
+
+def declared_report(s, d):
+    return fin(ev.classification_report(declared_scores(s, d)), ("precision", "recall", "f1_score"))
+
+
 # model-based (no SQL form: iterative fit)
 
 def odds_baseline(s, d):
@@ -347,7 +393,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_nulls, feature_sample, class_balance, class_histogram, corr_matrix,
         target_corr, date_quality, time_split, split_summary, training_view, odds_only_view,
         scaler_stats, standardized_features, class_weights, majority_baseline, eval_accuracy,
-        eval_roc_auc, confusion_matrix, classification_report, odds_baseline,
+        eval_roc_auc, confusion_matrix, classification_report, missing_summary, vocab_unbounded,
+        split_text_key, rule_comparison, rule_summary, declared_scores, declared_report, odds_baseline,
         logreg_baseline, scored_bouts, top_coefficients, model_report, baseline_comparison,
         results_summary, metrics_report,
     ]

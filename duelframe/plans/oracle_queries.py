@@ -13,6 +13,9 @@ from duelframe.plans.oracle_sql import (
 
 R = 9
 
+# fixed values: the declared linear model of the catalog
+DECLARED = {"odds_diff": 0.0001, "td_pct_diff": -0.5, "draws_diff": 0.03125, "is_male": 0.25, "wc_rank_diff": -0.0078125}
+
 
 def rnd(expr: str) -> str:
     return f"round({expr}, {R})"
@@ -128,7 +131,7 @@ SELECT * FROM (
 """
 
 
-def _report() -> str:
+def _report(rule: str = "rule", *more: str) -> str:
     def z(a, b):
         return f"coalesce(({a}) / nullif(({b}), 0), 0.0)"
     p0, r0 = z("c00", "c00 + c10"), z("c00", "c00 + c01")
@@ -138,14 +141,14 @@ def _report() -> str:
          "(SELECT CAST(count_if(target = 0 AND prediction = 0) AS DOUBLE) AS c00, "
          "CAST(count_if(target = 0 AND prediction = 1) AS DOUBLE) AS c01, "
          "CAST(count_if(target = 1 AND prediction = 0) AS DOUBLE) AS c10, "
-         "CAST(count_if(target = 1 AND prediction = 1) AS DOUBLE) AS c11 FROM rule)))")
+         "CAST(count_if(target = 1 AND prediction = 1) AS DOUBLE) AS c11 FROM " + rule + ")))")
     body = REPORT_BODY.format(
         p0=rnd("p0"), r0=rnd("r0"), f0=rnd("f0"), p1=rnd("p1"), r1=rnd("r1"), f1=rnd("f1"),
         acc=rnd(z("c00 + c11", "s0 + s1")), mp=rnd("(p0 + p1) / 2"), mr=rnd("(r0 + r1) / 2"),
         mf=rnd("(f0 + f1) / 2"), wp=rnd("(p0 * s0 + p1 * s1) / nullif(s0 + s1, 0)"),
         wr=rnd("(r0 * s0 + r1 * s1) / nullif(s0 + s1, 0)"),
         wf=rnd("(f0 * s0 + f1 * s1) / nullif(s0 + s1, 0)"))
-    return split_sql(body, m)
+    return split_sql(body, *more, m)
 
 
 CORR = ("covar_pop(a2, b2) / nullif(stddev_pop(a2) * stddev_pop(b2), 0)")
@@ -313,6 +316,38 @@ def build() -> dict[str, str]:
            LEFT JOIN rule r ON r.target = a.actual AND r.prediction = p.predicted
            GROUP BY a.actual, p.predicted""")
     s["classification_report"] = _report()
+    s["missing_summary"] = with_ctes(
+        "SELECT CAST(sum(CAST(missing > 0 AS INTEGER)) AS BIGINT) AS columns_with_missing, count(*) AS n_columns FROM ("
+        + " UNION ALL ".join(f"SELECT count_if({q(c)} IS NULL) AS missing FROM bouts" for c in RAW_COLUMNS) + ")")
+    s["vocab_unbounded"] = with_ctes(
+        """SELECT bout_id, CAST(dense_rank() OVER (ORDER BY "RedFighter") - 1 AS BIGINT) AS position
+           FROM bouts WHERE "RedFighter" IS NOT NULL""")
+    s["split_text_key"] = with_ctes(
+        """SELECT bout_id, text_key, CASE WHEN row_number() OVER (ORDER BY "Date", text_key NULLS FIRST, bout_id)
+                                               <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split
+           FROM (SELECT bout_id, "Date", CASE WHEN bout_id % 5 <> 0 THEN "RedFighter" END AS text_key
+                 FROM bouts WHERE "Date" IS NOT NULL)""")
+    majority = """maj AS (SELECT avg(CAST(t.target = m.majority_class AS DOUBLE)) AS accuracy
+                          FROM test t CROSS JOIN (SELECT target AS majority_class FROM train GROUP BY target
+                                                  ORDER BY count(*) DESC, target LIMIT 1) m)"""
+    auc = f"auc AS ({AUC_BODY})"
+    acc = "acc AS (SELECT avg(CAST(prediction = target AS DOUBLE)) AS accuracy FROM rule)"
+    s["rule_comparison"] = split_sql(
+        f"""SELECT {rnd('acc.accuracy')} AS model_accuracy, roc_auc AS model_roc_auc,
+                   {rnd('maj.accuracy')} AS majority_accuracy, roc_auc AS odds_roc_auc,
+                   CAST(acc.accuracy > maj.accuracy AS INTEGER) AS beat_majority_baseline, 0 AS beat_odds_baseline
+            FROM acc, auc, maj""", majority, auc, acc)
+    s["rule_summary"] = split_sql(
+        f"""SELECT 'Majority Class' AS model, {rnd('accuracy')} AS accuracy, CAST(NULL AS DOUBLE) AS roc_auc,
+                   CAST(NULL AS INTEGER) AS auc_milestone FROM maj
+            UNION ALL SELECT 'Odds Rule', {rnd('accuracy')}, roc_auc,
+                   CAST(roc_auc > {C.ROC_AUC_MILESTONE} AS INTEGER) FROM acc, auc""", majority, auc, acc)
+    margin = "0.0 + " + " + ".join(f"{c} * CAST({w!r} AS DOUBLE)" for c, w in DECLARED.items())
+    declared = f"""declared AS (SELECT bout_id, target, margin, CAST(margin > 0 AS INTEGER) AS prediction
+                                FROM (SELECT bout_id, target, {margin} AS margin FROM test))"""
+    s["declared_scores"] = split_sql(
+        f"SELECT bout_id, target, {rnd('margin')} AS margin, prediction FROM declared", declared)
+    s["declared_report"] = _report("declared", declared)
     return s
 
 

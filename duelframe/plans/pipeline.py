@@ -24,7 +24,7 @@ from duelframe.operators import quality as qa
 from duelframe.operators import split as sp
 from duelframe.sources import fixtures
 from duelframe.sources.io import normalize_raw
-from duelframe.sources.stages import stage
+from duelframe.sources.stages import NAMESPACE_KEY, signature, stage
 from duelframe.sources.tables import TABLES
 
 _LOCK = threading.Lock()
@@ -56,12 +56,16 @@ class ContestPipeline:
 
     @classmethod
     def for_input(cls, spark: SparkSession, sf_dir: str) -> "ContestPipeline":
-        key = (id(spark.sparkContext), sf_dir)
+        """The pipeline of an application and input; changed input files or
+        code give a new one, so no memo outlives the data it was taken from."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        state = (signature(spark, sf_dir, TABLES), spark.conf.get(NAMESPACE_KEY, ""))
         with _LOCK:
-            p = _PIPELINES.get(key)
-            if p is None:
+            held, p = _PIPELINES.get(key, (None, None))
+            if held != state:
                 # the bouts fixture's odds are balances: higher favours Red
-                p = _PIPELINES[key] = cls(spark, sf_dir, odds_direction=1)
+                p = cls(spark, sf_dir, odds_direction=1)
+                _PIPELINES[key] = state, p
             return p
 
     def _m(self, name, fn):
@@ -78,15 +82,15 @@ class ContestPipeline:
         # clustered by date inside each file (a local sort, no shuffle): the
         # split's boundary-date passes and date-range reads then skip row
         # groups by their Date statistics
-        return stage(self.spark, "raw", self.sf_dir, TABLES,
-                     lambda: normalize_raw(fixtures.bouts(self.spark, self.sf_dir))
-                     .sortWithinPartitions("Date", "bout_id"))
+        return self._m("raw", lambda: stage(
+            self.spark, "raw", self.sf_dir, TABLES,
+            lambda: normalize_raw(fixtures.bouts(self.spark, self.sf_dir)).sortWithinPartitions("Date", "bout_id")))
 
     def clean(self) -> DataFrame:
         if self._clean is not None:
             return self._clean
         # a projection of the raw stage: cheaper to recompute than to copy
-        return qa.drop_leakage(self.raw())
+        return self._m("clean", lambda: qa.drop_leakage(self.raw()))
 
     # --- E2 -----------------------------------------------------------------
     def vocab(self) -> fe.Vocabulary:
@@ -110,7 +114,7 @@ class ContestPipeline:
             return self._features
         # one flat projection over the raw stage (see ``write_features`` for
         # the partitioned feature-table sink)
-        return fe.feature_matrix(self.clean(), self.vocab())[0]
+        return self._m("features", lambda: fe.feature_matrix(self.clean(), self.vocab())[0])
 
     # --- E3 -----------------------------------------------------------------
     def split_point(self) -> sp.SplitPoint:
@@ -119,24 +123,37 @@ class ContestPipeline:
         return self._m("point", lambda: sp.time_split(
             src.select("Date", "bout_id"), self.ratio, whole_dates=self.whole_dates)[1])
 
-    def split(self) -> DataFrame:
+    def _dated(self) -> DataFrame:
         feats = self.features()
-        point = self.split_point()
-        dated = feats.withColumn("Date", sp.as_date(feats, "Date")).filter(F.col("Date").isNotNull())
-        lab = F.when(point.is_train(F.col("Date"), F.col("bout_id")), F.lit("train")).otherwise(F.lit("test"))
-        return dated.withColumn("split", lab)
+        if dict(feats.dtypes)["Date"] != "date":
+            feats = feats.withColumn("Date", sp.as_date(feats, "Date"))
+        return feats
+
+    def split(self) -> DataFrame:
+        def label():
+            lab = F.when(self.split_point().is_train(F.col("Date"), F.col("bout_id")), F.lit("train"))
+            return self._dated().filter(F.col("Date").isNotNull()).withColumn("split", lab.otherwise(F.lit("test")))
+        return self._m("split", label)
 
     def feature_cols(self) -> list[str]:
-        return mo.training_columns(self.features().columns)
+        return self._m("feature_cols", lambda: mo.training_columns(self.features().columns))
 
     def training(self) -> DataFrame:
-        return mo.training_view(self.split(), self.feature_cols(), self.missing)
+        return self._m("training", lambda: mo.training_view(self.split(), self.feature_cols(), self.missing))
+
+    def _side(self, name: str) -> DataFrame:
+        """One side of the split; its bound on Date reaches the scan."""
+        def side():
+            point, at = self.split_point(), (F.col("Date"), F.col("bout_id"))
+            rows = self._dated().filter(point.is_train(*at) if name == "train" else point.is_test(*at))
+            return mo.training_view(rows.withColumn("split", F.lit(name)), self.feature_cols(), self.missing)
+        return self._m(f"side-{name}", side)
 
     def train(self) -> DataFrame:
-        return self.training().filter(F.col("split") == "train")
+        return self._side("train")
 
     def test(self) -> DataFrame:
-        return self.training().filter(F.col("split") == "test")
+        return self._side("test")
 
     def scaler(self) -> mo.Scaler:
         return self._m("scaler", lambda: mo.Scaler.fit(self.train(), self.feature_cols()))
@@ -170,13 +187,9 @@ class ContestPipeline:
         return self.test().select("bout_id", "split", "target", s.alias("score"),
                                   (s > 0).cast("int").alias("prediction"))
 
-    def n_test(self) -> int:
-        point = self.split_point()
-        return point.n_rows - point.cut
-
     def evaluate(self, scored: DataFrame, name: str) -> DataFrame:
         """Accuracy and exact ROC-AUC of a scored test side (one pass)."""
-        return ev.evaluation_row(scored, name, n_rows_hint=self.n_test())
+        return ev.evaluation_row(scored, name)
 
     def metric_rows(self) -> list[DataFrame]:
         rows = [self.majority().select("model", "accuracy",

@@ -1,4 +1,4 @@
-"""The metrics document (nested, timestamped) and artifact persistence."""
+"""The metrics document (nested) and artifact persistence."""
 
 from __future__ import annotations
 
@@ -24,8 +24,9 @@ def _split_info(p) -> DataFrame:
         side("test", "red_win_rate").alias("test_red_win_rate")).alias("split_info"))
 
 
-def metrics_document(p) -> DataFrame:
-    """One row shaped like the reference's metrics JSON."""
+def metrics_document(p, timestamp=None) -> DataFrame:
+    """One row shaped like the reference's metrics JSON; the time, a column,
+    is the caller's, so that the document depends on the data alone."""
     maj = p.majority().select(F.struct(
         F.col("model").alias("name"), F.col("majority_label").alias("majority_class"),
         "accuracy", F.lit(None).cast("double").alias("roc_auc")).alias("b0"))
@@ -37,21 +38,19 @@ def metrics_document(p) -> DataFrame:
     else:
         odds = maj.sparkSession.range(1).select(F.lit(None).cast(
             "struct<name:string,majority_class:string,accuracy:double,roc_auc:double>").alias("b1"))
-    scored = p.full_scored()
-    full = p.evaluate(scored, "LogisticRegression")
-    cells = ev.confusion_cells(scored)  # one aggregate feeds matrix and report
-    cm = ev.confusion_long(cells).agg(F.array(*[
-        F.array(*[F.max(F.when((F.col("actual") == a) & (F.col("predicted") == b), F.col("n")))
-                  for b in (0, 1)]) for a in (0, 1)]).alias("confusion_matrix"))
-    rep = ev.report_from_cells(cells).agg(
+    # accuracy, ROC-AUC and the confusion cells come from one grouped pass
+    full = ev.roc_auc(p.full_scored(), pred="prediction", cells=True)
+    rep = ev.report_from_cells(full).agg(
         F.collect_list(F.struct("label", "precision", "recall", "f1_score", "support"))
         .alias("classification_report"))  # five rows
-    doc = (_split_info(p).crossJoin(maj).crossJoin(odds).crossJoin(full).crossJoin(cm).crossJoin(rep))
+    full = full.select("accuracy", "roc_auc", F.array(F.array("c00", "c01"), F.array("c10", "c11"))
+                       .alias("confusion_matrix"))
+    doc = (_split_info(p).crossJoin(maj).crossJoin(odds).crossJoin(full).crossJoin(rep))
     beat_odds = F.when(F.col("b1").isNull(), F.lit(None).cast("boolean")) \
         .otherwise(F.col("roc_auc") > F.col("b1.roc_auc"))
+    at = [] if timestamp is None else [F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")]
     return doc.select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.lit("LogisticRegression").alias("model_type"),
+        *at, F.lit("LogisticRegression").alias("model_type"),
         "split_info",
         F.filter(F.array("b0", "b1"), lambda x: x.isNotNull()).alias("baselines"),
         F.struct("accuracy", "roc_auc", "confusion_matrix", "classification_report").alias("model_metrics"),
@@ -71,6 +70,6 @@ def save_artifacts(p, out_dir: str) -> DataFrame:
         [(i, c, m, s) for i, (c, m, s) in enumerate(zip(sc.feature_cols, sc.means, sc.scales))],
         "position int, feature string, mean double, scale double")
     write_table(manifest.coalesce(1), f"{root}/models/feature_manifest")
-    doc = metrics_document(p)
+    doc = metrics_document(p, F.current_timestamp())
     write_table(doc.coalesce(1), f"{root}/reports/metrics", fmt="json")
     return doc

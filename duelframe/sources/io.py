@@ -5,6 +5,11 @@ CSV is an edge format: pandas treats a list of tokens (``NA``, ``nan``,
 reader therefore scans every column as a string, maps the tokens to NULL and
 ``try_cast``s to the declared schema (bad values become NULL rather than
 failing the job under ANSI mode).  Between stages parquet is used.
+
+Quoted fields follow RFC 4180, as pandas writes and reads them: commas and
+doubled quotes inside quotes are text.  Line breaks inside quotes need
+``multi_line=True``, because such a file can't be split between tasks; without
+it a file with an open quote at a line's end is refused, never misread.
 """
 
 from __future__ import annotations
@@ -53,8 +58,22 @@ def normalize_raw(df: DataFrame, schema: T.StructType | None = None) -> DataFram
     return df.select(*out)
 
 
-def _text_scan(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+class CsvTextError(ValueError):
+    pass
+
+
+def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
+    """A line with an odd number of quotes belongs to a field with a line break."""
+    line = F.col("value")
+    bad = spark.read.text(path).agg(F.count_if(
+        (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1)).first()[0]
+    if bad:
+        raise CsvTextError(f"{path}: {bad} lines end inside a quoted field; read it with multi_line=True")
+
+
+def _text_scan(spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     reader = spark.read.option("header", True).option("emptyValue", "") \
+        .option("quote", '"').option("escape", '"').option("multiLine", multi_line) \
         .option("nullValue", "\u0000never\u0000")
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType(), True) for n in names]))
@@ -100,33 +119,39 @@ def infer_schema(text: DataFrame) -> T.StructType:
     return T.StructType(fields)
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 multi_line: bool = False) -> DataFrame:
     """Raw contests from CSV with a header, typed by ``schema`` (inferred
     with one pass over the text when not given)."""
+    if not multi_line:
+        _refuse_open_quotes(spark, path)
     if schema is None:
-        schema = infer_schema(_text_scan(spark, path))
-    df = _text_scan(spark, path, [f.name for f in schema.fields])
+        schema = infer_schema(_text_scan(spark, path, multi_line=multi_line))
+    df = _text_scan(spark, path, [f.name for f in schema.fields], multi_line)
     return normalize_raw(df, schema)
 
 
 def with_row_key(df: DataFrame, key: str = "bout_id") -> DataFrame:
-    """Add a row key when the input has none.
+    """Add a row key when the input, a single file, has none.
 
     ``monotonically_increasing_id`` applied directly on a file scan (no
-    shuffle before it) depends only on the file split and the row's place in
-    it, so it is stable across recomputation and follows file order -- the
-    order the reference's stable sort falls back to for equal dates.
+    shuffle before it) follows the order of one file, which the reference's
+    stable sort falls back to for equal dates.  Over several files it would
+    depend on their sizes and on the split size, so those need a key column.
     """
     if key in df.columns:
         return df
+    if len(df.inputFiles()) > 1:
+        raise ValueError(f"several files without a column {key!r}: rows need a key that does not depend on the scan")
     return df.select(F.monotonically_increasing_id().alias(key), "*")
 
 
 def read_contests(spark: SparkSession, path: str, fmt: str = "csv",
-                  schema: T.StructType | None = None, key: str = "bout_id") -> DataFrame:
+                  schema: T.StructType | None = None, key: str = "bout_id",
+                  multi_line: bool = False) -> DataFrame:
     """Raw contest table from CSV (typed, NA tokens handled) or parquet."""
     if fmt == "csv":
-        df = read_raw_csv(spark, path, schema)
+        df = read_raw_csv(spark, path, schema, multi_line)
     else:
         df = normalize_raw(spark.read.parquet(path))
     return with_row_key(df, key)
@@ -139,7 +164,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     elif fmt == "json":
         w.json(path)
     else:

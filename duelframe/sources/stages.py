@@ -5,49 +5,60 @@ features).  Here each boundary is a parquet table under the folder the
 cluster names in ``spark.checkpoint.dir``; reading it back cuts the lineage,
 so later queries never recompute the joins, and a lost executor only costs
 the tasks of the stage being written.  Without a configured folder the
-stages stay lazy plans (always correct, recomputed per query).
+stages stay lazy plans (always correct, recomputed per query); any failure to
+write a stage is raised.
+
+A builder writes to a folder of its own and then creates a small pointer file
+that names it.  Nothing is renamed or overwritten, so this also holds on
+object stores, where a rename copies objects one by one: readers follow the
+pointer, which exists only after the table is complete.  The first pointer
+wins; a later builder removes its own folder.
 """
 
 from __future__ import annotations
 
 import hashlib
-import logging
-import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from duelframe import __version__
 from duelframe.session import checkpoint_dir
 
-log = logging.getLogger(__name__)
-
-STAGE_FORMAT = 4  # bump when a stage's definition changes
+STAGE_FORMAT = 5  # bump when a stage's definition changes
 NAMESPACE_KEY = "spark.duelframe.stageNamespace"
+POINTER = "_TABLE"
 
 
 def _code_digest() -> str:
     """Digest of the modules that define stage contents, so a changed
     definition never reuses a table written by older code."""
-    from duelframe.functions import ordering
-    from duelframe.sources import fixtures, io
+    from duelframe import config
+    from duelframe.functions import exprs, ordering
+    from duelframe.sources import fixtures, io, tables
     h = hashlib.sha1()
-    for mod in (fixtures, io, ordering):
+    for mod in (config, exprs, ordering, fixtures, io, tables):
         with open(mod.__file__, "rb") as f:
             h.update(f.read())
     return h.hexdigest()
 
 
-def _signature(sf_dir: str, tables: list[str]) -> str:
-    h = hashlib.sha1(f"{__version__}/{STAGE_FORMAT}/{_code_digest()}/"
-                     f"{os.path.abspath(sf_dir)}".encode())
+def signature(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
+    """Digest of the code and of the input files' names, sizes and times, as
+    the Hadoop file system lists them (local or remote)."""
+    h = hashlib.sha1(f"{__version__}/{STAGE_FORMAT}/{_code_digest()}".encode())
     for t in tables:
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:  # remote file system: path identity only
-            h.update(t.encode())
+        fs, root = _fs(spark, f"{sf_dir}/{t}.parquet")
+        if not fs.exists(root):
+            h.update(f"{t}: none".encode())
+            continue
+        files = fs.listFiles(root, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        h.update("\n".join(sorted(found)).encode())
     return h.hexdigest()[:16]
 
 
@@ -57,26 +68,36 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs(spark, path + "/_SUCCESS")
-    return bool(fs.exists(jpath))
-
+def _published(spark: SparkSession, path: str) -> str | None:
+    """The complete table that the pointer names, if there is one."""
+    fs, pointer = _fs(spark, f"{path}/{POINTER}")
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        name = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return f"{path}/{name}" if name else None  # empty: its writer has not finished
 
-def _publish(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Write to a private folder, then rename into place.
 
-    Concurrent builders of the same stage each write their own folder; the
-    first rename wins and the others drop their copy, so a reader never
-    sees a half-written or overwritten stage.
-    """
-    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(tmp)
-    fs, src = _fs(spark, tmp)
-    _, dst = _fs(spark, path)
-    if not fs.rename(src, dst) or not _exists(spark, path):
-        fs.delete(src, True)
-        if not _exists(spark, path):
-            raise OSError(f"could not publish stage {path}")
+def _publish(spark: SparkSession, df: DataFrame, path: str) -> str:
+    """Write a table of its own, then point to it; the published table's path."""
+    name = f"data-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(f"{path}/{name}")
+    fs, pointer = _fs(spark, f"{path}/{POINTER}")
+    try:
+        stream = fs.create(pointer, False)
+    except Py4JJavaError:  # another builder was first
+        own_fs, own = _fs(spark, f"{path}/{name}")
+        found = _published(spark, path)
+        if found is None:
+            raise
+        own_fs.delete(own, True)
+        return found
+    stream.writeBytes(name)
+    stream.close()
+    return f"{path}/{name}"
 
 
 def stage(spark: SparkSession, name: str, sf_dir: str, tables: list[str], build) -> DataFrame:
@@ -88,11 +109,5 @@ def stage(spark: SparkSession, name: str, sf_dir: str, tables: list[str], build)
     # always measures a fresh build)
     ns = spark.conf.get(NAMESPACE_KEY, "") or ""
     scope = f"{ns.strip('/')}/" if ns else ""
-    path = f"{root.rstrip('/')}/duelframe-stages/{scope}{name}-{_signature(sf_dir, tables)}"
-    try:
-        if not _exists(spark, path):
-            _publish(spark, build(), path)
-    except Exception as e:  # unwritable shared folder: stay correct, run lazily
-        log.warning("stage %s not materialised (%s); using the lazy plan", name, e)
-        return build()
-    return spark.read.parquet(path)
+    path = f"{root.rstrip('/')}/duelframe-stages/{scope}{name}-{signature(spark, sf_dir, tables)}"
+    return spark.read.parquet(_published(spark, path) or _publish(spark, build(), path))

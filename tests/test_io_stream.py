@@ -72,21 +72,70 @@ def test_streaming_scorer_matches_batch(spark, tmp_path):
 
 
 def test_stage_publish_is_first_writer_wins(spark, tmp_path):
-    from duelframe.sources.stages import _exists, _publish
+    from duelframe.sources.stages import POINTER, _publish, _published
     target = str(tmp_path / "stage")
-    _publish(spark, spark.range(5), target)
-    _publish(spark, spark.range(7), target)        # a second builder loses quietly
-    assert _exists(spark, target) and spark.read.parquet(target).count() == 5
-    assert [p.name for p in tmp_path.iterdir()] == ["stage"]
+    first = _publish(spark, spark.range(5), target)
+    assert _publish(spark, spark.range(7), target) == first    # a second builder loses quietly
+    assert _published(spark, target) == first and spark.read.parquet(first).count() == 5
+    left = {p.name for p in (tmp_path / "stage").iterdir() if not p.name.startswith(".")}
+    assert left == {POINTER, first.rsplit("/", 1)[1]}          # and leaves nothing behind
 
 
-def test_stage_falls_back_to_lazy_plan_when_unwritable(spark, tmp_path, monkeypatch):
+def test_a_table_without_pointer_is_not_read(spark, tmp_path):
+    from duelframe.sources.stages import POINTER, _published
+    spark.range(5).write.parquet(str(tmp_path / "stage" / "data-x"))
+    assert _published(spark, str(tmp_path / "stage")) is None
+    (tmp_path / "stage" / POINTER).write_text("")              # its writer has not finished
+    assert _published(spark, str(tmp_path / "stage")) is None
+
+
+def test_stage_signature_follows_input_and_config(spark, tmp_path, monkeypatch):
+    from duelframe import config
+    from duelframe.sources import stages
+    spark.range(5).write.parquet(str(tmp_path / "orders.parquet"))
+    one = stages.signature(spark, str(tmp_path), ["orders", "part"])
+    assert one == stages.signature(spark, str(tmp_path), ["orders", "part"])
+    spark.range(6).write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    two = stages.signature(spark, str(tmp_path), ["orders", "part"])
+    changed = tmp_path / "config.py"
+    changed.write_text("# other")
+    monkeypatch.setattr(config, "__file__", str(changed))
+    assert len({one, two, stages.signature(spark, str(tmp_path), ["orders", "part"])}) == 3
+
+
+def test_stage_that_cannot_be_written_fails(spark, tmp_path, monkeypatch):
+    import pytest
     from duelframe.sources import stages
     blocker = tmp_path / "file"
     blocker.write_text("x")                         # a file where a folder is needed
     monkeypatch.setattr(stages, "checkpoint_dir", lambda s: str(blocker))
-    df = stages.stage(spark, "raw", SF001, ["orders"], lambda: spark.range(3))
-    assert df.count() == 3
+    with pytest.raises(Exception):
+        stages.stage(spark, "raw", SF001, ["orders"], lambda: spark.range(3)).count()
+
+
+def test_csv_text_as_pandas_reads_it(spark, tmp_path):
+    import pandas as pd
+    import pytest
+    from duelframe.sources.io import CsvTextError, read_raw_csv
+    rows = pd.DataFrame({"a": [1, 2, 3], "t": ['he said "hi", then left', "two\nlines", "plain"], "z": ["x", "y", "z,\"q\""]})
+    path = tmp_path / "t.csv"
+    rows.to_csv(path, index=False)
+    got = read_raw_csv(spark, str(path), multi_line=True).toPandas()
+    assert got.values.tolist() == pd.read_csv(path).values.tolist()
+    with pytest.raises(CsvTextError):
+        read_raw_csv(spark, str(path))
+    rows.iloc[[0, 2]].to_csv(path, index=False)
+    assert read_raw_csv(spark, str(path)).toPandas().values.tolist() == pd.read_csv(path).values.tolist()
+
+
+def test_several_files_need_a_key(spark, tmp_path):
+    import pytest
+    from duelframe.sources.io import read_contests
+    for name, text in (("a.csv", "x\n1\n"), ("b.csv", "x\n2\n3\n")):
+        (tmp_path / name).write_text(text)
+    with pytest.raises(ValueError, match="key"):
+        read_contests(spark, str(tmp_path))
+    assert [r["bout_id"] for r in read_contests(spark, str(tmp_path / "b.csv")).collect()] == [0, 1]
 
 
 def test_ensure_checkpoint_dir_when_none_is_configured(spark, monkeypatch, tmp_path):

@@ -3,8 +3,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001
+from duelframe.plans.catalog import QUERIES
 from duelframe.plans.pipeline import ContestPipeline
 from duelframe.sources.fixtures import bouts
 
@@ -15,9 +15,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_in_any_query(spark, name):
-    text = plan(E.queries()[name](spark, SF001))
+    text = plan(QUERIES[name](spark, SF001))
     assert not any(n in text for n in PY_NODES), name
 
 
@@ -47,12 +47,12 @@ def _scans(df):
                                   "leakage_census", "feature_groups", "feature_checks",
                                   "rank_coverage", "class_balance"])
 def test_profiles_read_the_stage_once(spark, name):
-    scans = _scans(E.queries()[name](spark, SF001))
+    scans = _scans(QUERIES[name](spark, SF001))
     assert len(scans) == 1, (name, scans)
 
 
 def test_scan_prunes_columns(spark):
-    scans = _scans(E.queries()["yearly_trend"](spark, SF001))
+    scans = _scans(QUERIES["yearly_trend"](spark, SF001))
     assert len(scans) == 1
     cols = {c.split(":")[0].split("#")[0].strip() for c in scans[0].split(",")}
     assert cols == {"Date", "Winner"}
@@ -60,12 +60,14 @@ def test_scan_prunes_columns(spark):
 
 SKIP = {"Project", "Filter", "Sort", "InputAdapter", "WholeStageCodegen", "ColumnarToRow",
         "AQEShuffleRead", "ShuffleQueryStage", "Window", "Exchange"}
-BOUNDED = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "TakeOrderedAndProject",
-           "GlobalLimit", "LocalLimit", "BroadcastNestedLoopJoin", "LocalTableScan")
+BOUNDED = ("TakeOrderedAndProject", "GlobalLimit", "LocalLimit", "BroadcastNestedLoopJoin", "LocalTableScan")
+#: Columns whose distinct values don't grow with the rows: dates, classes, sides, categories, buckets.
+SMALL_KEYS = {"Date", "target", "class", "split", "_side", "_cls", "value", "feature", "bin", "_b", "dtype", "year",
+              "majority_class", "Winner", "WeightClass", "stance_matchup", "i", "lo", "hi"}
 
 
 def _below_single_partition(text):
-    """Operator names directly under each SinglePartition exchange."""
+    """(operator name, its line) directly under each SinglePartition exchange."""
     lines = text.splitlines()
     found = []
     for i, line in enumerate(lines):
@@ -74,19 +76,49 @@ def _below_single_partition(text):
         for nxt in lines[i + 1:]:
             name = re.sub(r"^[\s:+\-*()\d]*", "", nxt).split(" ")[0].split("(")[0]
             if name and name not in SKIP:
-                found.append(name)
+                found.append((name, nxt))
                 break
     return found
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(E.queries()) if n not in {
-    "odds_baseline", "logreg_baseline", "scored_bouts", "top_coefficients", "model_report",
-    "baseline_comparison", "results_summary", "metrics_report"}])
+def _bounded(name, line):
+    """A limit or one-row input, or an aggregate whose keys are all small."""
+    if name.startswith(BOUNDED):
+        return True
+    keys = re.search(r"keys?=\[([^\]]*)\]", line)
+    if "Aggregate" not in name or keys is None:
+        return False
+    return all(re.sub(r"#\d+L?$", "", k.strip()) in SMALL_KEYS for k in re.findall(r"[A-Za-z_]\w*#\d+L?", keys[1]))
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_single_partition_only_over_bounded_inputs(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        text = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        text = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    for op in _below_single_partition(text):
-        assert op.startswith(BOUNDED), (name, op)
+    for op, line in _below_single_partition(text):
+        assert _bounded(op, line), (name, line)
+
+
+def test_the_plan_test_can_fail(spark):
+    """A single-task window over scores grouped by value must be refused."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    scored = ContestPipeline.for_input(spark, SF001).rule_scored()
+    bad = (scored.groupBy("score").agg(F.sum("target").alias("n"))
+           .withColumn("below", F.sum("n").over(Window.orderBy("score"))))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = bad._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert not all(_bounded(op, line) for op, line in _below_single_partition(text))
+
+
+def test_split_bound_reaches_the_scan(spark):
+    p = ContestPipeline.for_input(spark, SF001)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(Date", plan(p.test()))
+    assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(Date", plan(p.train()))
+    assert p.train().count() + p.test().count() == p.split().count()

@@ -16,6 +16,7 @@ from duelframe.operators import model as mo
 from duelframe.operators import profile as pr
 from duelframe.operators import quality as qa
 from duelframe.operators import split as sp
+from duelframe.plans.pipeline import ContestPipeline
 
 RAW_DDL = ("bout_id bigint, Date date, RedFighter string, BlueFighter string, Winner string, "
            "RedOdds double, BlueOdds double, RMatchWCRank int, BMatchWCRank int, "
@@ -65,11 +66,31 @@ def test_stance_unknown_and_null_category(spark):  # Q6, Q7, Q9
     assert "wc_rank_diff" in spec.ranks and spec.columns.count("wc_rank_diff") == 1
 
 
-def test_vocabulary_cap(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("RedStance"),
-                                F.lit("x").alias("BlueStance"), F.lit("Red").alias("Winner"))
-    with pytest.raises(fe.SchemaError):
-        fe.discover_vocabulary(df, cap=10)
+def test_vocabulary_without_a_limit(spark):
+    df = spark.range(1500).select(F.col("id").alias("bout_id"), F.col("id").cast("string").alias("RedStance"),
+                                  F.lit("x").alias("BlueStance"), F.lit("Red").alias("Winner"))
+    assert len(fe.discover_vocabulary(df).stance) == 1500
+    categories, cells = fe.sparse_one_hot(df.withColumn("c", F.when(F.col("bout_id") % 7 != 0, F.col("RedStance"))), F.col("c"))
+    want = {c: i for i, c in enumerate(sorted(str(i) for i in range(1500) if i % 7))}
+    assert {r["category"]: r["position"] for r in categories.collect()} == want
+    assert {r["bout_id"]: r["position"] for r in cells.collect()} == {i: want[str(i)] for i in range(1500) if i % 7}
+
+
+def test_odd_category_names_are_safe(spark):  # apostrophe, dot, case, backtick
+    cats = ["Women's Strawweight", "St. Weight", "orthodox", "Orthodox", "a`b"]
+    rows = [(i, c, "s", "Red" if i % 2 else "Blue", dt.date(2020, 1, 1 + i % 28), float(i), 2.0) for i, c in enumerate(cats * 8)]
+    df = spark.createDataFrame(rows, "bout_id long, WeightClass string, RedStance string, Winner string, Date date, "
+                                     "RedOdds double, BlueOdds double").withColumn("BlueStance", F.col("RedStance"))
+    feats, spec = fe.feature_matrix(df)
+    assert len({c.lower() for c in spec.columns}) == len(spec.columns)
+    checks = {r["check_name"]: (r["passed"], r["value"]) for r in qa.feature_checks(feats, spec.columns, spec.labels).collect()}
+    assert checks["no_duplicate_columns"] == (0, 1)  # the real duplicate is reported
+    assert qa.feature_nulls(feats, spec.columns).count() == 0
+    p = ContestPipeline(spark, features=feats)
+    assert mo.scaler_stats(p.train(), p.feature_cols()).count() == len(p.feature_cols())
+    assert p.full_scored().count() == 8
+    sums = feats.agg(*[F.sum(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(spec.weight_class)]).first()
+    assert list(sums) == [8] * 5
 
 
 def test_missing_target_raises(spark):  # O9
@@ -103,9 +124,8 @@ def test_favourite_strict_less(spark):  # Q14
 
 
 def test_majority_tie_goes_to_smaller_class(spark):  # Q13
-    train = spark.createDataFrame([(1,), (0,), (1,), (0,)], "target int")
-    test = spark.createDataFrame([(0,), (0,), (1,)], "target int")
-    r = mo.majority_baseline(train, test).first()
+    rows = [("train", 1), ("train", 0), ("test", 0), ("test", 1), ("test", 0)]
+    r = mo.majority_baseline_split(spark.createDataFrame(rows, "split string, target int")).first()
     assert (r.majority_class, r.majority_label) == (0, "Blue")
     assert abs(r.accuracy - 2 / 3) < 1e-12
 
@@ -205,7 +225,34 @@ def test_kth_smallest_iterative_path(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
     srt = sorted(keys)
     for k in (1, 777, 12345, 20000):
-        assert kth_smallest(df, "k", k, final_rows=500, n_buckets=16) == srt[k - 1]
+        assert kth_smallest(df, "k", k, final_keys=500, n_edges=16).values == (srt[k - 1],)
+
+
+def test_kth_smallest_any_type_nulls_and_repeats(spark):
+    rnd = random.Random(8)
+    keys = [(rnd.choice([None, "a", "b", "é", "zz"]), rnd.choice([None, *range(40)])) for _ in range(3000)]
+    df = spark.createDataFrame(keys, "s string, n long")
+    order = sorted(keys, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0))
+    for k in (1, 2, 900, 1501, 3000):
+        for final in (5, 10_000):
+            got = kth_smallest(df, ["s", "n"], k, final_keys=final, n_edges=7)
+            assert got.values == order[k - 1]
+            assert got.rows_before == order.index(order[k - 1]) and got.rows_at == order.count(order[k - 1])
+
+
+def test_split_keys_null_or_repeated(spark):
+    day = dt.date(2020, 1, 1)
+    same = spark.createDataFrame([(7, day, 0)] * 400, "bout_id long, Date date, target int")
+    with pytest.raises(sp.SplitKeyError, match="bout_id"):
+        sp.time_split(same, 0.8)
+    half = spark.createDataFrame([(None if i % 2 else i, i, day) for i in range(400)], "bout_id long, n long, Date date")
+    out, point = sp.time_split(half, 0.8)  # the NULLs come first, so the cut is among the others
+    assert out.where("split = 'train'").count() == point.cut == 320
+    out, point = sp.time_split(half, 0.3, key=["bout_id", "n"])
+    train = sorted(r["n"] for r in out.where("split = 'train'").collect())
+    assert train == [i for i in range(400) if i % 2][:120]
+    with pytest.raises(sp.SplitKeyError):
+        sp.time_split(half, 0.3)
 
 
 def _brute_auc(y, s):
@@ -215,13 +262,13 @@ def _brute_auc(y, s):
     return tot / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10**6, 7])
-def test_roc_auc_exact_with_ties(spark, rows_per_bucket):  # O81
+@pytest.mark.parametrize("n_buckets", [2, 16, 1024])
+def test_roc_auc_exact_with_ties(spark, n_buckets):  # O81
     rnd = random.Random(11)
     y = [rnd.randrange(2) for _ in range(600)]
     s = [round(rnd.gauss(a * 0.7, 1), 1) for a in y]   # coarse scores -> many ties
     df = spark.createDataFrame(list(zip(y, s)), "target int, score double")
-    got = ev.roc_auc(df, rows_per_bucket=rows_per_bucket).first()
+    got = ev.roc_auc(df, n_buckets=n_buckets).first()
     assert abs(got.roc_auc - _brute_auc(y, s)) < 1e-12
     assert (got.n_pos, got.n_neg) == (sum(y), len(y) - sum(y))
 
@@ -289,7 +336,7 @@ def test_roc_auc_many_buckets_bucketizer_path(spark):
     y = [rnd.randrange(2) for _ in range(3000)]
     s = [round(rnd.gauss(a * 0.5, 1), 3) for a in y]
     df = spark.createDataFrame(list(zip(y, s)), "target int, score double")
-    got = ev.roc_auc(df, rows_per_bucket=2).first().roc_auc   # > 1024 buckets
+    got = ev.roc_auc(df, n_buckets=1500).first().roc_auc
     ys, ss = np.array(y), np.array(s)
     pos, neg = ss[ys == 1], ss[ys == 0]
     brute = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
@@ -301,14 +348,14 @@ def test_evaluation_row_single_pass_matches_parts(spark):
     rows = [(rnd.randrange(2), round(rnd.random(), 2)) for _ in range(500)]
     df = spark.createDataFrame(rows, "target int, score double") \
         .withColumn("prediction", (F.col("score") > 0.5).cast("int"))
-    one = ev.evaluation_row(df, "m", n_rows_hint=500).first()
+    one = ev.evaluation_row(df, "m").first()
     assert abs(one.accuracy - ev.accuracy(df).first().accuracy) < 1e-15
     assert abs(one.roc_auc - _brute_auc([r[0] for r in rows], [r[1] for r in rows])) < 1e-12
 
 
 def test_time_split_hot_date_bounded_rounds(spark):
     """A date holding 40% of all rows straddles the cut; the tiebreak search
-    must stay exact while never ordering more than 300 rows in one task."""
+    must stay exact while never ordering more than 300 keys in one task."""
     rnd = random.Random(9)
     n = 20000
     keys = rnd.sample(range(10**7), n)
@@ -323,7 +370,7 @@ def test_time_split_hot_date_bounded_rounds(spark):
             d = hot + dt.timedelta(days=1 + rnd.randrange(50))
         rows.append((k, d, 0))
     df = spark.createDataFrame(rows, "bout_id bigint, Date date, target int")
-    out, point = sp.time_split(df, 0.5, final_rows=300)
+    out, point = sp.time_split(df, 0.5, final_keys=300)
     assert point.boundary_date == hot and point.key_threshold is not None
     got = {r.bout_id: r.split for r in out.collect()}
     assert got == _naive_split(rows, 0.5)
@@ -372,7 +419,7 @@ def test_roc_auc_equals_spark_exact_evaluator(spark):
     from duelframe.plans.pipeline import ContestPipeline
     p = ContestPipeline.for_input(spark, SF001)
     scored = p.rule_scored()
-    ours = ev.roc_auc(scored, rows_per_bucket=97).first().roc_auc     # several buckets
+    ours = ev.roc_auc(scored, n_buckets=7).first().roc_auc     # several buckets
     spark_exact = BinaryClassificationEvaluator(
         rawPredictionCol="score", labelCol="label", metricName="areaUnderROC", numBins=0
     ).evaluate(scored.withColumn("label", F.col("target").cast("double")))
