@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe import config as C
+from duelframe.functions.exprs import lenient_date
 from duelframe.operators import evaluate as ev
 from duelframe.operators import features as fe
 from duelframe.operators import model as mo
@@ -196,6 +197,23 @@ def betterrank_onehot(s, d):
     return _onehot(s, d, "BetterRank", C.BETTERRANK_PREFIX, "better_rank")
 
 
+def _text_dates(s, d):
+    """The contests with their date as text: five layouts by key, and one that is no date."""
+    layouts = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "d MMMM yyyy", "MMMM d, yyyy"]
+    text = F.lit("no date 99/99")
+    for i, layout in enumerate(layouts):
+        text = F.when(F.col("bout_id") % 6 == i, F.date_format("Date", layout)).otherwise(text)
+    return P(s, d).clean().select("bout_id", text.alias("Date"))
+
+
+def lenient_dates(s, d):
+    return fin(_text_dates(s, d).select("bout_id", lenient_date(F.col("Date")).alias("parsed")))
+
+
+def text_date_quality(s, d):
+    return fin(sp.date_quality(_text_dates(s, d)))
+
+
 def vocab_unbounded(s, d):
     """One-hot cells of a column with a category per competitor."""
     return fe.sparse_one_hot(P(s, d).clean(), F.col("RedFighter"))[1]
@@ -394,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         target_corr, date_quality, time_split, split_summary, training_view, odds_only_view,
         scaler_stats, standardized_features, class_weights, majority_baseline, eval_accuracy,
         eval_roc_auc, confusion_matrix, classification_report, missing_summary, vocab_unbounded,
+        lenient_dates, text_date_quality,
         split_text_key, rule_comparison, rule_summary, declared_scores, declared_report, odds_baseline,
         logreg_baseline, scored_bouts, top_coefficients, model_report, baseline_comparison,
         results_summary, metrics_report,

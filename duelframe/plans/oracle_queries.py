@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from duelframe import config as C
 from duelframe.plans.oracle_sql import (
-    BR_COLS, CLEAN_COLUMNS, FEATURES, FEATURE_TABLE, PAIRED, RAW_COLUMNS, RAW_TYPES,
-    STANCE_COLS, WC_COLS, feat_sql, lit, q, split_sql, with_ctes)
+    BR_COLS, CLEAN_COLUMNS, EXISTING, FEATURES, FEATURE_TABLE, LEAKAGE, PAIRED, RANK_PAIRS, RANKS, RAW_COLUMNS,
+    RAW_TYPES, STANCE_COLS, WC_COLS, ZERO_FILLED, diff, feat_sql, filled_diff, lit, q, rank_diff, split_sql,
+    with_ctes)
 
 R = 9
 
@@ -24,8 +25,6 @@ def rnd(expr: str) -> str:
 RAW_STAR = """SELECT * REPLACE (CAST("Date" AS VARCHAR) AS "Date",
                             CAST("TitleBout" AS INTEGER) AS "TitleBout") FROM bouts"""
 
-LEAK_PRESENT = ["Finish", "FinishRound"]
-
 
 def _column_audit() -> str:
     parts = []
@@ -62,7 +61,7 @@ def _missing_profile() -> str:
 
 def _feature_groups() -> str:
     groups = {
-        "existing_diffs": [], "paired_diffs": PAIRED, "rank_diffs": ["wc_rank_diff"],
+        "existing_diffs": EXISTING, "paired_diffs": PAIRED, "rank_diffs": RANKS,
         "contextual": ["TitleBout", "NumberOfRounds", "EmptyArena"],
         "stance_dummies": STANCE_COLS, "weightclass_dummies": WC_COLS,
         "betterrank_dummies": BR_COLS, "other": ["is_male"],
@@ -89,7 +88,7 @@ def _feature_checks() -> str:
         SELECT 'no_missing_values' AS check_name,
                CAST(({nulls}) = 0 AS INTEGER) AS passed, CAST({nulls} AS BIGINT) AS value FROM feat
         UNION ALL SELECT 'no_competitor_names', 1, CAST(0 AS BIGINT)
-        UNION ALL SELECT 'no_duplicate_columns', 1, CAST(0 AS BIGINT)
+        UNION ALL SELECT 'no_duplicate_columns', 0, CAST(1 AS BIGINT)
         UNION ALL SELECT 'rows', 1, count(*) FROM feat""")
 
 
@@ -183,11 +182,11 @@ def build() -> dict[str, str]:
     s: dict[str, str] = {}
     s["scan_raw"] = with_ctes(RAW_STAR)
     s["clean_bouts"] = with_ctes(
-        'SELECT * EXCLUDE ("Finish", "FinishRound") REPLACE (CAST("Date" AS VARCHAR) AS "Date", '
+        "SELECT * EXCLUDE (" + ", ".join(q(c) for c in LEAKAGE) + ') REPLACE (CAST("Date" AS VARCHAR) AS "Date", '
         'CAST("TitleBout" AS INTEGER) AS "TitleBout") FROM bouts')
     s["column_audit"] = _column_audit()
     s["leakage_census"] = with_ctes(" UNION ALL ".join(
-        f"SELECT {lit(c)} AS column_name, count({q(c)}) AS non_null FROM bouts" for c in LEAK_PRESENT))
+        f"SELECT {lit(c)} AS column_name, count({q(c)}) AS non_null FROM bouts" for c in LEAKAGE))
     s["leakage_check"] = with_ctes(
         f"""SELECT count(*) AS rows_kept, count("Winner") AS target_non_null,
                    CAST(0 AS BIGINT) AS leakage_columns_left,
@@ -225,28 +224,25 @@ def build() -> dict[str, str]:
         'SELECT count(*) AS n_rows, CAST(min("Date") AS VARCHAR) AS first_date, '
         'CAST(max("Date") AS VARCHAR) AS last_date FROM bouts')
     s["rank_coverage"] = with_ctes(
-        f"""SELECT 'wc_rank_diff' AS rank_diff, count("RMatchWCRank") AS red_ranked,
-                   {rnd('100.0 * count("RMatchWCRank") / count(*)')} AS red_ranked_pct FROM bouts""")
+        " UNION ALL ".join(
+            f"SELECT {lit(k)} AS rank_diff, count({q(red)}) AS red_ranked, "
+            f"{rnd(f'100.0 * count({q(red)}) / count(*)')} AS red_ranked_pct FROM bouts"
+            for k, (red, _) in RANK_PAIRS.items()))
     s["binary_target"] = with_ctes(
         "SELECT bout_id, \"Winner\", CASE WHEN \"Winner\" = 'Red' THEN 1 ELSE 0 END AS target FROM bouts")
     s["gender_binary"] = with_ctes(
         "SELECT bout_id, CASE WHEN \"Gender\" = 'MALE' THEN 1 ELSE 0 END AS is_male FROM bouts")
     s["paired_diffs"] = with_ctes(
-        'SELECT bout_id, "RedAvgSigStrPct" - "BlueAvgSigStrPct" AS sig_str_pct_diff, '
-        '"RedAvgTDPct" - "BlueAvgTDPct" AS td_pct_diff, "RedOdds" - "BlueOdds" AS odds_diff, '
-        '"RedWinsByDecisionSplit" - "BlueWinsByDecisionSplit" AS dec_split_wins_diff, '
-        '"RedDraws" - "BlueDraws" AS draws_diff FROM bouts')
+        "SELECT bout_id, " + ", ".join(f"{diff(c)} AS {c}" for c in PAIRED) + " FROM bouts")
     s["neutral_fill"] = with_ctes(
-        'SELECT bout_id, coalesce("RedAvgSigStrPct" - "BlueAvgSigStrPct", 0) AS sig_str_pct_diff, '
-        'coalesce("RedAvgTDPct" - "BlueAvgTDPct", 0) AS td_pct_diff, '
-        'coalesce("RedOdds" - "BlueOdds", 0) AS odds_diff, coalesce("EmptyArena", 0) AS "EmptyArena" FROM bouts')
-    s["fill_counts"] = with_ctes(" UNION ALL ".join([
-        "SELECT 'sig_str_pct_diff' AS column_name, CAST(count_if((\"RedAvgSigStrPct\" - \"BlueAvgSigStrPct\") IS NULL) AS BIGINT) AS filled FROM bouts",
-        "SELECT 'td_pct_diff', CAST(count_if((\"RedAvgTDPct\" - \"BlueAvgTDPct\") IS NULL) AS BIGINT) FROM bouts",
-        "SELECT 'odds_diff', CAST(count_if((\"RedOdds\" - \"BlueOdds\") IS NULL) AS BIGINT) FROM bouts",
-        "SELECT 'EmptyArena', CAST(count_if(\"EmptyArena\" IS NULL) AS BIGINT) FROM bouts"]))
+        "SELECT bout_id, " + ", ".join(f"{filled_diff(c)} AS {c}" for c in ZERO_FILLED) +
+        ', coalesce("EmptyArena", 0) AS "EmptyArena" FROM bouts')
+    s["fill_counts"] = with_ctes(" UNION ALL ".join(
+        [f"SELECT {lit(c)} AS column_name, CAST(count_if(({diff(c)}) IS NULL) AS BIGINT) AS filled FROM bouts"
+         for c in ZERO_FILLED] +
+        ["SELECT 'EmptyArena', CAST(count_if(\"EmptyArena\" IS NULL) AS BIGINT) FROM bouts"]))
     s["rank_diffs"] = with_ctes(
-        'SELECT bout_id, coalesce("RMatchWCRank", 99) - coalesce("BMatchWCRank", 99) AS wc_rank_diff FROM bouts')
+        "SELECT bout_id, " + ", ".join(f"{rank_diff(c)} AS {c}" for c in RANKS) + " FROM bouts")
     sm = "coalesce(\"RedStance\", 'Unknown') || '_vs_' || coalesce(\"BlueStance\", 'Unknown')"
     s["stance_matchup"] = with_ctes(f"SELECT bout_id, {sm} AS stance_matchup FROM bouts")
     s["stance_top5"] = with_ctes(
@@ -316,6 +312,12 @@ def build() -> dict[str, str]:
            LEFT JOIN rule r ON r.target = a.actual AND r.prediction = p.predicted
            GROUP BY a.actual, p.predicted""")
     s["classification_report"] = _report()
+    s["lenient_dates"] = with_ctes(
+        """SELECT bout_id, CASE WHEN bout_id % 6 <> 5 THEN CAST("Date" AS VARCHAR) END AS parsed FROM bouts""")
+    s["text_date_quality"] = with_ctes(
+        """SELECT count(*) AS n_rows, CAST(count_if(d IS NULL) AS BIGINT) AS invalid_dates, count(d) AS valid_dates,
+                  CAST(min(d) AS VARCHAR) AS first_date, CAST(max(d) AS VARCHAR) AS last_date
+           FROM (SELECT CASE WHEN bout_id % 6 <> 5 THEN "Date" END AS d FROM bouts)""")
     s["missing_summary"] = with_ctes(
         "SELECT CAST(sum(CAST(missing > 0 AS INTEGER)) AS BIGINT) AS columns_with_missing, count(*) AS n_columns FROM ("
         + " UNION ALL ".join(f"SELECT count_if({q(c)} IS NULL) AS missing FROM bouts" for c in RAW_COLUMNS) + ")")

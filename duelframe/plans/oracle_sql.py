@@ -5,6 +5,35 @@ registered query must return.  The ``bouts`` CTE is the fixture definition
 
 from __future__ import annotations
 
+EXISTING = ["LoseStreakDif", "WinStreakDif", "LongestWinStreakDif", "WinDif", "LossDif", "TotalRoundDif",
+            "TotalTitleBoutDif", "KODif", "SubDif", "HeightDif", "ReachDif", "AgeDif", "SigStrDif", "AvgSubAttDif",
+            "AvgTDDif"]
+# output name -> (red column, blue column), for the pairs counted from the key
+COUNTED_PAIRS = {
+    "ev_diff": ("RedExpectedValue", "BlueExpectedValue"), "dec_odds_diff": ("RedDecOdds", "BlueDecOdds"),
+    "sub_odds_diff": ("RSubOdds", "BSubOdds"), "ko_odds_diff": ("RKOOdds", "BKOOdds"),
+    "dec_maj_wins_diff": ("RedWinsByDecisionMajority", "BlueWinsByDecisionMajority"),
+    "dec_unan_wins_diff": ("RedWinsByDecisionUnanimous", "BlueWinsByDecisionUnanimous"),
+    "tko_doc_wins_diff": ("RedWinsByTKODoctorStoppage", "BlueWinsByTKODoctorStoppage"),
+}
+DOUBLES = {"HeightDif", "ReachDif", "SigStrDif"} | {c for k in list(COUNTED_PAIRS)[:4] for c in COUNTED_PAIRS[k]}
+COUNTED = EXISTING + [c for pair in COUNTED_PAIRS.values() for c in pair]
+# the thirteen further rank pairs: output name -> name of the division in both columns
+DIVISIONS = {"pfp": "PFP", "hw": "Heavyweight", "lhw": "LightHeavyweight", "mw": "Middleweight", "ww": "Welterweight",
+             "lw": "Lightweight", "fw": "Featherweight", "bw": "Bantamweight", "flw": "Flyweight",
+             "w_sw": "WStrawweight", "w_flw": "WFlyweight", "w_bw": "WBantamweight", "w_fw": "WFeatherweight"}
+RANK_PAIRS = {"wc_rank_diff": ("RMatchWCRank", "BMatchWCRank")} | {
+    f"{k}_rank_diff": (f"R{v}Rank", f"B{v}Rank") for k, v in DIVISIONS.items()}
+RANKED = [c for k, pair in RANK_PAIRS.items() if k != "wc_rank_diff" for c in pair]
+
+_KEY_COLUMNS = "".join(
+    f"""         CASE WHEN o.o_orderkey % {31 + i} <> 0 THEN {{}} END AS "{c}",\n""".format(
+        f"CAST(o.o_orderkey * {2 * i + 7} % {41 + i} - 20 + {i % 3} AS DOUBLE) / 4" if c in DOUBLES
+        else f"o.o_orderkey * {2 * i + 7} % {41 + i} - 20 + {i % 3}")
+    for i, c in enumerate(COUNTED)) + "".join(
+    f"""         CAST(CASE WHEN (o.o_orderkey * 3 + {j}) % 7 < 2 THEN (o.o_orderkey + {j}) % 15 + 1 END AS INTEGER) AS "{c}",\n"""
+    for j, c in enumerate(RANKED))
+
 BOUTS_CTES = """
 li AS (
   SELECT l_orderkey,
@@ -55,7 +84,9 @@ bouts AS (
          CAST(CASE WHEN sr.reg_rank <= 5 THEN sr.reg_rank END AS INTEGER) AS "BMatchWCRank",
          CASE WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE cr.c_mktsegment END AS "RedStance",
          sr.r_name AS "BlueStance",
-         p.p_type AS "WeightClass",
+         CASE WHEN p.p_type = 'ECONOMY' THEN 'Women''s Economy' WHEN p.p_type = 'LARGE' THEN 'St. Large'
+              WHEN p.p_type = 'MEDIUM' AND o.o_orderkey % 2 = 0 THEN 'medium'
+              WHEN p.p_type = 'MEDIUM' THEN 'Medium' ELSE p.p_type END AS "WeightClass",
          CASE WHEN cr.c_custkey % 4 = 0 THEN 'FEMALE' ELSE 'MALE' END AS "Gender",
          CASE WHEN cr.seg_rank <= 15 AND (sr.reg_rank IS NULL OR sr.reg_rank > 5) THEN 'Red'
               WHEN sr.reg_rank <= 5 AND cr.seg_rank > 15 THEN 'Blue'
@@ -64,8 +95,11 @@ bouts AS (
          CASE WHEN o.o_orderpriority = '1-URGENT' THEN 5 ELSE 3 END AS "NumberOfRounds",
          CASE WHEN o.o_orderkey % 7 = 0 THEN NULL
               WHEN year(o.o_orderdate) = 1998 THEN 1 ELSE 0 END AS "EmptyArena",
-         o.o_orderstatus AS "Finish",
-         li.n_lines AS "FinishRound"
+""" + _KEY_COLUMNS + """         o.o_orderstatus AS "Finish",
+         CASE WHEN o.o_orderkey % 3 = 0 THEN 'Punch' END AS "FinishDetails",
+         li.n_lines AS "FinishRound",
+         CASE WHEN o.o_orderkey % 4 <> 0 THEN (o.o_orderkey % 5) || ':00' END AS "FinishRoundTime",
+         CASE WHEN o.o_orderkey % 9 <> 0 THEN CAST(o.o_orderkey % 1500 AS DOUBLE) END AS "TotalFightTimeSecs"
   FROM orders o
   JOIN cr ON o.o_custkey = cr.c_custkey
   LEFT JOIN li ON o.o_orderkey = li.l_orderkey
@@ -83,7 +117,7 @@ def with_ctes(body: str, *extra_ctes: str) -> str:
 # FIXED VALUES: value sets of the TPC-H-style columns behind the fixture.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+WEIGHT_CLASSES = ["Medium", "PROMO", "SMALL", "STANDARD", "St. Large", "Women's Economy", "medium"]
 BETTER_RANKS = ["Blue", "Red", "neither"]
 
 STANCES = sorted(f"{r}_vs_{b}" for r in SEGMENTS + ["Unknown"] for b in REGIONS + ["Unknown"])
@@ -98,18 +132,28 @@ RAW_TYPES = {
     "RMatchWCRank": "int", "BMatchWCRank": "int",
     "RedStance": "string", "BlueStance": "string", "WeightClass": "string",
     "Gender": "string", "BetterRank": "string", "TitleBout": "boolean",
-    "NumberOfRounds": "int", "EmptyArena": "int", "Finish": "string", "FinishRound": "bigint",
+    "NumberOfRounds": "int", "EmptyArena": "int",
+    **{c: "double" if c in DOUBLES else "bigint" for c in COUNTED}, **{c: "int" for c in RANKED},
+    "Finish": "string", "FinishDetails": "string", "FinishRound": "bigint", "FinishRoundTime": "string",
+    "TotalFightTimeSecs": "double",
 }
 RAW_COLUMNS = list(RAW_TYPES)
-CLEAN_COLUMNS = [c for c in RAW_COLUMNS if c not in ("Finish", "FinishRound")]
-
-PAIRED = ["sig_str_pct_diff", "td_pct_diff", "odds_diff", "dec_split_wins_diff", "draws_diff"]
-RANKS = ["wc_rank_diff"]
+LEAKAGE = ["Finish", "FinishDetails", "FinishRound", "FinishRoundTime", "TotalFightTimeSecs"]
+CLEAN_COLUMNS = [c for c in RAW_COLUMNS if c not in LEAKAGE]
+
+PAIRS = {"sig_str_pct_diff": ("RedAvgSigStrPct", "BlueAvgSigStrPct"), "td_pct_diff": ("RedAvgTDPct", "BlueAvgTDPct"),
+         "odds_diff": ("RedOdds", "BlueOdds"), **COUNTED_PAIRS,
+         "dec_split_wins_diff": ("RedWinsByDecisionSplit", "BlueWinsByDecisionSplit"),
+         "draws_diff": ("RedDraws", "BlueDraws")}
+PAIRED = list(PAIRS)
+ZERO_FILLED = ["sig_str_pct_diff", "td_pct_diff", "odds_diff", "ev_diff", "dec_odds_diff", "sub_odds_diff", "ko_odds_diff"]
+RANKS = list(RANK_PAIRS)
 CONTEXT = ["TitleBout", "NumberOfRounds", "EmptyArena"]
 STANCE_COLS = [f"stance_{s}" for s in STANCES]
-WC_COLS = [f"wc_{v}" for v in PART_TYPES]
+# names of encoded columns: a dot becomes an underscore, the second spelling gets its place
+WC_COLS = ["wc_Medium", "wc_PROMO", "wc_SMALL", "wc_STANDARD", "wc_St_ Large", "wc_Women's Economy", "wc_medium__6"]
 BR_COLS = [f"better_rank_{v}" for v in BETTER_RANKS]
-FEATURES = PAIRED + RANKS + CONTEXT + STANCE_COLS + WC_COLS + BR_COLS + ["is_male"]
+FEATURES = EXISTING + PAIRED + RANKS + CONTEXT + STANCE_COLS + WC_COLS + BR_COLS + ["is_male"]
 FEATURE_TABLE = FEATURES + ["target", "RedFighter", "BlueFighter", "Date", "bout_id", "stance_matchup"]
 
 
@@ -121,27 +165,38 @@ def lit(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-def _onehots(expr: str, prefix: str, values: list[str]) -> list[str]:
-    return [f"CASE WHEN {expr} = {lit(v)} THEN 1 ELSE 0 END AS {q(prefix + '_' + v)}" for v in values]
+def _onehots(expr: str, names: list[str], values: list[str]) -> list[str]:
+    return [f"CASE WHEN {expr} = {lit(v)} THEN 1 ELSE 0 END AS {q(n)}" for n, v in zip(names, values)]
+
+
+def diff(name: str) -> str:
+    red, blue = PAIRS[name]
+    return f"{q(red)} - {q(blue)}"
+
+
+def filled_diff(name: str) -> str:
+    return f"coalesce({diff(name)}, 0)" if name in ZERO_FILLED else diff(name)
+
+
+def rank_diff(name: str) -> str:
+    red, blue = RANK_PAIRS[name]
+    return f"coalesce({q(red)}, 99) - coalesce({q(blue)}, 99)"
 
 
-CLEAN_CTE = 'clean AS (SELECT * EXCLUDE ("Finish", "FinishRound") FROM bouts)'
+CLEAN_CTE = "clean AS (SELECT * EXCLUDE (" + ", ".join(q(c) for c in LEAKAGE) + ") FROM bouts)"
 
 FEAT_CTE = "feat AS (SELECT " + ",\n  ".join(
     [
-        'coalesce("RedAvgSigStrPct" - "BlueAvgSigStrPct", 0) AS sig_str_pct_diff',
-        'coalesce("RedAvgTDPct" - "BlueAvgTDPct", 0) AS td_pct_diff',
-        'coalesce("RedOdds" - "BlueOdds", 0) AS odds_diff',
-        '"RedWinsByDecisionSplit" - "BlueWinsByDecisionSplit" AS dec_split_wins_diff',
-        '"RedDraws" - "BlueDraws" AS draws_diff',
-        'coalesce("RMatchWCRank", 99) - coalesce("BMatchWCRank", 99) AS wc_rank_diff',
+        *[q(c) for c in EXISTING],
+        *[f"{filled_diff(c)} AS {c}" for c in PAIRED],
+        *[f"{rank_diff(c)} AS {c}" for c in RANKS],
         'CAST("TitleBout" AS INTEGER) AS "TitleBout"',
         '"NumberOfRounds"',
         'coalesce("EmptyArena", 0) AS "EmptyArena"',
     ]
-    + _onehots("sm", "stance", STANCES)
-    + _onehots('"WeightClass"', "wc", PART_TYPES)
-    + _onehots('"BetterRank"', "better_rank", BETTER_RANKS)
+    + _onehots("sm", STANCE_COLS, STANCES)
+    + _onehots('"WeightClass"', WC_COLS, WEIGHT_CLASSES)
+    + _onehots('"BetterRank"', BR_COLS, BETTER_RANKS)
     + [
         "CASE WHEN \"Gender\" = 'MALE' THEN 1 ELSE 0 END AS is_male",
         "CASE WHEN \"Winner\" = 'Red' THEN 1 ELSE 0 END AS target",

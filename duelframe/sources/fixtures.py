@@ -10,7 +10,11 @@ NULL when key % 101 = 0, 'Draw' when key % 97 = 0, otherwise 'Red' when
 c_acctbal - coalesce(s_acctbal, 0) + ((key * 7919) % 1000) * 20 - 8400 > 0;
 RedStance NULL when key % 17 = 0; Gender 'FEMALE' when c_custkey % 4 = 0;
 TitleBout when o_orderpriority = '1-URGENT' (5 rounds, else 3); EmptyArena
-NULL when key % 7 = 0, 1 in 1998, else 0.
+NULL when key % 7 = 0, 1 in 1998, else 0.  The i-th column of COUNTED is NULL
+when key % (31 + i) = 0, else key * (2i + 7) % (41 + i) - 20 + i % 3, divided
+by 4 in QUARTERED; the j-th column of RANKED is (key + j) % 15 + 1 when
+(key * 3 + j) % 7 < 2, else NULL.  Three part types get names with an
+apostrophe, a dot, and two spellings that differ in case.
 
 Scale notes: the only data-sized shuffles are the lineitem aggregation (map-
 side partial aggregation on ``l_orderkey``) and the equi-joins, which AQE
@@ -24,9 +28,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duelframe import config as C
 from duelframe.functions.ordering import top_k_per_group
 from duelframe.sources.tables import table
 
+COUNTED = C.EXISTING_DIFF_COLUMNS + [
+    c for pair in C.PAIRED_STATS.values() for c in pair
+    if c not in ("RedAvgSigStrPct", "BlueAvgSigStrPct", "RedAvgTDPct", "BlueAvgTDPct", "RedOdds", "BlueOdds",
+                 "RedWinsByDecisionSplit", "BlueWinsByDecisionSplit", "RedDraws", "BlueDraws")]
+QUARTERED = ["HeightDif", "ReachDif", "SigStrDif", "RedExpectedValue", "BlueExpectedValue", "RedDecOdds",
+             "BlueDecOdds", "RSubOdds", "BSubOdds", "RKOOdds", "BKOOdds"]
+RANKED = [c for pair in C.RANKING_PAIRS.values() for c in pair if c not in ("RMatchWCRank", "BMatchWCRank")]
+
 SEGMENT_RANK_CUT = 15
 REGION_RANK_CUT = 5
 
@@ -72,6 +85,19 @@ def ranked_suppliers(supplier: DataFrame, nation: DataFrame, region: DataFrame)
     return sup.join(top, "s_suppkey", "left")
 
 
+def _counted(key) -> list:
+    out = []
+    for i, name in enumerate(COUNTED):
+        value = key * (2 * i + 7) % (41 + i) - 20 + i % 3
+        value = value.cast("double") / 4 if name in QUARTERED else value
+        out.append(F.when(key % (31 + i) != 0, value).alias(name))
+    return out
+
+
+def _ranked(key) -> list:
+    return [F.when((key * 3 + j) % 7 < 2, (key + j) % 15 + 1).cast("int").alias(name) for j, name in enumerate(RANKED)]
+
+
 def bouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw contest table (A1 shape) as a lazy plan."""
     orders = table(spark, sf_dir, "orders").select(
@@ -83,13 +109,15 @@ def bouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
 
     # orders join the line summary first: the summary is already partitioned
-    # by order key after its aggregation, so that join adds no second shuffle
+    # by order key after its aggregation, so that join adds no second shuffle.
+    # Orders without lines have no supplier or part; they get a key that can't
+    # match, different for each, so that no task receives all of them
+    key = F.col("o_orderkey")
     j = (orders.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
          .join(cr, F.col("o_custkey") == F.col("c_custkey"), "inner")
-         .join(sr, F.col("suppkey") == F.col("s_suppkey"), "left")
-         .join(part, F.col("partkey") == F.col("p_partkey"), "left"))
+         .join(sr, F.coalesce(F.col("suppkey"), -1 - key) == F.col("s_suppkey"), "left")
+         .join(part, F.coalesce(F.col("partkey"), -1 - key) == F.col("p_partkey"), "left"))
 
-    key = F.col("o_orderkey")
     edge = (F.col("c_acctbal") - F.coalesce(F.col("s_acctbal"), F.lit(0.0))
             + ((key * 7919) % 1000) * 20 - 8400)
     winner = (F.when(key % 101 == 0, F.lit(None).cast("string"))
@@ -124,13 +152,19 @@ def bouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 17 == 0, F.lit(None).cast("string"))
          .otherwise(F.col("c_mktsegment")).alias("RedStance"),
         F.col("r_name").alias("BlueStance"),
-        F.col("p_type").alias("WeightClass"),
+        F.when(F.col("p_type") == "ECONOMY", "Women's Economy").when(F.col("p_type") == "LARGE", "St. Large")
+         .when((F.col("p_type") == "MEDIUM") & (key % 2 == 0), "medium").when(F.col("p_type") == "MEDIUM", "Medium")
+         .otherwise(F.col("p_type")).alias("WeightClass"),
         F.when(F.col("c_custkey") % 4 == 0, F.lit("FEMALE")).otherwise(F.lit("MALE")).alias("Gender"),
         better.alias("BetterRank"),
         title.alias("TitleBout"),
         F.when(title, F.lit(5)).otherwise(F.lit(3)).alias("NumberOfRounds"),
         F.when(key % 7 == 0, F.lit(None).cast("int"))
          .when(F.year(odate) == 1998, F.lit(1)).otherwise(F.lit(0)).alias("EmptyArena"),
+        *_counted(key), *_ranked(key),
         F.col("o_orderstatus").alias("Finish"),
+        F.when(key % 3 == 0, F.lit("Punch")).alias("FinishDetails"),
         F.col("n_lines").alias("FinishRound"),
+        F.when(key % 4 != 0, F.concat(key % 5, F.lit(":00"))).alias("FinishRoundTime"),
+        F.when(key % 9 != 0, (key % 1500).cast("double")).alias("TotalFightTimeSecs"),
     )
