@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,19 +64,20 @@ def apply_defaults(spark: SparkSession) -> None:
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for lineage cuts, if any."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or None
+
+
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """Use ``folder`` or the configured checkpoint folder.
+
+    Only a local master, whose executors share the driver's machine, may go
+    without: it then gets a fresh folder of its own (tests, local benches).
+    """
+    d = folder or checkpoint_dir(spark)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    return d or None
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the configured checkpoint folder; create a local one only when
-    none is configured (tests, local benches)."""
-    d = checkpoint_dir(spark)
-    if d:
-        return d
-    d = fallback or tempfile.mkdtemp(prefix="duelframe-ckpt-")
-    os.makedirs(d, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(d)  # the conf key itself is static
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="duelframe-ckpt-")
+    if d != checkpoint_dir(spark):
+        spark.sparkContext.setCheckpointDir(d)  # the conf key itself is static
     return d

@@ -138,12 +138,17 @@ def test_several_files_need_a_key(spark, tmp_path):
     assert [r["bout_id"] for r in read_contests(spark, str(tmp_path / "b.csv")).collect()] == [0, 1]
 
 
-def test_ensure_checkpoint_dir_when_none_is_configured(spark, monkeypatch, tmp_path):
+def test_checkpoint_folder_only_local_masters_go_without(spark, monkeypatch):
+    import pytest
     from duelframe import session
     monkeypatch.setattr(session, "checkpoint_dir", lambda s: None)
-    d = session.ensure_checkpoint_dir(spark, str(tmp_path / "ckpt"))
-    assert d == str(tmp_path / "ckpt") and os.path.isdir(d)
-    assert spark.sparkContext.getCheckpointDir() is not None
+    assert session.ensure_checkpoint_dir(spark)  # local[*]: a folder of its own
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster())
 
 
 def test_raw_stage_is_clustered_by_date_within_files(spark):
