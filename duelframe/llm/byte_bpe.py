@@ -29,7 +29,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHED_PIECES = 120_000  # per generation of a Python worker's memo
+from .common import in_arrow
+
+CACHED_PIECES = 100_000  # per generation of a Python worker's memo
 CACHED_PIECE_CHARS = 64
 #: A space between two characters that are no white space: a piece always starts at it.
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -216,28 +218,30 @@ def coder(path: str, pattern: str) -> BytePairCoder:
     return _CODERS[path, pattern]
 
 
-def _replaced(df: DataFrame, drop: str, new: list[T.StructField]) -> T.StructType:
-    return T.StructType([f for f in df.schema.fields if f.name != drop] + new)
-
-
 def encode(df: DataFrame, vocab_path: str, pattern: str, text: str = "text",
-           ids: str = "token_ids") -> DataFrame:
+           ids: str = "token_ids", decoded_as: str | None = None) -> DataFrame:
     """Replace column ``text`` by its packed token ids.
 
-    ``vocab_path`` is read on the executors, where the tokenizer's files are
-    installed.  Rows are independent, so nothing is shuffled.
+    With ``decoded_as`` that column gets what the ids decode to, in the same
+    pass and Python process.  ``vocab_path`` is read on the executors, where
+    the tokenizer's files are installed.  Rows are independent, so nothing is
+    shuffled.
     """
+    new = [ids] if decoded_as is None else [ids, decoded_as]
+    own = [f for f in df.schema.fields if f.name != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocab_path, pattern)
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            packed = pa.array([bpe.encode(t.as_py() or "") for t in batch.column(at)], pa.binary())
             rest = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in rest] + [packed],
-                                             [batch.schema.names[i] for i in rest] + [ids])
+            packed = [bpe.encode(t.as_py() or "") for t in batch.column(at)]
+            made = [packed] if decoded_as is None else [packed, [bpe.decode(p) for p in packed]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i) for i in rest] + [pa.array(m, pa.binary()) for m in made],
+                [batch.schema.names[i] for i in rest] + new)
 
-    return df.mapInArrow(run, _replaced(df, text, [T.StructField(ids, T.BinaryType())]))
+    return in_arrow(df, run, T.StructType(own + [T.StructField(n, T.BinaryType()) for n in new]))
 
 
 @lru_cache(maxsize=4)
@@ -256,4 +260,4 @@ def decode(df: DataFrame, vocab_path: str, ids: str = "token_ids", out: str = "d
             back = pa.array([decoded(p.as_py() or b"", bytes_of) for p in column], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, back], [*batch.schema.names, out])
 
-    return df.mapInArrow(run, _replaced(df, out, [T.StructField(out, T.BinaryType())]))
+    return in_arrow(df, run, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))

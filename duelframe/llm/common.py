@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from duelframe.session import checkpoint_dir
 
@@ -44,3 +47,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+             schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches of whole texts that stay small.
+
+    Spark's own 10,000 rows a batch suit numbers; with texts a batch and its
+    copies then take hundreds of MB in the JVM and in Python.  A session that
+    sets another number keeps it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(ROWS_PER_BATCH) == "10000":
+        conf.set(ROWS_PER_BATCH, "1000")
+    return df.mapInArrow(run, schema)

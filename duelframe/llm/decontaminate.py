@@ -47,6 +47,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import in_arrow
+
 SHINGLE, THRESHOLD = 5, 0.8
 RADIUS, BLOCKS = 19, 4
 BLOCK_ITEMS = 5000
@@ -245,7 +247,7 @@ def mark(docs: DataFrame, items: tuple[tuple[int, str], ...], text: str = "text"
                      for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, out])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, MATCHES)]))
+    return in_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(out, MATCHES)]))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import in_arrow
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -260,8 +262,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  pa.array([g[2] for g in got], pa.list_(pa.list_(pa.string()))),
                  pa.array([g[3] for g in got], pa.list_(pa.int64()))], ["id", "at", "features", "tags"])
 
-    got = (rows.join(F.broadcast(chosen), "__id")  # at most sample_docs ids
-           .mapInArrow(run, "id long, at long, features array<array<string>>, tags array<long>"))
+    sample = rows.join(F.broadcast(chosen), "__id")  # at most sample_docs ids
+    got = in_arrow(sample, run, "id long, at long, features array<array<string>>, tags array<long>")
     first = got.orderBy(F.xxhash64("id", "at"), "id", "at", F.to_json("features")).limit(sample_pieces).collect()
     return train([(r["features"], r["tags"]) for r in first])
 
@@ -290,4 +292,4 @@ def scan(docs: DataFrame, model: Crf, text: str = "text", out: str = "secrets")
                      for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, out])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, SPANS)]))
+    return in_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(out, SPANS)]))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_arrow, written
 from .components import connected_components
 
 SEED = 42
@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
+    return in_arrow(rows, run, "doc_id long, text_key long, fp long")
 
 
 @lru_cache(maxsize=8)
@@ -150,7 +150,7 @@ def links(classes: DataFrame, max_bits: int = 2, codes: tuple | None = None) ->
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor), pa.array(part[row]), pa.array(home)], ["anchor", "fp", "home"])
 
-    near = classes.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
+    near = in_arrow(classes.select("fp"), run, "anchor long, fp long, home boolean")
     # only the lookup, no hashing of texts, is repeated for the two sides
     at_home = near.where("home").select("anchor", F.col("fp").alias("a"))
     return (at_home.join(near.select("anchor", F.col("fp").alias("b")), "anchor")

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_arrow, written
 
 LENGTH, GRAM = 400, 32
 CROWD = 20_000
@@ -279,7 +279,7 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
                                              [f.split()[0] for f in ANCHORS.split(", ")])
 
-    return docs.mapInArrow(run, ANCHORS)
+    return in_arrow(docs, run, ANCHORS)
 
 
 # ---- Spark ----------------------------------------------------------------
@@ -308,7 +308,7 @@ def _context_bytes(docs: DataFrame, edges: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[f[1]]) for i, f in enumerate(fields)],
                                              [f[0] for f in fields])
 
-    return _with_rows(docs, wanted, "inner").select("doc_id", "key", "data", "list").mapInArrow(run, CONTEXTS)
+    return in_arrow(_with_rows(docs, wanted, "inner").select("doc_id", "key", "data", "list"), run, CONTEXTS)
 
 
 SPANS = "doc_id long, key long, a int, b int"
@@ -343,7 +343,7 @@ def _by_suffix_array(contexts: DataFrame, length: int) -> DataFrame:
             block.add(gram, list(found.values()))
         yield spans(block)
 
-    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, SPANS)
+    return in_arrow(contexts.repartition("gram").sortWithinPartitions("gram"), run, SPANS)
 
 
 def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
@@ -361,7 +361,7 @@ def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
                      pa.array([key] * n, pa.int64()), pa.array(range(place - far, place - near + 1), pa.int32())],
                     [f.split()[0] for f in schema.split(", ")])
 
-    windows = contexts.mapInArrow(run, schema)
+    windows = in_arrow(contexts, run, schema)
     again = (windows.groupBy("w1", "w2").agg(F.min("c1").alias("low"), F.max("c1").alias("high"))
              .where("low <> high").select("w1", "w2"))  # in two contexts at least
     return (windows.where("single").join(again, ["w1", "w2"])
@@ -409,5 +409,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "removed", "kept"])
 
-    return _with_rows(keyed, spans, "left").select("doc_id", "data", "spans").mapInArrow(
-        run, "doc_id long, n_bytes long, removed array<struct<a:int,b:int>>, kept binary")
+    return in_arrow(_with_rows(keyed, spans, "left").select("doc_id", "data", "spans"), run,
+                    "doc_id long, n_bytes long, removed array<struct<a:int,b:int>>, kept binary")

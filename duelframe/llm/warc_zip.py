@@ -39,7 +39,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, written
+from .common import fresh_path, in_arrow, written
 
 MIN_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
@@ -236,7 +236,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, page_id: str = "
             path, n = _write_archive(folder, _after(first, waiting), archive_bytes)
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64())], ["archive", "records"])
 
-    return written(roles.mapInArrow(run, "archive string, records long"), "manifest")
+    return written(in_arrow(roles, run, "archive string, records long"), "manifest")
 
 
 def _after(first, rest):
@@ -257,7 +257,7 @@ def record_ranges(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                     [pa.array([path] * len(ranges), pa.string()), pa.array([r[0] for r in ranges], pa.int64()),
                      pa.array([r[1] for r in ranges], pa.list_(pa.int64()))], ["archive", "start", "lengths"])
 
-    return manifest.select("archive").mapInArrow(run, "archive string, start long, lengths array<long>")
+    return in_arrow(manifest.select("archive"), run, "archive string, start long, lengths array<long>")
 
 
 def _ranges(path: str, range_bytes: int) -> Iterator[tuple[int, list[int]]]:
@@ -305,7 +305,7 @@ def read_records(ranges: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], NAMES)
 
     tasks = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return ranges.repartition(tasks).mapInArrow(run, "record_type string, page_id long, refers_to long, target_uri string, "
+    return in_arrow(ranges.repartition(tasks), run, "record_type string, page_id long, refers_to long, target_uri string, "
                                   "digest string, payload binary")
 
 
