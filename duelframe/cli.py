@@ -95,7 +95,9 @@ def do_train(spark, args, feats: DataFrame | None = None) -> DataFrame:
     _show("full model: confusion matrix", ev.confusion_counts(p.full_scored()))
     _show("top coefficients", mo.top_coefficients(p.full_model()))
     doc = save_artifacts(p, args.output)
-    _show("results", ev.results_summary(p.metric_rows()))
+    rows = p.metric_rows()
+    _show("results", ev.results_summary(rows))
+    _show("status of the full model", ev.results_status(rows[-1], rows[0], rows[1] if len(rows) == 3 else None))
     return doc
 
 

@@ -147,6 +147,16 @@ def baseline_comparison(candidate: DataFrame, majority: DataFrame, odds: DataFra
         (F.col("model_roc_auc") > F.col("odds_roc_auc")).cast("int").alias("beat_odds_baseline"))
 
 
+def results_status(candidate: DataFrame, majority: DataFrame, odds: DataFrame | None) -> DataFrame:
+    """The candidate's three status rows: 1 reached, 0 not, NULL without an odds baseline."""
+    flags = baseline_comparison(candidate, majority, odds)
+    milestone = (F.col("model_roc_auc") > F.lit(C.ROC_AUC_MILESTONE)).cast("int")
+    return long_rows(flags, ["check_name", "reached"], [
+        ("beats the majority class on accuracy", F.col("beat_majority_baseline")),
+        ("beats the odds alone on ROC-AUC", F.col("beat_odds_baseline")),
+        (f"ROC-AUC above {C.ROC_AUC_MILESTONE}", milestone)])
+
+
 def results_summary(rows: list[DataFrame]) -> DataFrame:
     """Union of per-model metric rows with status columns."""
     out = rows[0]

@@ -341,6 +341,12 @@ def rule_summary(s, d):
     return fin(ev.results_summary([majority, p.evaluate(p.rule_scored(), "Odds Rule")]), ("accuracy", "roc_auc"))
 
 
+def rule_status(s, d):
+    p = P(s, d)
+    row = p.evaluate(p.rule_scored(), "Odds Rule")
+    return ev.results_status(row, p.majority(), row)
+
+
 #: A declared linear model: feature -> coefficient.
 DECLARED = {"odds_diff": 0.0001, "td_pct_diff": -0.5, "draws_diff": 0.03125, "is_male": 0.25, "wc_rank_diff": -0.0078125}
 
@@ -413,7 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scaler_stats, standardized_features, class_weights, majority_baseline, eval_accuracy,
         eval_roc_auc, confusion_matrix, classification_report, missing_summary, vocab_unbounded,
         lenient_dates, text_date_quality,
-        split_text_key, rule_comparison, rule_summary, declared_scores, declared_report, odds_baseline,
+        split_text_key, rule_comparison, rule_summary, rule_status, declared_scores, declared_report, odds_baseline,
         logreg_baseline, scored_bouts, top_coefficients, model_report, baseline_comparison,
         results_summary, metrics_report,
     ]

@@ -344,6 +344,12 @@ def build() -> dict[str, str]:
                    CAST(NULL AS INTEGER) AS auc_milestone FROM maj
             UNION ALL SELECT 'Odds Rule', {rnd('accuracy')}, roc_auc,
                    CAST(roc_auc > {C.ROC_AUC_MILESTONE} AS INTEGER) FROM acc, auc""", majority, auc, acc)
+    s["rule_status"] = split_sql(
+        f"""SELECT 'beats the majority class on accuracy' AS check_name,
+                   CAST(acc.accuracy > maj.accuracy AS INTEGER) AS reached FROM acc, maj
+            UNION ALL SELECT 'beats the odds alone on ROC-AUC', 0
+            UNION ALL SELECT 'ROC-AUC above {C.ROC_AUC_MILESTONE}',
+                             CAST(roc_auc > {C.ROC_AUC_MILESTONE} AS INTEGER) FROM auc""", majority, auc, acc)
     margin = "0.0 + " + " + ".join(f"{c} * CAST({w!r} AS DOUBLE)" for c, w in DECLARED.items())
     declared = f"""declared AS (SELECT bout_id, target, margin, CAST(margin > 0 AS INTEGER) AS prediction
                                 FROM (SELECT bout_id, target, {margin} AS margin FROM test))"""

@@ -33,6 +33,14 @@ def test_cli_run_matches_fixture_pipeline(spark, tmp_path, capsys):
     a = fixture.features().select("odds_diff", "wc_rank_diff", "target", "Date").orderBy("Date", "odds_diff").collect()
     b = feats.select("odds_diff", "wc_rank_diff", "target", "Date").orderBy("Date", "odds_diff").collect()
     assert a == b
+    # training from a features CSV gives the same split and scores
+    feats_csv = str(tmp_path / "features-csv")
+    feats.coalesce(1).write.option("header", True).csv(feats_csv)
+    again = cli.main(["train", "--input", feats_csv, "--format", "csv", "--output", str(tmp_path / "again"),
+                      "--direction", "1"], spark=spark).first()
+    assert again.split_info == doc.split_info and again.feature_count == doc.feature_count
+    assert abs(again.model_metrics.roc_auc - doc.model_metrics.roc_auc) < 1e-6
+    assert "[status of the full model]" in capsys.readouterr().out
 
 
 def test_cli_eda_runs(spark, tmp_path, capsys):
