@@ -100,10 +100,11 @@ QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_secret_scan
                                    op9_quality_rules, op10_suffix_dedup)}
 
 LINE_DEDUP_SQL = f"""
-WITH lines AS (
+WITH numbered AS MATERIALIZED (
+  SELECT row_number() OVER () AS rn, doc_id, source, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
   SELECT rn, doc_id, source, line, i, trim(line, ' ') AS key
-  FROM (SELECT rn, doc_id, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
-        FROM (SELECT row_number() OVER () AS rn, doc_id, source, string_split(text, chr(10)) AS parts FROM documents))
+  FROM (SELECT rn, doc_id, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM numbered)
 ), pages AS (
   SELECT source, count(*) AS n FROM documents GROUP BY source
 ), bad AS (
@@ -120,7 +121,7 @@ WITH lines AS (
   FROM marked GROUP BY rn
 )
 SELECT d.doc_id, d.source, k.text, coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_dropped, 0)::BIGINT AS n_dropped
-FROM (SELECT row_number() OVER () AS rn, doc_id, source FROM documents) d LEFT JOIN kept k USING (rn)
+FROM numbered d LEFT JOIN kept k USING (rn)
 """
 
 WARC_SQL = f"""
@@ -138,4 +139,26 @@ SELECT page_id, payload_bytes, payload_digest, refers_to, true AS digest_ok,
        CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type FROM r
 """
 
-SQL: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op6_warc_zip": WARC_SQL}
+_HASH = "('0x' || substr(md5({}), 1, 13))::BIGINT"
+SHARDING_SQL = f"""
+WITH RECURSIVE wish AS (
+  SELECT i, name, {_HASH.format("name || '/first'")} % {sharding.SLOTS} AS first,
+         {_HASH.format("name || '/stride'")} % {sharding.SLOTS - 1} + 1 AS stride
+  FROM (SELECT i, 'shard-' || lpad(i::VARCHAR, 2, '0') AS name FROM range({len(SHARDS)}) t(i))
+), fill AS (
+  SELECT 0 AS turn, repeat('.', {sharding.SLOTS}) AS taken, -1::BIGINT AS slot, '' AS shard
+  UNION ALL
+  SELECT f.turn + 1, f.taken[:x.slot] || '#' || f.taken[x.slot + 2:], x.slot, x.name
+  FROM fill f, LATERAL (SELECT w.name, (w.first + j * w.stride) % {sharding.SLOTS} AS slot
+                        FROM wish w, range({sharding.SLOTS}) t(j)
+                        WHERE w.i = f.turn % {len(SHARDS)}
+                          AND f.taken[(w.first + j * w.stride) % {sharding.SLOTS} + 1] = '.'
+                        ORDER BY j LIMIT 1) x
+  WHERE f.turn < {sharding.SLOTS}
+)
+SELECT d.doc_id, d.slot, f.shard
+FROM (SELECT doc_id, {_HASH.format("coalesce(doc_id::VARCHAR, chr(92) || 'N')")} % {sharding.SLOTS} AS slot
+      FROM documents) d JOIN fill f ON f.slot = d.slot
+"""
+
+SQL: dict[str, str] = {"op2_sharding": SHARDING_SQL, "op1_line_dedup": LINE_DEDUP_SQL, "op6_warc_zip": WARC_SQL}

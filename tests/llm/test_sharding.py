@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 from llm_data import SF, empty_docs, odd_docs
+from oracle_compare import compare, duck
 
 from duelframe.llm import queries
 from duelframe.llm import sharding as P
@@ -56,6 +57,10 @@ def test_query_matches_brute_force(spark):
     assert "BroadcastHashJoin" in queries.op2_sharding(spark, SF)._jdf.queryExecution().toString()
 
 
+def test_query_matches_sql(spark):
+    assert not compare(queries.op2_sharding(spark, SF), duck(SF), queries.SQL["op2_sharding"])
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark).withColumnRenamed("lang", "slot")
     with pytest.raises(ValueError):
