@@ -1,8 +1,9 @@
 """Benchmark decontamination with item-sized windows.
 
 For a benchmark item of w words, every w-word window of a document is a
-possible leak.  Window and item are compared by their five-word shingles (an
-item under five words is one shingle).  The steps:
+possible leak; a document of fewer than w words is one window, the whole text.
+Window and item are compared by their five-word shingles (an item under five
+words is one shingle).  The steps:
 
 1.  Words become numbers of the benchmark's vocabulary, and shingles numbers
     of its shingle list.  A window that shares no shingle with an item of its
@@ -28,8 +29,9 @@ for each block and never shuffled.
 
 Words are maximal runs without ASCII white space, A-Z in lower case.
 
-Defined results: a null or empty text has no windows; items that are null,
-empty or without words match nothing; repeated items count once; repeated
+Defined results: a null or empty text has no windows; a text shorter than an
+item's shingles has none in common with it; items that are null, empty or
+without words match nothing; repeated items count once; repeated
 documents are judged alike; empty tables give empty results.
 """
 
@@ -190,8 +192,14 @@ class Index:
         return {self.ids[i]: v for i, v in best.items()}
 
     def _windows(self, words, shared, k, length, hits, threshold, best) -> None:
-        """Compare the windows of one length that hold a shared shingle with the items of that length."""
-        n, last = _sizes(length)[1], len(words) - length
+        """Compare the windows of one length that hold a shared shingle with the items of that length.
+
+        A text shorter than the items is its own only window.
+        """
+        of_item = _sizes(length)[1]
+        n, last = min(of_item, len(shared)), max(len(words) - length, 0)
+        if n / of_item < threshold:
+            return  # too few shingles, if all were common
         starts = np.array(hits, np.int64)[:, None] - np.arange(n)
         starts = np.unique(starts[(starts >= 0) & (starts <= last)])
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1) if len(starts) else []:
@@ -207,7 +215,7 @@ class Index:
                 for row, item in sorted(self.near(_packed(sums[begin + n] - sums[begin]), length)):
                     window = Counter(numbers[begin[row]:begin[row] + n].tolist())
                     common = sum(min(c, window[s]) for s, c in self.bags[item].items())
-                    similarity = common / (2 * n - common)  # both hold n shingles
+                    similarity = common / (n + of_item - common)
                     if similarity >= threshold and similarity > best.get(item, (0.0, 0))[0]:
                         best[item] = similarity, int(part[row])
 

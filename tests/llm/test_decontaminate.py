@@ -114,3 +114,42 @@ def test_blocks_and_odd_rows(spark, monkeypatch):
     assert D.leaks(empty_docs(spark), bench).count() == 0
     assert D.leaks(docs, bench.limit(0)).count() == 0
     assert D.without_leaks(docs, bench.limit(0)).count() == len(rows)
+
+
+def brute_short(text, items, threshold=0.8):
+    """As ``brute``, for the items that are longer than the text: the whole text is the window."""
+    w, out = D.words_of(text), {}
+    for i, t in items:
+        x = D.words_of(t)
+        k = min(5, len(x))
+        if len(w) < len(x):
+            own, win = (Counter(tuple(y[j:j + k]) for j in range(len(y) - k + 1)) for y in (x, w))
+            sim = sum((own & win).values()) / sum((own | win).values())
+            if sim >= threshold:
+                out[i] = sim, 0
+    return out
+
+
+def test_text_shorter_than_the_item(spark):
+    rng = random.Random(19)
+    x = words(rng, 59).split()
+    index = D.Index(((7, " ".join(x)),))
+    assert index.matches(" ".join(x[:30] + x[31:]), 0.8) == {7: (50 / 59, 0)}  # 5 of 55 are lost, 4 are new
+    assert index.matches(" ".join(x[:57] + x[58:]), 0.8) == {7: (53 / 56, 0)}
+    assert index.matches(" ".join(x[3:]), 0.8) == {7: (52 / 55, 0)}
+    vocabulary = words(rng, 200).split()
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([2, 4, 5, 6, 9, 14, 25, 45, 59])))) for i in range(60)]
+    texts = []
+    for _, t in items * 12:
+        w = t.split()
+        at, n = rng.randrange(len(w)), rng.randrange(1, 6)
+        texts.append(" ".join(rng.choice([w[:at] + w[at + 1:], w[n:], w[:-n], w[n // 2:-n]])))
+    index, hits = D.Index(tuple(items)), 0
+    for t in texts:
+        want = brute_short(t, items)
+        assert index.matches(t, 0.8) == brute(t, items) | want
+        hits += len(want)
+    assert hits > 200
+    docs = spark.createDataFrame([(1, " ".join(x[3:])), (2, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(x))], "item_id long, text string")
+    assert [r["doc_id"] for r in D.without_leaks(docs, bench).collect()] == [2]
