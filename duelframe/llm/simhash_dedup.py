@@ -160,30 +160,33 @@ def links(classes: DataFrame, max_bits: int = 2, codes: tuple | None = None) ->
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                     max_bits: int = 2, codes: tuple | None = None) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) of every row; component_id is the group's smallest id."""
+    """(doc_id, text_key, fp, component_id, root) of every row.
+
+    component_id is the group's smallest id; root is a fingerprint of the
+    group, which tells groups apart whose smallest ids are equal.
+    """
     marked = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = connected_components(links(classes, max_bits, codes))
     linked = roots.join(classes, roots["node"] == classes["fp"]).select("root", "fp", "least")
     of_root = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = written(linked.join(of_root, "root").select("fp", "component_id"), "groups")
+    groups = written(linked.join(of_root, "root").select("fp", "component_id", "root"), "groups")
     named = classes.join(groups, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id"))
-    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+        "fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each group: that with the smallest id.
 
-    Rows of one id are told apart by their text; of entirely repeated rows one
-    stays.  In a group without any id the row with the least text hash stays.
+    Rows of one id are told apart by their text: groups that share their
+    smallest id keep one row each, and of a group's rows with that id the one
+    with the least text hash stays.  Of entirely repeated rows one stays.  In a
+    group without any id the row with the least text hash stays.
     """
     groups = written(near_duplicates(docs, doc_id, text, **how), "members")
-    grouping = F.struct(F.col("component_id").isNull().alias("nameless"),
-                        F.when(F.col("component_id").isNull(), F.col("fp")).otherwise(F.col("component_id")).alias("g"))
     candidates = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = (candidates.groupBy(grouping.alias("grp"))
-              .agg(F.min(F.struct("doc_id", "text_key")).alias("key"), F.count("*").alias("n")))
+    chosen = candidates.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("key"), F.count("*").alias("n"))
     keys = written(chosen.select("key.doc_id", "key.text_key", (F.col("n") > 1).alias("repeated")), "kept")
     keyed = docs.withColumn("__id", F.col(doc_id).cast("long")).withColumn("__key", F.xxhash64(text))
 

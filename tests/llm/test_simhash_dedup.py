@@ -116,3 +116,25 @@ def test_large_group_of_copies_keeps_one(spark):
     docs = spark.createDataFrame([(i, text, "en", "s", 1) for i in range(500)] + [(900, words(rng, 50), "en", "s", 1)], SCHEMA)
     assert sorted(r["doc_id"] for r in S.keep_one(docs).select("doc_id").collect()) == [0, 900]
     assert S.near_duplicates(docs).where(F.col("component_id") == 0).count() == 500
+
+
+def test_groups_that_share_their_smallest_id_keep_one_row_each(spark):
+    rng = random.Random(21)
+    other = [words(rng, 60) for _ in range(8)]
+    rows = [(5, other[0]), (5, other[0]), (7, other[0]), (5, other[1]), (8, other[1]), (5, other[2]), (9, other[3])]
+    rows += [(1, t) for t in other[4:]] + [(None, other[5])]
+    kept = S.keep_one(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)).collect()
+    want = [(5, other[0]), (5, other[1]), (5, other[2]), (9, other[3]), *[(1, t) for t in other[4:]]]
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(want)
+
+
+def test_linked_rows_without_ids_keep_one(spark):
+    rng = random.Random(23)
+    while True:  # two texts whose fingerprints are linked but differ
+        a = words(rng, 400)
+        b = a + " " + words(rng, 1)
+        if 0 < (brute_fingerprint(a) ^ brute_fingerprint(b)).bit_count() <= 2:
+            break
+    docs = spark.createDataFrame([(None, t, "en", "s", 1) for t in (a, b, a, words(rng, 50))], SCHEMA)
+    texts = [r["text"] for r in S.keep_one(docs).collect()]
+    assert len(texts) == 2 and len(set(texts) & {a, b}) == 1
