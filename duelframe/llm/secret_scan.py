@@ -3,14 +3,14 @@
 Patterns (kinds assign, access, hex) give the base spans.  The CRF tags tokens
 as secret begin (B), inside (I) or outside (O) from their shape, length, mix of
 characters, neighbouring words and marks, and features of the whole file; the
-best tag sequence is found by Viterbi.  Its spans (kind crf) are added where
-they overlap no base span.
+best tag sequence is found by Viterbi.  Its spans (kind crf) are added; of one
+that overlaps base spans the parts that those leave are kept, but for marks
+alone.
 
-A token is a run without white space or punctuation, or one mark.  The model
-holds two hard constraints: a run of under 16 characters without a digit is O,
-and a mark is I only between two tokens that it joins.  Tokens that are O in
-any case cut the chain, so Viterbi runs on the short pieces between them and
-its result is that of the whole text.
+A token is a run without white space or punctuation, or one mark.  Every token
+is tagged.  The model holds two hard constraints: a secret has no white space,
+and a mark is I only between two tokens that it joins.  So white space cuts the
+chain, and Viterbi over the pieces between is that of the whole text.
 
 The CRF is fitted by penalised maximum likelihood on the driver, from at most
 ``sample_docs`` documents (those with the smallest hash of their id); tags
@@ -49,12 +49,12 @@ KINDS = ["assign", "access", "hex", "crf"]
 
 _STOP = r"""\s"'`,;:!?()\[\]{}<>=|&#*%$@~^.\\"""
 TOKEN = re.compile(f"[^{_STOP}]+")
-CANDIDATE = re.compile(f"(?<![^{_STOP}])(?:[^{_STOP}0-9]*[0-9][^{_STOP}]*|[^{_STOP}]{{16,}})")
 BEFORE = re.compile(f"(?:([^{_STOP}]+)[{_STOP}]*)?$")
-JOINED = 2  # marks that may join two tokens of a secret
+CHUNK = re.compile(rf"[^\s{_STOP}](?:\S*[^\s{_STOP}])?")  # without the marks around
 
 B, I, O = 0, 1, 2
 SAMPLE_DOCS, SAMPLE_PIECES, PIECE_TOKENS = 4000, 20_000, 12
+REMEMBERED = 100_000  # sums of weights per model and kind
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -69,19 +69,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def pieces(text: str) -> Iterator[list[tuple[int, int, bool]]]:
-    """Chains of tokens that may be tagged: (start, end, whether it is a mark)."""
+    """Chains of tokens without white space: (start, end, whether it is a mark)."""
+    for m in CHUNK.finditer(text):
+        yield _chain(text, *m.span())
+
+
+def _chain(text: str, start: int, end: int) -> list[tuple[int, int, bool]]:
     chain: list[tuple[int, int, bool]] = []
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        gap = start - chain[-1][1] if chain else 0
-        if chain and (gap > JOINED or any(c.isspace() for c in text[chain[-1][1]:start])):
-            yield chain
-            chain = []
+    for t in TOKEN.finditer(text, start, end):
         if chain:
-            chain += [(i, i + 1, True) for i in range(chain[-1][1], start)]
-        chain.append((start, end, False))
-    if chain:
-        yield chain
+            chain += [(i, i + 1, True) for i in range(chain[-1][1], t.start())]
+        chain.append((*t.span(), False))
+    return chain
 
 
 def _bucket(n: float) -> int:
@@ -114,12 +113,14 @@ def token_features(text: str, start: int, end: int, mark: bool, of_file: list[st
     features = ["bias", f"len{_bucket(n)}", f"shape:{_shape(token)}", f"digits{round(8 * digits / n)}",
                 f"entropy{round(2 * entropy)}", f"mixed{digits > 0}{upper > 0}{alpha > upper}",
                 f"hex{all(c in '0123456789abcdef' for c in token)}{n >= 20}", f"long{n >= 20}{digits > 0}{alpha > 0}"]
-    if context:
-        left = text[max(0, start - 40):start]
-        word = BEFORE.search(left)[1] or ""
-        features += of_file + [f"left:{left[-1:] if not left[-1:].isalnum() else 'x'}", f"right:{text[end:end + 1]}",
-                               f"word:{word.lower()[-12:]}", f"word+mark:{word.lower()[-12:]}{left.strip()[-1:]}"]
-    return features
+    return features + of_file + context_features(text, start, end) if context else features
+
+
+def context_features(text: str, start: int, end: int) -> list[str]:
+    left = text[max(0, start - 40):start]
+    word = (BEFORE.search(left)[1] or "").lower()[-12:]
+    return [f"left:{left[-1:] if not left[-1:].isalnum() else 'x'}", f"right:{text[end:end + 1]}",
+            f"word:{word}", f"word+mark:{word}{left.strip()[-1:]}"]
 
 
 def training_pieces(text: str) -> list[tuple[list[list[str]], list[int]]]:
@@ -133,9 +134,11 @@ def training_pieces(text: str) -> list[tuple[list[list[str]], list[int]]]:
             part, tags = chain[at:at + PIECE_TOKENS], []
             for start, end, mark in part:
                 hit = any(a < end and start < b for a, b in inside)
-                tags.append(O if not hit else I if tags and tags[-1] != O else B)
-            if part[0][2] and tags[0] == B:
-                continue  # a piece can't begin with a mark
+                open_ = bool(tags) and tags[-1] != O
+                tags.append(O if not hit or (mark and not open_) else I if open_ else B)
+            for i in range(len(part) - 1, -1, -1):  # a secret doesn't end with a mark
+                if part[i][2] and (i + 1 == len(part) or tags[i + 1] != I):
+                    tags[i] = O
             for context in (True, False) if B in tags else (True,):
                 out.append(([token_features(text, *t, of_file, context) for t in part], tags))
     return out
@@ -146,16 +149,22 @@ class Crf:
 
     def __init__(self, weights: dict[str, tuple[float, float, float]], moves: list[list[float]]):
         self.weights, self.moves = weights, moves
+        self._gains: dict[str, float] = {}
+        self._around: dict[tuple, tuple] = {}
+        #: the most that neighbours can add to B over O
+        self._most = sum(max([0.0, *(w[B] - w[O] for f, w in weights.items() if f.startswith(kind))])
+                         for kind in ("left:", "right:", "word:", "word+mark:"))
 
     def tags(self, features: list[list[str]], marks: list[bool]) -> list[int]:
+        """The best tags for the features of each token."""
+        return self.best([self._sum(names) for names in features], marks)
+
+    def best(self, scores_of: list[tuple[float, float, float]], marks: list[bool]) -> list[int]:
         """The best tags, by Viterbi; marks are never B, nor last in a secret."""
         best: list[float] = [-math.inf, -math.inf, 0.0]
         back: list[list[int]] = []
-        for i, names in enumerate(features):
-            own = [0.0, 0.0, 0.0]
-            for name in names:
-                for tag, w in enumerate(self.weights.get(name, ())):
-                    own[tag] += w
+        for i, scores_at in enumerate(scores_of):
+            own = list(scores_at)
             if marks[i]:
                 own[B] = -math.inf
             step, now = [], []
@@ -178,17 +187,60 @@ class Crf:
     def spans(self, text: str) -> list[tuple[int, int]]:
         if not self.weights:
             return []
-        chains, out = list(pieces(text)), []
-        of_file = file_features(text, len(chains))
-        for chain in chains:
-            tags = self.tags([token_features(text, *t, of_file) for t in chain], [t[2] for t in chain])
-            for (start, end, _), tag in zip(chain, tags):
+        chunks, out = [m.span() for m in CHUNK.finditer(text)], []
+        of_file, gains = self._sum(file_features(text, len(chunks))), self._gains
+        # below it a token that is a chunk of its own is O whatever its neighbours are
+        least = self.moves[O][O] - self.moves[O][B] + of_file[O] - of_file[B] - self._most - 1e-6
+        last = (0, 0)  # the token before
+        for start, end in chunks:
+            chunk = text[start:end]
+            gain = gains.get(chunk)
+            if gain is None:
+                gain = self._gain(chunk)
+            if gain < least:
+                last = start, end
+                continue
+            chain, scores = _chain(text, start, end), []
+            for a, b, mark in chain:
+                scores.append(self._sum(["mark", f"mark:{text[a]}"]) if mark else self._own(text, a, b, of_file, last))
+                last = last if mark else (a, b)
+            for (a, b, _), tag in zip(chain, self.best(scores, [t[2] for t in chain])):
                 if tag == B:
-                    out.append((start, end))
+                    out.append((a, b))
                 elif tag == I:
-                    out[-1] = (out[-1][0], end)
+                    out[-1] = (out[-1][0], b)
         return out
 
+    def _sum(self, names: list[str]) -> tuple[float, float, float]:
+        found = [w for n in names if (w := self.weights.get(n))]
+        return sum(w[B] for w in found), sum(w[I] for w in found), sum(w[O] for w in found)
+
+    def _gain(self, chunk: str) -> float:
+        """How far B is before O for a token by itself; infinite for a chunk of several."""
+        gain = math.inf
+        if TOKEN.fullmatch(chunk):
+            own = self._sum(token_features(chunk, 0, len(chunk), False, [], False))
+            gain = own[B] - own[O]
+        return _remember(self._gains, chunk, gain)
+
+    def _own(self, text: str, start: int, end: int, of_file: tuple, last: tuple[int, int]) -> tuple[float, float, float]:
+        """Sum of the weights of ``token_features``; that of the neighbours is remembered."""
+        own, low = self._sum(token_features(text, start, end, False, [], False)), max(0, start - 40)
+        word = text[max(last[0], low):last[1]] if last[1] > low else ""
+        key = word, text[max(last[1], low):start], text[end:end + 1]
+        around = self._around.get(key)
+        if around is None:
+            around = _remember(self._around, key, self._sum(context_features(text, start, end)))
+        return own[0] + around[0] + of_file[0], own[1] + around[1] + of_file[1], own[2] + around[2] + of_file[2]
+
+
+def _remember(table: dict, key, value):
+    if len(table) >= REMEMBERED:
+        table.clear()
+    if len(key) <= 100:
+        table[key] = value
+    return value
+
 
 _FORBIDDEN = -1e4  # O -> I, and I as a start
 
@@ -275,10 +327,22 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 def spans_of(text: str | None, model: Crf) -> list[tuple[int, int, int]]:
     """All spans of a text by start, then kind."""
     base = base_spans(text or "")
-    more = [(a, 3, b) for a, b in model.spans(text or "") if not any(s < b and a < e for s, _, e in base)]
+    more = [(a, 3, b) for span in model.spans(text or "") for a, b in _left(span, base) if TOKEN.search(text, a, b)]
     return sorted(base + more)
 
 
+def _left(span: tuple[int, int], base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a span that no base span covers."""
+    at, end = span
+    for s, _, e in base:  # by start
+        if s < end and at < e:
+            if at < s:
+                yield at, s
+            at = e
+    if at < end:
+        yield at, end
+
+
 def scan(docs: DataFrame, model: Crf, text: str = "text", out: str = "secrets") -> DataFrame:
     """``docs`` with the array of spans (kind, start, end) of each text."""
     if out.lower() in {c.lower() for c in docs.columns}:

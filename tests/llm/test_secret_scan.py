@@ -102,3 +102,40 @@ def test_odd_rows(spark):
     got = S.scan(docs, crf)
     assert got.count() == docs.count() and got.where("size(secrets) > 0 or secrets is null").count() == 0
     assert S.scan(empty_docs(spark), S.fit(empty_docs(spark))).count() == 0
+
+
+def test_every_token_can_be_tagged_and_remembered_sums_change_nothing():
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefghkmnpqrst") for _ in range(n))
+    texts = [f"{words(rng, 20)} {rng.choice(['token', 'secret'])} = \"{letters(9)}{rng.choice(['', '-', '.', '='])}{letters(9)}\" {words(rng, 9)}"
+             for _ in range(150)]
+    crf = S.train([p for t in texts for p in S.training_pieces(t)])
+    found = 0
+    for t in texts[:60]:
+        t = t.replace("token", "passphrase").replace("secret", "credential")
+        found += any(k == 3 and a > t.index(" = ") for a, k, _ in S.spans_of(t, crf))
+    assert found >= 50  # no digit, no keyword of the patterns
+    text = "pwd: p@ssw0rd ab.cd İx 'q\n  " + "y" * 50 + " -a--b---c- \u03a3\u03a3 = k"
+    seen = [(text[a:b], mark) for chain in S.pieces(text) for a, b, mark in chain]
+    assert [t for t, mark in seen if not mark] == S.TOKEN.findall(text)
+    for text in [*texts[:20], text]:
+        chains = list(S.pieces(text))
+        of_file, want = S.file_features(text, len(chains)), []
+        for chain in chains:
+            tags = crf.tags([S.token_features(text, *t, of_file) for t in chain], [t[2] for t in chain])
+            for (a, b, _), tag in zip(chain, tags):
+                if tag == S.B:
+                    want.append((a, b))
+                elif tag == S.I:
+                    want[-1] = want[-1][0], b
+        assert crf.spans(text) == want
+
+
+def test_what_a_base_span_leaves_of_a_crf_span_is_kept():
+    class Whole:
+        def spans(self, text):
+            return [(0, len(text))]
+
+    run = "0123456789abcdef" * 2
+    assert S.spans_of(f"Xy-{run}-Zw", Whole()) == [(0, 3, 3), (3, 2, 35), (35, 3, 38)]
+    assert S.spans_of(f".{run}g{run}", Whole()) == [(1, 2, 33), (33, 3, 34), (34, 2, 66)]
