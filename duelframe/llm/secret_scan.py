@@ -12,18 +12,21 @@ is tagged.  The model holds two hard constraints: a secret has no white space,
 and a mark is I only between two tokens that it joins.  So white space cuts the
 chain, and Viterbi over the pieces between is that of the whole text.
 
-The CRF is fitted by penalised maximum likelihood on the driver, from at most
-``sample_docs`` documents (those with the smallest hash of their id); tags
-come from the patterns, and each tagged token is seen a second time with its
-neighbours hidden, so that shape alone counts too.  Only the features of at
-most ``sample_pieces`` pieces leave the executors.  Every text is scanned
-whole, one pass, no shuffle.
+The CRF is fitted by penalised maximum likelihood on the driver.  Tags come
+from the patterns, and each tagged token is seen a second time with its
+neighbours hidden, so that shape alone counts too.  Pieces with a tag are drawn
+from all documents, pieces without from at most ``sample_docs`` documents
+(those with the smallest hash of their id): ``PER_DOC`` with a number or a long
+token and ``PER_DOC`` others of each.  At most half of ``sample_pieces`` of
+either kind, those of least hash, leave the executors.  A drawn piece counts
+for all those that it stands for, relative to one with a tag.  Every text is
+scanned whole, one pass, no shuffle.
 
 Spans are half-open ranges of code points.  A base span is the whole match; a
 match whose value is too short is dropped and the search goes on behind it.
 
 Defined results: a null text is empty and has no spans; without a single
-secret in the sample the CRF adds nothing; repeated rows are scanned alike.
+secret in the documents the CRF adds nothing; repeated rows are scanned alike.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +58,7 @@ CHUNK = re.compile(rf"[^\s{_STOP}](?:\S*[^\s{_STOP}])?")  # without the marks ar
 
 B, I, O = 0, 1, 2
 SAMPLE_DOCS, SAMPLE_PIECES, PIECE_TOKENS = 4000, 20_000, 12
+PER_DOC = 4
 REMEMBERED = 100_000  # sums of weights per model and kind
 
 
@@ -123,13 +128,15 @@ def context_features(text: str, start: int, end: int) -> list[str]:
             f"word:{word}", f"word+mark:{word}{left.strip()[-1:]}"]
 
 
-def training_pieces(text: str) -> list[tuple[list[list[str]], list[int]]]:
-    """Features and tags of a text's pieces, tags by the patterns' values."""
+def values(text: str) -> list[tuple[int, int]]:
+    """Where the patterns see secrets, without keywords."""
     inside = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    inside += [(a, b) for a, kind, b in base_spans(text) if kind]
-    chains = list(pieces(text))
-    of_file, out = file_features(text, len(chains)), []
-    for chain in chains:
+    return sorted(inside + [(a, b) for a, kind, b in base_spans(text) if kind])
+
+
+def _tagged(text: str, inside: list[tuple[int, int]]) -> Iterator[tuple[list[tuple[int, int, bool]], list[int]]]:
+    """Pieces of at most ``PIECE_TOKENS`` and their tags."""
+    for chain in pieces(text):
         for at in range(0, len(chain), PIECE_TOKENS):
             part, tags = chain[at:at + PIECE_TOKENS], []
             for start, end, mark in part:
@@ -139,9 +146,36 @@ def training_pieces(text: str) -> list[tuple[list[list[str]], list[int]]]:
             for i in range(len(part) - 1, -1, -1):  # a secret doesn't end with a mark
                 if part[i][2] and (i + 1 == len(part) or tags[i + 1] != I):
                     tags[i] = O
-            for context in (True, False) if B in tags else (True,):
-                out.append(([token_features(text, *t, of_file, context) for t in part], tags))
-    return out
+            yield part, tags
+
+
+def _features(text: str, part: list[tuple[int, int, bool]], of_file: list[str], context: bool = True) -> list[list[str]]:
+    return [token_features(text, *t, of_file, context) for t in part]
+
+
+def training_pieces(text: str) -> list[tuple[list[list[str]], list[int]]]:
+    """Features and tags of a text's pieces, tags by the patterns' values."""
+    tagged = list(_tagged(text, values(text)))
+    of_file = file_features(text, sum(1 for _ in pieces(text)))
+    return [(_features(text, part, of_file, context), tags) for part, tags in tagged
+            for context in ((True, False) if B in tags else (True,))]
+
+
+def drawn_pieces(text: str, seed: int, plain: bool) -> list[tuple[list[list[str]], list[int], float]]:
+    """A text's pieces with a tag, or some of those without; and how many each stands for."""
+    inside = values(text)
+    if not inside and not plain:
+        return []
+    of_file = file_features(text, sum(1 for _ in pieces(text)))
+    tagged = [(part, tags) for part, tags in _tagged(text, inside) if plain != (B in tags)]
+    if not plain:
+        return [(_features(text, part, of_file, context), tags, 1.0) for part, tags in tagged for context in (True, False)]
+    kinds: dict[bool, list] = {True: [], False: []}
+    for part, tags in tagged:
+        hard = any(b - a >= 16 or any(c.isdigit() for c in text[a:b]) for a, b, mark in part if not mark)
+        kinds[hard].append((xxhash.xxh64_intdigest(f"{seed}/{part[0][0]}"), part, tags))
+    return [(_features(text, part, of_file), tags, len(of_kind) / min(len(of_kind), PER_DOC))
+            for of_kind in kinds.values() for _, part, tags in sorted(of_kind)[:PER_DOC]]
 
 
 class Crf:
@@ -245,8 +279,12 @@ def _remember(table: dict, key, value):
 _FORBIDDEN = -1e4  # O -> I, and I as a start
 
 
-def train(sample: list[tuple[list[list[str]], list[int]]], penalty: float = 0.1, rounds: int = 200) -> Crf:
-    """Penalised maximum likelihood by forward-backward and adaptive gradient steps."""
+def train(sample: list[tuple[list[list[str]], list[int]]], penalty: float = 0.1, rounds: int = 200,
+          counts: list[float] | None = None) -> Crf:
+    """Penalised maximum likelihood by forward-backward and adaptive gradient steps.
+
+    ``counts``: how many pieces each of the sample stands for, one if not given.
+    """
     if not any(B in tags for _, tags in sample):
         return Crf({}, [[0.0] * 3] * 3)
     seen = Counter(f for features, _ in sample for names in features for f in names)
@@ -265,11 +303,12 @@ def train(sample: list[tuple[list[list[str]], list[int]]], penalty: float = 0.1,
     barred = np.zeros((3, 3))
     barred[O, I] = _FORBIDDEN
     g2w, g2m = np.full_like(w, 1e-6), np.full_like(moves, 1e-6)
-    gold_tags = np.eye(3)[gold] * mask[..., None]
+    times = np.ones(n) if counts is None else np.array(counts, float)
+    gold_tags = np.eye(3)[gold] * mask[..., None] * times[:, None, None]
     joined = mask[:, 1:] & mask[:, :-1]
     gold_moves = np.zeros((3, 3))
-    np.add.at(gold_moves, (gold[:, :-1][joined], gold[:, 1:][joined]), 1)
-    np.add.at(gold_moves, (np.full(n, O), gold[:, 0]), 1)  # a piece follows an O
+    np.add.at(gold_moves, (gold[:, :-1][joined], gold[:, 1:][joined]), np.broadcast_to(times[:, None], joined.shape)[joined])
+    np.add.at(gold_moves, (np.full(n, O), gold[:, 0]), times)  # a piece follows an O
     for _ in range(rounds):
         own = np.zeros((n * longest, 3))
         np.add.at(own, token_of, w[feature_of])
@@ -283,9 +322,9 @@ def train(sample: list[tuple[list[list[str]], list[int]]], penalty: float = 0.1,
         for i in range(longest - 2, -1, -1):
             step = np.logaddexp.reduce(t + (own[:, i + 1] + backward[:, i + 1])[:, None, :], axis=2)
             backward[:, i] = np.where(mask[:, i + 1, None], step, 0.0)
-        share = np.exp(np.minimum(forward + backward - total[:, None, None], 0.0)) * mask[..., None]
+        share = np.exp(np.minimum(forward + backward - total[:, None, None], 0.0)) * (mask * times[:, None])[..., None]
         pair = np.exp(np.minimum(forward[:, :-1, :, None] + t + (own[:, 1:] + backward[:, 1:])[:, :, None, :]
-                                 - total[:, None, None, None], 0.0)) * joined[..., None, None]
+                                 - total[:, None, None, None], 0.0)) * (joined * times[:, None])[..., None, None]
         expected = pair.sum(axis=(0, 1))
         expected[O] += share[:, 0].sum(axis=0)
         gw = np.zeros_like(w)
@@ -300,24 +339,46 @@ def train(sample: list[tuple[list[list[str]], list[int]]], penalty: float = 0.1,
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sample_docs: int = SAMPLE_DOCS, sample_pieces: int = SAMPLE_PIECES) -> Crf:
-    """Fit the CRF on a bounded sample of documents."""
-    ids = docs.select(F.col(doc_id).cast("long").alias("__id")).where("__id is not null").distinct()
-    chosen = ids.orderBy(F.xxhash64("__id"), "__id").limit(sample_docs)
-    rows = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__text"))
+    """Fit the CRF on bounded samples of the pieces with a tag and of those without."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("__id"), F.xxhash64(doc_id, text).alias("__seed"),
+                       F.col(text).alias("__text"))
+    tagged, share = _draw(rows, False, max(sample_pieces // 2, 1))
+    if not tagged:
+        return Crf({}, [[0.0] * 3] * 3)
+    ids = rows.select("__id").where("__id is not null").distinct().withColumn("__hash", F.xxhash64("__id"))
+    chosen = [(r["__id"], r["__hash"]) for r in ids.orderBy("__hash", "__id").limit(sample_docs).collect()]
+    of_docs = _part(chosen[-1][1]) if len(chosen) == sample_docs else 1.0
+    some = docs.sparkSession.createDataFrame([(i,) for i, _ in chosen], "__id long")  # at most sample_docs ids
+    plain, of_plain = _draw(rows.join(F.broadcast(some), "__id"), True, max(sample_pieces - sample_pieces // 2, 1))
+    sample, factor = tagged + plain, share / (of_docs * of_plain)
+    return train([(f, t) for f, t, _ in sample],
+                 counts=[1.0] * len(tagged) + [n * factor for _, _, n in plain])
+
+
+def _part(hashed: int) -> float:
+    """The part of all hashes up to this one."""
+    return (hashed + 2**63 + 1) / 2**64
+
+
+def _draw(rows: DataFrame, plain: bool, most: int) -> tuple[list[tuple[list[list[str]], list[int], float]], float]:
+    """At most ``most`` pieces, those of least hash, and the part of all pieces that they make up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [(i, at, f, t) for i, text in zip(*(c.to_pylist() for c in batch.columns))
-                   for at, (f, t) in enumerate(training_pieces(text or ""))]
+            got = [(seed, at, *p) for _, seed, text in zip(*(c.to_pylist() for c in batch.columns))
+                   for at, p in enumerate(drawn_pieces(text or "", seed, plain))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()),
                  pa.array([g[2] for g in got], pa.list_(pa.list_(pa.string()))),
-                 pa.array([g[3] for g in got], pa.list_(pa.int64()))], ["id", "at", "features", "tags"])
-
-    sample = rows.join(F.broadcast(chosen), "__id")  # at most sample_docs ids
-    got = in_arrow(sample, run, "id long, at long, features array<array<string>>, tags array<long>")
-    first = got.orderBy(F.xxhash64("id", "at"), "id", "at", F.to_json("features")).limit(sample_pieces).collect()
-    return train([(r["features"], r["tags"]) for r in first])
+                 pa.array([g[3] for g in got], pa.list_(pa.int64())), pa.array([g[4] for g in got], pa.float64())],
+                ["seed", "at", "features", "tags", "n"])
+
+    got = in_arrow(rows.select("__id", "__seed", "__text"), run,
+                   "seed long, at long, features array<array<string>>, tags array<long>, n double")
+    first = (got.withColumn("hash", F.xxhash64("seed", "at")).orderBy("hash", "seed", "at", F.to_json("features"))
+             .limit(most).collect())
+    return ([(r["features"], r["tags"], r["n"]) for r in first],
+            _part(first[-1]["hash"]) if len(first) == most else 1.0)
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),

@@ -4,7 +4,7 @@ import math
 import random
 import re
 
-from llm_data import SF, empty_docs, odd_docs, words
+from llm_data import SCHEMA, SF, empty_docs, odd_docs, words
 
 from duelframe.llm import queries
 from duelframe.llm import secret_scan as S
@@ -139,3 +139,19 @@ def test_what_a_base_span_leaves_of_a_crf_span_is_kept():
     run = "0123456789abcdef" * 2
     assert S.spans_of(f"Xy-{run}-Zw", Whole()) == [(0, 3, 3), (3, 2, 35), (35, 3, 38)]
     assert S.spans_of(f".{run}g{run}", Whole()) == [(1, 2, 33), (33, 3, 34), (34, 2, 66)]
+
+
+def test_rare_secrets_reach_the_fit(spark):
+    rng = random.Random(12)
+    secret = lambda: f"{rng.getrandbits(160):040x}"
+    rows = [(i, f"{words(rng, 12)} at {rng.randrange(24)}:30 {rng.randrange(10**6)}" +
+             (f' token = "{secret()}"' if i % 100 == 7 else ""), "en", "s", 1) for i in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    crf = S.fit(docs, sample_docs=10, sample_pieces=200)
+    hits = 0
+    for _ in range(50):
+        value = secret()[:39] + "g"
+        text = f'{words(rng, 9)} credential = "{value}" {words(rng, 5)}'
+        hits += any(a <= text.index(value) and b >= text.index(value) + 39 for a, _, b in S.spans_of(text, crf))
+    assert hits >= 45
+    assert sum(k == 3 for r in rows for _, k, _ in S.spans_of(r[1], crf)) <= 2
