@@ -64,3 +64,11 @@ def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     if conf.get(ROWS_PER_BATCH) == "10000":
         conf.set(ROWS_PER_BATCH, "1000")
     return df.mapInArrow(run, schema)
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores appended until no name in ``taken`` equals it (case aside, as Spark compares)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name

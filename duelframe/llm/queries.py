@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, decontaminate, line_dedup, quality_rules, secret_scan, sharding, simhash_dedup,
-               suffix_dedup, url_filter, warc_zip)
+               suffix_dedup, url_filter, warc_zip, whitening)
 from .common import read_table
 
 VOCABULARY = tokenizer_path("byte_bpe_50k.tiktoken")
@@ -95,9 +95,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened coordinates of every embedding on the first eight components."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), n_components=8)
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_secret_scan, op4_simhash_dedup,
                                    op5_decontamination, op6_warc_zip, op7_url_filter, op8_byte_bpe,
-                                   op9_quality_rules, op10_suffix_dedup)}
+                                   op9_quality_rules, op10_suffix_dedup, op13_embedding_whitening)}
 
 LINE_DEDUP_SQL = f"""
 WITH numbered AS MATERIALIZED (
