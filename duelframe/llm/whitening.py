@@ -183,51 +183,48 @@ def refine(a: np.ndarray, x: np.ndarray, rounds: int = 60) -> tuple[np.ndarray,
     """
     a, x = a.astype(WIDE), x.astype(WIDE)
     d = len(a)
-    unit = np.finfo(WIDE).eps
+    noise = 8 * d * np.finfo(WIDE).eps
     norm = np.sqrt((a * a).sum())
+    close = np.sqrt(np.finfo(WIDE).eps) * norm  # below, rounding over gap is no small correction any more
     last = np.inf
     for _ in range(rounds):
         r = np.eye(d, dtype=WIDE) - x.T @ x
         s = x.T @ (a @ x)
+        r, s = (r + r.T) / 2, (s + s.T) / 2  # a small gap would magnify what rounding makes unsymmetric
         values = np.diag(s) / (1 - np.diag(r))
         order = np.argsort(-values, kind="stable")
         x, values, r, s = x[:, order], values[order], r[np.ix_(order, order)], s[np.ix_(order, order)]
-        off = s - np.diag(values)
-        reach = 2 * (np.sqrt((off * off).sum()) + norm * np.sqrt((r * r).sum())) + 4 * d * unit * norm
+        off = s - np.diag(np.diag(s))
+        left = max(np.abs(off).max() / norm, np.abs(r).max())
+        if left < noise or (left < 1e-16 and left >= last / 2):
+            break
+        last = left
+        reach = max(close, 2 * (np.sqrt((off * off).sum()) + norm * np.sqrt((r * r).sum())))
         gap = values[None, :] - values[:, None]
         apart = np.abs(gap) > reach
         e = np.where(apart, (s + values[None, :] * r) / np.where(apart, gap, 1), r / 2)
         x = x + x @ e
-        change = float(np.abs(e).max()) if d else 0.0
-        turned = _sub_solves(a, x, values, reach)
-        if max(change, turned) < 64 * d * unit or (change >= last and turned == 0.0 and change < 1e-12):
-            break
-        last = change
+        _sub_solves(a, x, values, reach)
     return values, x
 
 
-def _sub_solves(a: np.ndarray, x: np.ndarray, values: np.ndarray, reach: float) -> float:
-    """Turn the columns of each cluster into eigenvectors of the projected, shifted matrix; returns the largest turn."""
-    turn, start, d = 0.0, 0, len(values)
+def _sub_solves(a: np.ndarray, x: np.ndarray, values: np.ndarray, reach: float) -> None:
+    """Turn the columns of each cluster into eigenvectors of the projected, shifted matrix, in place."""
+    start, d = 0, len(values)
     while start < d:
         end = start + 1
-        while end < d and abs(values[end - 1] - values[end]) <= reach:
+        while end < d and values[end - 1] - values[end] <= reach:
             end += 1
         if end - start > 1:
             block = x[:, start:end]
-            shift = values[start:end].mean()
-            inner = block.T @ (a @ block) - shift * (block.T @ block)
+            inner = block.T @ (a @ block) - values[start:end].mean() * (block.T @ block)
             inner = (inner + inner.T) / 2
             size = np.abs(inner).max()
-            # below this the projected matrix is rounding noise: the eigenvalues are equal, any basis serves
-            if size > 16 * d * np.finfo(WIDE).eps * np.abs(a).max():
-                outside = inner - np.diag(np.diag(inner))
-                if np.abs(outside).max() > 1e-16 * size:
-                    _, w = np.linalg.eigh((inner / size).astype(np.float64))
-                    x[:, start:end] = block @ w[:, ::-1].astype(WIDE)
-                    turn = max(turn, float(np.abs(outside).max() / size))
+            if size > 0:
+                _, w = np.linalg.eigh((inner / size).astype(np.float64))
+                w = w[:, ::-1].astype(WIDE)
+                x[:, start:end] = block @ (1.5 * w - w @ (w.T @ w) / 2)  # orthonormal beyond double precision
         start = end
-    return turn
 
 
 def components(cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -88,7 +88,7 @@ def test_clustered_eigenvalues_are_refined(gap):
     a = (q * values) @ q.T
     a = (a + a.T) / 2
     got, x = W.components(a)
-    assert np.abs(x.T @ x - np.eye(d)).max() < 1e-16
+    assert np.abs(x.T @ x - np.eye(d)).max() < 1e-17
     assert np.abs(x.T @ a @ x - np.diag(got)).max() < 1e-17
     assert np.abs(got - values).max() < 1e-17
     if gap > 1e-12:
