@@ -7,8 +7,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, decontaminate, line_dedup, quality_rules, secret_scan, sharding, simhash_dedup,
-               suffix_dedup, url_filter, warc_zip, whitening)
+from . import (byte_bpe, decontaminate, line_dedup, ngram_join, quality_rules, secret_scan, sharding,
+               simhash_dedup, suffix_dedup, url_filter, warc_zip, whitening)
 from .common import read_table
 
 VOCABULARY = tokenizer_path("byte_bpe_50k.tiktoken")
@@ -95,6 +95,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
+    rows = ngram_join.groups(read_table(spark, sf_dir, "documents"), size=5, percent=80)
+    return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "class_id")
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whitened coordinates of every embedding on the first eight components."""
     return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), n_components=8)
@@ -102,7 +108,8 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_secret_scan, op4_simhash_dedup,
                                    op5_decontamination, op6_warc_zip, op7_url_filter, op8_byte_bpe,
-                                   op9_quality_rules, op10_suffix_dedup, op13_embedding_whitening)}
+                                   op9_quality_rules, op10_suffix_dedup, op11_ngram_jaccard_join,
+                                   op13_embedding_whitening)}
 
 LINE_DEDUP_SQL = f"""
 WITH numbered AS MATERIALIZED (
@@ -166,4 +173,38 @@ FROM (SELECT doc_id, {_HASH.format("coalesce(doc_id::VARCHAR, chr(92) || 'N')")}
       FROM documents) d JOIN fill f ON f.slot = d.slot
 """
 
-SQL: dict[str, str] = {"op2_sharding": SHARDING_SQL, "op1_line_dedup": LINE_DEDUP_SQL, "op6_warc_zip": WARC_SQL}
+JACCARD_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rn, doc_id,
+         list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x20\x09-\x0D]+'), w -> w <> '') AS words FROM documents
+), sets AS (
+  SELECT rn, doc_id, coalesce(list_sort(list_distinct(
+           CASE WHEN len(words) = 0 THEN []
+                WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')) END)), []) AS s
+  FROM docs
+), classes AS MATERIALIZED (
+  SELECT row_number() OVER () AS c, s, len(s) AS n, min(doc_id) AS least FROM sets WHERE len(s) > 0 GROUP BY s
+), grams AS MATERIALIZED (
+  SELECT c, n, unnest(s) AS g FROM classes
+), links AS MATERIALIZED (
+  SELECT a.c AS a, b.c AS b FROM grams a JOIN grams b ON a.g = b.g AND a.c < b.c
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS MATERIALIZED (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS c, b AS d FROM both_ways
+  UNION
+  SELECT r.c, e.b FROM reach r JOIN both_ways e ON r.d = e.a
+), named AS (
+  SELECT c.s, c.least, coalesce(least(c.least, min(o.least)), c.least) AS component_id
+  FROM classes c LEFT JOIN reach r ON r.c = c.c LEFT JOIN classes o ON o.c = r.d GROUP BY c.s, c.least
+)
+SELECT t.doc_id, len(t.s)::BIGINT AS n_shingles, CASE WHEN len(t.s) = 0 THEN t.doc_id ELSE m.component_id END AS component_id,
+       CASE WHEN len(t.s) = 0 THEN t.doc_id ELSE m.least END AS class_id
+FROM sets t LEFT JOIN named m ON t.s = m.s
+"""
+
+SQL: dict[str, str] = {"op11_ngram_jaccard_join": JACCARD_SQL, "op2_sharding": SHARDING_SQL, "op1_line_dedup": LINE_DEDUP_SQL, "op6_warc_zip": WARC_SQL}
