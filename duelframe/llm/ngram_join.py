@@ -57,14 +57,17 @@ from .components import connected_components
 WORDS, PERCENT = 5, 80
 #: Classes in a tile of a column; a block compares two tiles.
 TILE = 4096
-#: Cells of the sketch that orders the columns: 2 MB on the driver and in each task, at every input size.
-CELLS = 1 << 18
+#: Cells of the sketch that orders the columns: 0.5 MB on the driver and in each task, at every input size.
+CELLS = 1 << 16
 #: Least hashes per class: each pair of neighbouring ones is a band.
 BINS = 8
 #: Pairs formed at once in a task.
 PAIRS = 1 << 20
 
-_known_words: dict[bytes, int] = {}
+#: Bytes of text hashed at once.
+CHUNK = 1 << 18
+
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -73,25 +76,70 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _factors(n: int, seed: int) -> np.ndarray:
+    """n odd 64-bit numbers that look random."""
+    return _mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
+
+
+_PLACES = _factors(256, 1)
+_BYTES = _factors(256, 2)
+_BYTES[ord("A"):ord("Z") + 1] = _BYTES[ord("a"):ord("z") + 1]  # lower-cased
+_BYTES[_BLANK] = 0
+
+
+def _word_hashes(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of every word: sum of byte value times a factor of its place, mixed."""
+    raw = np.frombuffer(joined, np.uint8)
+    blank = _BLANK[raw]
+    starts = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    place = np.arange(starts[0], len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw))))
+    most = int(place.max()) + 1
+    factors = _PLACES if most <= len(_PLACES) else _factors(most, 1)
+    values = _BYTES[raw[starts[0]:]] * factors[place]
+    return starts, _mixed(np.add.reduceat(values, starts - starts[0]))
+
+
+def shingle_sets(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its word shingles (A-Z lower-cased)."""
+    out: list[np.ndarray] = []
+    held: list[bytes] = []
+    total = 0
+    for k, text in enumerate(texts):
+        held.append((text or "").encode("utf-8"))
+        total += len(held[-1]) + 1
+        if total >= CHUNK or k + 1 == len(texts):
+            out += _sets_of_chunk(held, size)
+            held, total = [], 0
+    return out
+
+
+def _sets_of_chunk(texts: list[bytes], size: int) -> list[np.ndarray]:
+    starts, words = _word_hashes(b"\n".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    first = np.searchsorted(starts, np.concatenate(([0], ends)))  # first word of every text
+    factors = _factors(size, 3)
+
+    def windows(of: np.ndarray, width: int) -> np.ndarray:
+        h = np.full(len(of) - width + 1, width, np.uint64)
+        for j in range(width):
+            h += of[j:j + len(h)] * factors[j]
+        return _mixed(h)
+
+    every = windows(words, size) if len(words) >= size else np.zeros(0, np.uint64)
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a >= size:
+            h = np.sort(every[a:b - size + 1])
+            out.append(h[np.concatenate(([True], h[1:] != h[:-1]))])
+        else:
+            out.append(windows(words[a:b], b - a) if b > a else np.zeros(0, np.uint64))
+    return out
+
+
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word shingles (A-Z lower-cased)."""
-    words = (text or "").encode("utf-8").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_known_words) > 400_000:
-        _known_words.clear()
-    new = set(words).difference(_known_words)
-    for w in new:
-        _known_words[w] = xxhash.xxh64_intdigest(w)
-    each = np.fromiter(map(_known_words.__getitem__, words), np.uint64, len(words))
-    for w in new:
-        if len(w) > 40:
-            del _known_words[w]
-    width = min(size, len(words))
-    h = np.full(len(words) - width + 1, width, np.uint64)
-    for k in range(width):
-        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + each[k:len(h) + k])
-    return np.unique(h)
+    return shingle_sets([text], size)[0]
 
 
 def required(a, b, percent: int):
@@ -104,7 +152,7 @@ def _digests(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, size) for t in batch.column(2).to_pylist()]
+            sets = shingle_sets(batch.column(2).to_pylist(), size)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int32()),
                  pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary())],
@@ -147,8 +195,7 @@ def _survey(texts: DataFrame, size: int) -> DataFrame:
         edges = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
         for batch in batches:
             ids, bands = batch.column(0).to_numpy(zero_copy_only=False), []
-            for t in batch.column(1).to_pylist():
-                h = shingles(t, size)
+            for h in shingle_sets(batch.column(1).to_pylist(), size):
                 np.add.at(cells, (h & np.uint64(CELLS - 1)).astype(np.int64), 1)
                 least = np.append(h, np.uint64(0))[np.searchsorted(h, edges)]
                 bands.append(_mixed(least[0::2] + np.uint64(3) * _mixed(least[1::2])))
@@ -172,8 +219,7 @@ def _incidence(texts: DataFrame, cells: np.ndarray, size: int, percent: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams, ids, ns, places = [], [], [], []
-            for c, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = shingles(t, size)
+            for c, h in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), size)):
                 first = len(h) - -(-percent * len(h) // 100) + 1
                 order = np.lexsort((h, cells[(h & np.uint64(CELLS - 1)).astype(np.int64)]))
                 grams.append(h[order[:first]].view(np.int64))
@@ -252,8 +298,8 @@ def _products(blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def _columns(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
-    table = pa.Table.from_batches(batches)
-    return {k: table.column(k).to_numpy() for k in table.column_names}
+    return {k: np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in batches])
+            for i, k in enumerate(batches[0].schema.names)}
 
 
 def _true_links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -264,9 +310,10 @@ def _true_links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = shingles(s, size), shingles(t, size)
-                common = len(x) + len(y) - len(np.union1d(x, y))
+            sets = (shingle_sets(batch.column(i).to_pylist(), size) for i in (2, 3))
+            for x, y in zip(*sets):
+                both = np.sort(np.concatenate([x, y]))
+                common = int((both[1:] == both[:-1]).sum())
                 keep.append(common >= required(len(x), len(y), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 

@@ -177,12 +177,12 @@ JACCARD_SQL = r"""
 WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS rn, doc_id,
          list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                        '[\x20\x09-\x0D]+'), w -> w <> '') AS words FROM documents
+                                        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
 ), sets AS (
   SELECT rn, doc_id, coalesce(list_sort(list_distinct(
            CASE WHEN len(words) = 0 THEN []
                 WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-                ELSE list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')) END)), []) AS s
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)), []) AS s
   FROM docs
 ), classes AS MATERIALIZED (
   SELECT row_number() OVER () AS c, s, len(s) AS n, min(doc_id) AS least FROM sets WHERE len(s) > 0 GROUP BY s

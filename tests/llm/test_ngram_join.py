@@ -135,4 +135,8 @@ def test_shingles_of_equal_words_and_order():
     assert len(J.shingles("b a b a b a")) == 2 and len(J.shingles("a " * 50)) == 1
     assert not np.intersect1d(J.shingles("a b c d e"), J.shingles("b a c d e")).size
     assert not np.intersect1d(J.shingles("a b c d"), J.shingles("a b c d e")).size
-    assert len(J.shingles("w" * 100_000 + " x")) == 1 and max(map(len, J._known_words)) <= 40
+    assert len(J.shingles("w" * 100_000 + " x")) == 1 and len(J.shingles("É b\xa0c d\x0be\u2003f g")) == 1
+    texts = [t for _, t in corpus()]
+    alone = [J.shingles(t) for t in texts]
+    assert all(np.array_equal(a, b) for a, b in zip(alone, J.shingle_sets(texts)))  # chunks change nothing
+    assert [len(a) for a in alone] == [len(shingle_set(t)) for t in texts]
