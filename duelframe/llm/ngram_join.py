@@ -23,10 +23,12 @@ transpose, added up column by column, of which most need not be formed:
   full, on the classes' whole sets.
 
 Thousands of near copies of one text would give millions of true links, which
-the groups do not need.  ``groups`` therefore links classes first to one
-other class each that agrees with them in some least shingle hashes (true
-links only, checked on whole sets), and then multiplies blocks for classes of
-different groups only.  That leaves out no link between two groups, so the
+the groups do not need.  ``groups`` therefore first links classes to a central
+one among those that agree with them in some least shingle hashes: the one
+with the fewest columns of its own, since a copy's edits make columns that no
+other class has, and the text that all were made from has none.  These are
+true links, checked on whole sets.  Then blocks are multiplied for classes of
+different groups only, which leaves out no link between two groups, so the
 components are those of all links.  ``links`` gives every single link.
 
 Shingles are held as 64-bit hashes; two different shingles of one pair of
@@ -327,19 +329,37 @@ def _sketch(survey: DataFrame) -> np.ndarray:
     return cells
 
 
-def _cross_links(texts: DataFrame, cells: np.ndarray, parts: DataFrame | None, size: int, percent: int,
+def _met(texts: DataFrame, survey: DataFrame, size: int, percent: int) -> DataFrame:
+    """The cells of the matrix in columns that several classes have."""
+    matrix = written(_incidence(texts, _sketch(survey), size, percent), "incidence")
+    shared = matrix.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
+    return written(matrix.join(shared, "gram"), "shared-columns")
+
+
+def _central_links(texts: DataFrame, classes: DataFrame, survey: DataFrame, met: DataFrame, size: int,
+                   percent: int) -> DataFrame:
+    """(a, b): links of classes to the class of their band that has the fewest columns of its own."""
+    shared = met.groupBy("cls").agg(F.count("*").alias("shared"))
+    own = classes.select("cls", "n").join(shared, "cls").select(
+        "cls", "n", (F.expr(f"n - cast(ceil({percent} * n / 100) as int) + 1") - F.col("shared")).alias("own"))
+    bands = written(survey.where("bin >= 0").select("bin", F.col("a").alias("h"), F.col("b").alias("cls"))
+                    .join(own, "cls"), "bands")
+    heads = bands.groupBy("bin", "h").agg(F.min(F.struct("own", "cls", "n")).alias("head"), F.count("*").alias("m"))
+    pairs = bands.join(heads.where("m > 1").select("bin", "h", "head"), ["bin", "h"]).where("cls <> head.cls")
+    sizes = f"100 * least(n, head.n) >= {percent} * greatest(n, head.n)"
+    likely = pairs.where(sizes).select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b"))
+    return _true_links(written(likely.distinct(), "heads"), texts, size, percent)
+
+
+def _cross_links(texts: DataFrame, met: DataFrame, parts: DataFrame | None, size: int, percent: int,
                  tile: int) -> DataFrame:
     """(a, b): all links between classes of different parts; without ``parts`` every class is a part of its own."""
-    matrix = written(_incidence(texts, cells, size, percent), "incidence")
-    shared = matrix.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
-    met = matrix.join(shared, "gram")
     if parts is None:
-        met = met.withColumn("part", F.col("cls"))
+        cells = met.withColumn("part", F.col("cls"))
     else:
-        met = met.join(parts.select(F.col("node").alias("cls"), "root"), "cls", "left") \
+        cells = met.join(parts.select(F.col("node").alias("cls"), "root"), "cls", "left") \
             .withColumn("part", F.coalesce("root", "cls")).drop("root")
-    met = written(met, "shared-columns")
-    sums = _products(_blocks(met, tile), percent).groupBy("a", "b").agg(
+    sums = _products(_blocks(cells, tile), percent).groupBy("a", "b").agg(
         F.count("*").alias("common"), F.max("na").alias("na"), F.max("nb").alias("nb"),
         F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
@@ -359,7 +379,7 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
           tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """Every link: (a, b) between classes, and the membership (doc_id, text_key, n, cls; null for an empty set)."""
     marked, classes, texts, survey = _prepared(docs, doc_id, text, size)
-    found = _cross_links(texts, _sketch(survey), None, size, percent, tile)
+    found = _cross_links(texts, _met(texts, survey, size, percent), None, size, percent, tile)
     return found, marked.join(classes.select("digest", "n", "cls"), ["digest", "n"], "left") \
         .select("doc_id", "text_key", "n", "cls")
 
@@ -372,12 +392,10 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
     one that links lead to; both are the row's own id for an empty set.
     """
     marked, classes, texts, survey = _prepared(docs, doc_id, text, size)
-    bands = survey.where("bin >= 0").select("bin", F.col("a").alias("h"), F.col("b").alias("b"))
-    heads = bands.groupBy("bin", "h").agg(F.min("b").alias("a"), F.count("*").alias("m")).where("m > 1")
-    likely = written(bands.join(heads, ["bin", "h"]).where("a <> b").select("a", "b").distinct(), "heads")
-    near = written(_true_links(likely, texts, size, percent), "near")
+    met = _met(texts, survey, size, percent)
+    near = written(_central_links(texts, classes, survey, met, size, percent), "near")
     parts = written(connected_components(near), "parts")
-    across = _cross_links(texts, _sketch(survey), parts, size, percent, tile)
+    across = _cross_links(texts, met, parts, size, percent, tile)
     trees = parts.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = connected_components(trees.union(across))
     least = classes.select(F.col("cls").alias("node"), "least")
