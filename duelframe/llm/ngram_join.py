@@ -16,8 +16,9 @@ transpose, added up column by column, of which most need not be formed:
 * A column (all classes with one n-gram) with many rows is cut into tiles by
   class, and every pair of tiles is a block of its own; blocks, not columns,
   are spread over the tasks, so no task gathers a column.
-* A product is not formed if the sizes alone rule a link out, or what is left
-  of both sets after the column cannot fill the required overlap.
+* A product is not formed if the sizes alone rule a link out, or if the columns
+  from this one on, and those before it that any other class has too, cannot
+  fill the required overlap.
 * Partial overlaps are added up by pair in Spark.  A pair whose sum and rests
   stay below the required overlap is dropped; the others are multiplied in
   full, on the classes' whole sets.
@@ -50,7 +51,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_arrow, written
@@ -236,7 +237,7 @@ def _incidence(texts: DataFrame, cells: np.ndarray, size: int, percent: int) ->
 
 
 def _blocks(cells: DataFrame, tile: int) -> DataFrame:
-    """(gram, ta, tb, t, cls, part, n, pos): every cell in all blocks of its column that need it.
+    """(gram, ta, tb, t, cls, part, n, pos, before): every cell in all blocks of its column that need it.
 
     Columns whose classes are all of one part need no product.
     """
@@ -246,7 +247,7 @@ def _blocks(cells: DataFrame, tile: int) -> DataFrame:
     return (cells.join(wide, "gram").withColumn("t", t)
             .withColumn("other", F.explode(F.expr("sequence(0, k - 1)")))
             .select("gram", F.least("t", "other").alias("ta"), F.greatest("t", "other").alias("tb"),
-                    "t", "cls", "part", "n", "pos"))
+                    "t", "cls", "part", "n", "pos", "before"))
 
 
 def _products(blocks: DataFrame, percent: int) -> DataFrame:
@@ -271,8 +272,8 @@ def _products(blocks: DataFrame, percent: int) -> DataFrame:
             ni, nj = c["n"][i].astype(np.int64), c["n"][j].astype(np.int64)
             keep = 100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj)
             rest = np.minimum(ni - c["pos"][i], nj - c["pos"][j])
-            # what stands before a common column can be common only at places before it in both
-            keep &= rest + np.minimum(c["pos"][i], c["pos"][j]) >= required(ni, nj, percent)
+            # a column before a common one stands before it in both sets, and is common only if others have it
+            keep &= rest + np.minimum(c["before"][i], c["before"][j]) >= required(ni, nj, percent)
             i, j = i[keep], j[keep]
             swap = c["cls"][i] > c["cls"][j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
@@ -330,10 +331,11 @@ def _sketch(survey: DataFrame) -> np.ndarray:
 
 
 def _met(texts: DataFrame, survey: DataFrame, size: int, percent: int) -> DataFrame:
-    """The cells of the matrix in columns that several classes have."""
+    """The cells of the matrix in columns that several classes have; ``before`` counts those of the class before it."""
     matrix = written(_incidence(texts, _sketch(survey), size, percent), "incidence")
     shared = matrix.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
-    return written(matrix.join(shared, "gram"), "shared-columns")
+    order = Window.partitionBy("cls").orderBy("pos")  # at most the columns of one text
+    return written(matrix.join(shared, "gram").withColumn("before", F.row_number().over(order) - 1), "shared-columns")
 
 
 def _central_links(texts: DataFrame, classes: DataFrame, survey: DataFrame, met: DataFrame, size: int,
