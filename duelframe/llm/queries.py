@@ -7,8 +7,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, decontaminate, line_dedup, ngram_join, quality_rules, secret_scan, sharding,
-               simhash_dedup, suffix_dedup, url_filter, warc_zip, whitening)
+from . import (byte_bpe, decontaminate, line_dedup, ngram_join, phrase_mining, quality_rules, secret_scan,
+               sharding, simhash_dedup, suffix_dedup, url_filter, warc_zip, whitening)
 from .common import read_table
 
 VOCABULARY = tokenizer_path("byte_bpe_50k.tiktoken")
@@ -101,6 +101,12 @@ def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "class_id")
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 collocations of two to five words."""
+    found = phrase_mining.collocations(read_table(spark, sf_dir, "documents"), min_count=100, max_words=5)
+    return phrase_mining.top(found, limit=2000)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whitened coordinates of every embedding on the first eight components."""
     return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), n_components=8)
@@ -109,7 +115,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sharding, op3_secret_scan, op4_simhash_dedup,
                                    op5_decontamination, op6_warc_zip, op7_url_filter, op8_byte_bpe,
                                    op9_quality_rules, op10_suffix_dedup, op11_ngram_jaccard_join,
-                                   op13_embedding_whitening)}
+                                   op12_phrase_mining, op13_embedding_whitening)}
 
 LINE_DEDUP_SQL = f"""
 WITH numbered AS MATERIALIZED (
@@ -207,4 +213,41 @@ SELECT t.doc_id, len(t.s)::BIGINT AS n_shingles, CASE WHEN len(t.s) = 0 THEN t.d
 FROM sets t LEFT JOIN named m ON t.s = m.s
 """
 
-SQL: dict[str, str] = {"op11_ngram_jaccard_join": JACCARD_SQL, "op2_sharding": SHARDING_SQL, "op1_line_dedup": LINE_DEDUP_SQL, "op6_warc_zip": WARC_SQL}
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), counts AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*) AS f
+  FROM (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+        FROM pieces, range(1, 6) t(m) WHERE len(w) >= m)
+  GROUP BY lang, m, phrase
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang
+), frequent AS MATERIALIZED (
+  SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE f >= 100
+), cuts AS (
+  SELECT c.lang, c.m, c.phrase, c.f AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM frequent c, range(1, 5) t(k) WHERE c.m > 1 AND k < c.m
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts c JOIN frequent l ON l.lang = c.lang AND l.phrase = c.head
+  JOIN frequent r ON r.lang = c.lang AND r.phrase = c.tail JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS i FROM scored
+), covered AS (
+  SELECT DISTINCT b.lang, b.phrase
+  FROM (SELECT lang, f, unnest(flatten(list_transform(range(2, m), lambda s: list_transform(
+               range(1, m - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))))) AS phrase
+        FROM frequent WHERE m > 2) x JOIN frequent b ON b.lang = x.lang AND b.phrase = x.phrase AND 100 * x.f >= 100 * b.f
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest WHERE i = 1 AND (lang, phrase) NOT IN (SELECT lang, phrase FROM covered)
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op12_phrase_mining": PHRASES_SQL,
+                       "op11_ngram_jaccard_join": JACCARD_SQL, "op2_sharding": SHARDING_SQL, "op1_line_dedup": LINE_DEDUP_SQL, "op6_warc_zip": WARC_SQL}
