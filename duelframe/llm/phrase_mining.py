@@ -48,9 +48,11 @@ MAX_RANKED = 1 << 20
 #: Side of a tile; a dense one has this squared counters of 8 bytes.
 SIDE = 512
 #: Dense tiles held at once (2 MB each), and pairs in one batch of ids that make a tile dense.
-DENSE_TILES, DENSE_FROM = 48, 4096
+DENSE_TILES, DENSE_FROM = 24, 2048
 #: Coordinates held before they are given to Spark.
-HELD = 1 << 20
+HELD = 1 << 18
+#: Distinct words counted or remembered at once in a task.
+HELD_WORDS = 120_000
 
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0a\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 _HASHED = np.int64(1) << np.int64(62)
@@ -75,7 +77,7 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
         for batch in batches:
             for code, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen.setdefault(code, Counter()).update(tokens(t))
-                if sum(map(len, seen.values())) > 300_000:  # Spark adds up the parts
+                if sum(map(len, seen.values())) > HELD_WORDS:  # Spark adds up the parts
                     yield from given(seen)
                     seen = {}
         yield from given(seen)
@@ -155,7 +157,7 @@ def _encoded(docs: DataFrame, ranks: Ranks, text: str, lang: str) -> DataFrame:
                 keys = np.fromiter((word_key(code, w) for w in new), np.int64, len(new))
                 memo.update(zip(new, ranks.of(keys).tolist()))
                 out.append(np.fromiter(map(memo.__getitem__, words), np.int64, len(words)).tobytes())
-                if sum(map(len, known.values())) > 300_000:
+                if sum(map(len, known.values())) > HELD_WORDS:
                     known = {}
                 else:
                     for w in new:
@@ -247,8 +249,8 @@ def _pair_counts(encoded: DataFrame, tables: list[Ranks], min_count: int) -> Dat
         for batch in batches:
             mark = np.full(1, -1, np.int64).tobytes()
             ids = np.frombuffer(mark.join(batch.column(0).to_pylist()), np.int64)  # texts don't touch
-            for at in range(0, len(ids), 1 << 19):  # a chunk reaches into the next by the words of its last phrase
-                for found in tiles.add(*_pairs(ids[at:at + (1 << 19) + len(tables) + 1], tables)):
+            for at in range(0, len(ids), 1 << 17):  # a chunk reaches into the next by the words of its last phrase
+                for found in tiles.add(*_pairs(ids[at:at + (1 << 17) + len(tables) + 1], tables)):
                     yield from given(*found)
         for found in tiles.rest():
             yield from given(*found)
