@@ -241,7 +241,7 @@ def _pairs(ids: np.ndarray, tables: list[Ranks]) -> tuple[np.ndarray, np.ndarray
     return left[both], right[both]
 
 
-def _pair_counts(encoded: DataFrame, tables: list[Ranks], min_count: int) -> DataFrame:
+def _pair_counts(encoded: DataFrame, ranks: Ranks, tables: list[Ranks], min_count: int) -> DataFrame:
     """(i, j, n): the frequent pairs of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,12 +256,26 @@ def _pair_counts(encoded: DataFrame, tables: list[Ranks], min_count: int) -> Dat
             yield from given(*found)
 
     def given(i: np.ndarray, j: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        packed = i << 31 | j
+        if all(t.closed for t in (ranks, *tables)):
+            columns = {"at": packed, "n": n}
+        else:  # a hashed id fills a column of its own
+            wide = (i >= _HASHED) | (j >= _HASHED)
+            columns = {"at": np.where(wide, -1, packed), "i": np.where(wide, i, 0), "j": np.where(wide, j, 0), "n": n}
         for at in range(0, len(i), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c[at:at + (1 << 16)].astype(np.int64)) for c in (i, j, n)],
-                                             ["i", "j", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[at:at + (1 << 16)].astype(np.int64)) for c in columns.values()],
+                                             list(columns))
 
-    parts = in_arrow(encoded, run, "i long, j long, n long")
-    return parts.groupBy("i", "j").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    place = ["at"] if all(t.closed for t in (ranks, *tables)) else ["at", "i", "j"]
+    # several files to a task: the more text it counts, the fewer rows it sends for each word of it
+    files = encoded.rdd.getNumPartitions()
+    fewer = encoded.coalesce(max(files // 4, min(files, encoded.sparkSession.sparkContext.defaultParallelism)))
+    parts = in_arrow(fewer, run, ", ".join(f"{c} long" for c in [*place, "n"]))
+    counts = parts.groupBy(*place).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    i, j = F.shiftright("at", 31), F.col("at").bitwiseAND((1 << 31) - 1)
+    if len(place) > 1:
+        i, j = F.when(F.col("at") >= 0, i).otherwise(F.col("i")), F.when(F.col("at") >= 0, j).otherwise(F.col("j"))
+    return counts.select(i.alias("i"), j.alias("j"), "n")
 
 
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT,
@@ -277,12 +291,12 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_count:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], ["lang", "word", "n", "key"])
 
     words = in_arrow(counted.where(F.col("n") >= min_count), keyed, "lang string, word string, n long, key long")
-    ranks, level = _ranked(words.select("key", "n", "lang", F.col("word").alias("phrase"), F.col("word").alias("last")),
+    word_ranks, level = _ranked(words.select("key", "n", "lang", F.col("word").alias("phrase"), F.col("word").alias("last")),
                            max_ranked)
-    encoded = written(_encoded(docs, ranks, text, lang), "ids")
+    encoded = written(_encoded(docs, word_ranks, text, lang), "ids")
     out, tables = [level.select("lang", F.lit(1).alias("words"), "phrase", "n")], []
     for length in range(2, max_words + 1):
-        pairs = _pair_counts(encoded, tables, min_count)
+        pairs = _pair_counts(encoded, word_ranks, tables, min_count)
         left = level.select(F.col("id").alias("i"), "lang", F.col("phrase").alias("head"))
         right = level.select(F.col("id").alias("j"), "last")
         found = pairs.join(left, "i").join(right, "j").select(
