@@ -1,34 +1,28 @@
-"""Scaler statistics, class weights and the three baselines on pyspark.ml.
+"""Scaler statistics, class weights and the three baselines.
 
 Objective matching: scikit-learn's default L2 logistic regression minimises
-0.5*||w||^2 + C * sum_i s_i * loss_i with C = 1.  Spark minimises
-(sum_i s_i * loss_i) / sum_i s_i + regParam * 0.5*||w||^2.  With plain or
-balanced weights sum_i s_i = n, so ``regParam = 1/n`` gives the same
-optimum; ``standardization=False`` keeps Spark from penalising rescaled
-coefficients.  The scaler uses the *population* standard deviation, with
-divisor 1 for constant columns.
+0.5*||w||^2 + C * sum_i s_i * loss_i with C = 1.  The fit minimises
+(sum_i s_i * loss_i) / sum_i s_i + penalty * 0.5*||w||^2.  With plain or
+balanced weights sum_i s_i = n, so a penalty of 1/n gives the same optimum.
+The scaler uses the *population* standard deviation, with divisor 1 for
+constant columns.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe import config as C
 from duelframe.functions.exprs import class_label, long_rows
+from duelframe.operators import newton
 
-MAX_ITER = 1000
-TOL = 1e-8
-# A one-feature fit reaches the objective's floating-point floor by 1e-6
-# (its coefficients then equal a Newton solve to ~2e-7, the same as at 1e-12);
-# tighter tolerances only add failed line searches, i.e. extra data passes.
-TOL_ONE_FEATURE = 1e-6
+#: A fit ends when the Newton decrement (twice its loss above the minimum, per row) is below this squared.
+TOL = 1e-10
 
 
 def training_columns(columns: list[str]) -> list[str]:
@@ -145,60 +139,65 @@ def majority_baseline_split(view: DataFrame, target: str = "target", split: str
 
 # --- O73 / O74 / O77 / O78 / O79: logistic regression -----------------------------------
 
+def linear_statement(columns: list[str], weights: list[float], intercept: float, on_null: str = "error") -> str:
+    """SQLTransformer statement: margin, predicted class and P(class 1) of a linear model."""
+    quoted = lambda name: "`" + name.replace("`", "``") + "`"
+    terms = [f"CAST({quoted(c)} AS DOUBLE) * CAST({w!r} AS DOUBLE)" for c, w in zip(columns, weights)]
+    margin = " + ".join([f"CAST({intercept!r} AS DOUBLE)", *terms])
+    if on_null == "error":
+        margin = f"coalesce({margin}, CAST(raise_error('a feature of a scored row is NULL') AS DOUBLE))"
+    return (f"SELECT *, CAST(margin > 0 AS INT) AS prediction, 1.0D / (1.0D + exp(-margin)) AS score"
+            f" FROM (SELECT *, {margin} AS margin FROM __THIS__)")
+
+
 @dataclass
 class FittedModel:
+    """A scaler (optional) and a linear model, both as stages of public SQL transformers."""
+
     pipeline: PipelineModel
     feature_cols: list[str]
     n_train: int
+    weights: list[float] | None = None
+    intercept: float | None = None
+    passes: int = 0
 
-    @property
-    def lr(self):
-        return self.pipeline.stages[-1]
+    @classmethod
+    def declared(cls, feature_cols: list[str], weights: list[float], intercept: float = 0.0,
+                 scaler: Scaler | None = None, on_null: str = "error", n_train: int = 0, passes: int = 0) -> "FittedModel":
+        """A model of given coefficients (of the scaled features, if there is a scaler)."""
+        inputs = feature_cols if scaler is None else [scaler.scaled_name(c) for c in feature_cols]
+        stages = [] if scaler is None else [SQLTransformer(statement=scaler.statement())]
+        stages.append(SQLTransformer(statement=linear_statement(inputs, weights, intercept, on_null)))
+        return cls(PipelineModel(stages), feature_cols, n_train, list(weights), intercept, passes)
 
     def coefficients(self) -> list[float]:
-        return list(self.lr.coefficients.toArray())
+        if self.weights is None:
+            raise ValueError("a reloaded model scores rows; its coefficients are in the manifest")
+        return list(self.weights)
 
     def score(self, df: DataFrame, key: str = "bout_id") -> DataFrame:
         """key, split, target, prediction (0/1), score = P(class 1)."""
-        out = self.pipeline.transform(df)
-        return out.select(F.col(key), "split", "target",
-                          F.col("prediction").cast("int").alias("prediction"),
-                          vector_to_array(F.col("probability"))[1].alias("score"))
+        return self.pipeline.transform(df).select(F.col(key), "split", "target", "prediction", "score")
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(path)
 
 
 def fit_logistic(train: DataFrame, feature_cols: list[str], scaler: Scaler | None = None,
-                 balanced: bool = False, key: str = "bout_id",
-                 handle_invalid: str = "error", n_train: int | None = None,
-                 tol: float | None = None) -> FittedModel:
-    """Fit [optional scaler] -> assembler -> L2 logistic regression.
+                 balanced: bool = False, handle_invalid: str = "error", n_train: int | None = None,
+                 tol: float = TOL) -> FittedModel:
+    """Fit [optional scaler] -> L2 logistic regression by Newton steps, one pass over ``train`` each.
 
-    ``n_train`` (rows of ``train``) sets ``regParam = 1/n``; it is counted
-    when not supplied.  ``tol`` defaults to ``TOL``.
+    ``n_train`` (rows of ``train``) sets the penalty ``1/n``; it is counted
+    when not supplied.
     """
     n_train = n_train if n_train is not None else train.count()
-    stages = []
-    passthrough = [key, "split", "target"] + (["weight"] if balanced else [])
-    inputs = feature_cols
-    if scaler is not None:
-        stages.append(SQLTransformer(statement=scaler.statement()))
-        inputs = [scaler.scaled_name(c) for c in feature_cols]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features",
-                                  handleInvalid=handle_invalid))
-    lr = LogisticRegression(featuresCol="features", labelCol="label",
-                            regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
-                            standardization=False, maxIter=MAX_ITER,
-                            tol=TOL if tol is None else tol,
-                            fitIntercept=True)
-    if balanced:
-        lr.setWeightCol("weight")
     data = with_weights(train) if balanced else train
-    data = data.withColumn("label", F.col("target").cast("double"))
-    stages.append(lr)
-    model = Pipeline(stages=stages).fit(data.select(*passthrough, "label", *feature_cols))
-    return FittedModel(model, feature_cols, n_train)
+    found = newton.solve(data, feature_cols, F.col("target"), F.col("weight") if balanced else None,
+                         scaler.means if scaler else None, scaler.scales if scaler else None,
+                         penalty=1.0 / max(n_train, 1), tol=tol, on_null=handle_invalid)
+    return FittedModel.declared(feature_cols, found.coefficients, found.intercept, scaler, handle_invalid,
+                                n_train, found.passes)
 
 
 def coefficient_table(model: FittedModel) -> DataFrame:

@@ -351,12 +351,21 @@ def rule_status(s, d):
 DECLARED = {"odds_diff": 0.0001, "td_pct_diff": -0.5, "draws_diff": 0.03125, "is_male": 0.25, "wc_rank_diff": -0.0078125}
 
 
+def declared_model():
+    return mo.FittedModel.declared(list(DECLARED), list(DECLARED.values()))
+
+
 def declared_scores(s, d):
-    """Scoring with declared coefficients: margin and predicted class of the test side."""
-    test = P(s, d).test()
-    margin = sum((F.col(c) * F.lit(w) for c, w in DECLARED.items()), F.lit(0.0))
-    return fin(test.select("bout_id", "target", margin.alias("margin"), (margin > 0).cast("int").alias("prediction")),
-               ("margin",))
+    """The test side scored by a model of declared coefficients: predicted class and probability."""
+    scored = declared_model().score(P(s, d).test())
+    return fin(scored.select("bout_id", "target", "prediction", "score"), ("score",))
+
+
+def declared_coefficients(s, d):
+    """The largest declared coefficients of the features that the test side has."""
+    have = set(P(s, d).feature_cols())
+    kept = {c: w for c, w in DECLARED.items() if c in have}
+    return mo.top_coefficients(mo.FittedModel.declared(list(kept), list(kept.values())), 3)
 
 
 def declared_report(s, d):
@@ -369,8 +378,9 @@ def odds_baseline(s, d):
     p = P(s, d)
     m = p.odds_model()
     row = p.evaluate(p.odds_scored(), "Odds Only (LogReg)")
-    return row.select("*", F.lit(m.coefficients()[0]).alias("coefficient"),
-                      F.lit(float(m.lr.intercept)).alias("intercept"))
+    return fin(row.select("*", F.lit(m.coefficients()[0]).alias("coefficient"),
+                          F.lit(float(m.intercept)).alias("intercept")),
+               ("accuracy", "roc_auc", "coefficient", "intercept"))
 
 
 def logreg_baseline(s, d):
@@ -419,7 +429,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scaler_stats, standardized_features, class_weights, majority_baseline, eval_accuracy,
         eval_roc_auc, confusion_matrix, classification_report, missing_summary, vocab_unbounded,
         lenient_dates, text_date_quality,
-        split_text_key, rule_comparison, rule_summary, rule_status, declared_scores, declared_report, odds_baseline,
+        split_text_key, rule_comparison, rule_summary, rule_status, declared_scores, declared_report, declared_coefficients, odds_baseline,
         logreg_baseline, scored_bouts, top_coefficients, model_report, baseline_comparison,
         results_summary, metrics_report,
     ]

@@ -178,6 +178,33 @@ def _histogram() -> str:
     return feat_sql(body, f"long AS ({long})")
 
 
+NEWTON_STEPS = 8
+
+
+def _odds_baseline() -> str:
+    """The one-feature model by Newton steps unrolled, a statement each; converged after ``NEWTON_STEPS``."""
+    steps = ["s0 AS (SELECT 0.0::DOUBLE AS w, 0.0::DOUBLE AS b)"]
+    for k in range(NEWTON_STEPS):
+        steps.append(f"""s{k + 1} AS MATERIALIZED (
+            SELECT w - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS w,
+                   b - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b
+            FROM (SELECT any_value(w) AS w, any_value(b) AS b,
+                         avg((p - target) * x) + any_value(w) / count(*) AS g0, avg(p - target) AS g1,
+                         avg(p * (1 - p) * x * x) + 1.0::DOUBLE / count(*) AS h00, avg(p * (1 - p) * x) AS h01,
+                         avg(p * (1 - p)) AS h11
+                  FROM (SELECT odds_diff AS x, target, w, b, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(b + w * odds_diff))) AS p
+                        FROM train, s{k})))""")
+    last = f"s{NEWTON_STEPS}"
+    scored = f"""rule AS (SELECT bout_id, target, score, CAST(score > 0 AS INTEGER) AS prediction
+                          FROM (SELECT bout_id, target, b + w * odds_diff AS score FROM test, {last}))"""
+    body = AUC_BODY
+    return split_sql(
+        f"""SELECT 'Odds Only (LogReg)' AS model, {rnd('acc.accuracy')} AS accuracy, auc.roc_auc,
+                   {rnd('w')} AS coefficient, {rnd('b')} AS intercept FROM acc, auc, {last}""",
+        *steps, scored.replace("rule AS", "fitted AS"), f"auc AS ({body.replace('rule', 'fitted')})",
+        "acc AS (SELECT avg(CAST(prediction = target AS DOUBLE)) AS accuracy FROM fitted)")
+
+
 def build() -> dict[str, str]:
     s: dict[str, str] = {}
     s["scan_raw"] = with_ctes(RAW_STAR)
@@ -354,7 +381,13 @@ def build() -> dict[str, str]:
     declared = f"""declared AS (SELECT bout_id, target, margin, CAST(margin > 0 AS INTEGER) AS prediction
                                 FROM (SELECT bout_id, target, {margin} AS margin FROM test))"""
     s["declared_scores"] = split_sql(
-        f"SELECT bout_id, target, {rnd('margin')} AS margin, prediction FROM declared", declared)
+        f"SELECT bout_id, target, prediction, {rnd('1.0::DOUBLE / (1.0::DOUBLE + exp(-margin))')} AS score FROM declared",
+        declared)
+    s["declared_coefficients"] = split_sql(
+        "SELECT feature, coefficient, abs(coefficient) AS abs_coefficient FROM (VALUES "
+        + ", ".join(f"({lit(c)}, CAST({w!r} AS DOUBLE))" for c, w in DECLARED.items())
+        + ") v(feature, coefficient) WHERE EXISTS (SELECT 1 FROM test) ORDER BY abs_coefficient DESC, feature LIMIT 3")
+    s["odds_baseline"] = _odds_baseline()
     s["declared_report"] = _report("declared", declared)
     return s
 
