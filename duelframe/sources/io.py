@@ -7,9 +7,10 @@ reader therefore scans every column as a string, maps the tokens to NULL and
 failing the job under ANSI mode).  Between stages parquet is used.
 
 Quoted fields follow RFC 4180, as pandas writes and reads them: commas and
-doubled quotes inside quotes are text.  Line breaks inside quotes need
-``multi_line=True``, because such a file can't be split between tasks; without
-it a file with an open quote at a line's end is refused, never misread.
+doubled quotes inside quotes are text, and so is a quote within a plain field.
+Line breaks inside quotes need ``multi_line=True``, which finds the true record
+ends block by block (``csv_blocks``); without it a file with an open field at
+a line's end is refused, never misread.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from duelframe import config as C
 from duelframe.functions.exprs import as_date, lenient_date, nan_to_null
+from duelframe.sources.csv_blocks import CsvTextError, read_blocks
 
 
 def _is_na(c: Column) -> Column:
@@ -47,6 +49,7 @@ def normalize_raw(df: DataFrame, schema: T.StructType | None = None) -> DataFram
                 elif isinstance(target, T.DateType):
                     c = lenient_date(c)
                 else:
+                    c = _number(c)
                     # integral text such as "3.0" (pandas writes nullable ints as floats)
                     if isinstance(target, (T.IntegerType, T.LongType, T.ShortType)):
                         c = F.coalesce(c.try_cast(target), c.try_cast("double").try_cast(target))
@@ -58,22 +61,26 @@ def normalize_raw(df: DataFrame, schema: T.StructType | None = None) -> DataFram
     return df.select(*out)
 
 
-class CsvTextError(ValueError):
-    pass
+#: Text that is a number; a cast alone would take Java's suffixes (``1d``, ``2f``), too.
+NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity|nan)\s*$"
+
+
+def _number(c: Column) -> Column:
+    """``c`` where it is the text of a number, else NULL."""
+    return F.when(c.rlike(NUMBER), c)
 
 
 def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
-    """A line with an odd number of quotes belongs to a field with a line break."""
-    line = F.col("value")
-    bad = spark.read.text(path).agg(F.count_if(
-        (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1)).first()[0]
+    """A line in which a quoted field opens and does not close belongs to a field with a line break."""
+    closed = F.regexp_replace("value", '(^|(?<=,))"(?:[^"]++|"")*+"[^,]*+', "")
+    bad = spark.read.text(path).agg(F.count_if(F.col("value").contains('"') & closed.rlike('(^|,)"'))).first()[0]
     if bad:
         raise CsvTextError(f"{path}: {bad} lines end inside a quoted field; read it with multi_line=True")
 
 
-def _text_scan(spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+def _text_scan(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     reader = spark.read.option("header", True).option("emptyValue", "") \
-        .option("quote", '"').option("escape", '"').option("multiLine", multi_line) \
+        .option("quote", '"').option("escape", '"') \
         .option("nullValue", "\u0000never\u0000")
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType(), True) for n in names]))
@@ -96,8 +103,8 @@ def infer_schema(text: DataFrame) -> T.StructType:
         c = F.when(_is_na(c), F.lit(None).cast("string")).otherwise(F.trim(c))
         aggs += [F.count(c).alias(f"n{i}"),
                  F.count_if(F.lower(c).isin("true", "false")).alias(f"b{i}"),
-                 F.count_if(c.try_cast("bigint").isNotNull()).alias(f"i{i}"),
-                 F.count_if(c.try_cast("double").isNotNull()).alias(f"d{i}"),
+                 F.count_if(_number(c).try_cast("bigint").isNotNull()).alias(f"i{i}"),
+                 F.count_if(_number(c).try_cast("double").isNotNull()).alias(f"d{i}"),
                  F.count_if(lenient_date(c).isNotNull()).alias(f"t{i}")]
     row = text.agg(*aggs).first()
     fields = []
@@ -123,14 +130,35 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
                  multi_line: bool = False) -> DataFrame:
     """Raw contests from CSV with a header, typed by ``schema`` (inferred
     with one pass over the text when not given)."""
-    if not multi_line:
-        _refuse_open_quotes(spark, path)
+    if multi_line:
+        names = [f.name for f in schema.fields] if schema else _text_scan(spark, path).columns
+        text = read_blocks(spark, path, names, _ROW).drop(_ROW)
+        return normalize_raw(text, schema or infer_schema(text))
+    _refuse_open_quotes(spark, path)
     if schema is None:
-        schema = infer_schema(_text_scan(spark, path, multi_line=multi_line))
-    df = _text_scan(spark, path, [f.name for f in schema.fields], multi_line)
+        schema = infer_schema(_text_scan(spark, path))
+    df = _text_scan(spark, path, [f.name for f in schema.fields])
     return normalize_raw(df, schema)
 
 
+_ROW = "__row"
+
+
+def read_keyed_csv(spark: SparkSession, path: str | list[str], key: str = "bout_id",
+                   schema: T.StructType | None = None) -> DataFrame:
+    """Raw contests from one or many CSV files, keyed by the rows' order (path, then place) if they have no ``key``.
+
+    The key does not depend on split size, tasks or cores.
+    """
+    names = [f.name for f in schema.fields] if schema else _text_scan(spark, path).columns
+    text = read_blocks(spark, path, names, _ROW)
+    typed = normalize_raw(text.drop(_ROW), schema or infer_schema(text.drop(_ROW)))
+    if key in names:
+        return typed
+    full = T.StructType([T.StructField(_ROW, T.LongType()), *(schema or typed.schema).fields])
+    return normalize_raw(text, full).withColumnRenamed(_ROW, key)
+
+
 def with_row_key(df: DataFrame, key: str = "bout_id") -> DataFrame:
     """Add a row key when the input, a single file, has none.
 
@@ -149,9 +177,16 @@ def with_row_key(df: DataFrame, key: str = "bout_id") -> DataFrame:
 def read_contests(spark: SparkSession, path: str, fmt: str = "csv",
                   schema: T.StructType | None = None, key: str = "bout_id",
                   multi_line: bool = False) -> DataFrame:
-    """Raw contest table from CSV (typed, NA tokens handled) or parquet."""
+    """Raw contest table from CSV (typed, NA tokens handled) or parquet.
+
+    CSV rows without a key are numbered in file order, over several files too.
+    """
     if fmt == "csv":
-        df = read_raw_csv(spark, path, schema, multi_line)
+        if multi_line:
+            return read_keyed_csv(spark, path, key, schema)
+        df = read_raw_csv(spark, path, schema)
+        if key not in df.columns and len(df.inputFiles()) > 1:
+            return read_keyed_csv(spark, path, key, schema)
     else:
         df = normalize_raw(spark.read.parquet(path))
     return with_row_key(df, key)
