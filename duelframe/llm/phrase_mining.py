@@ -128,6 +128,7 @@ class Ranks:
 
 def _ranked(found: DataFrame, max_ranked: int) -> tuple[Ranks, DataFrame]:
     """Rank table of (key, n, ...) and ``found`` with the column ``id``."""
+    found = written(found, "frequent")  # counted once; read for the ranks and for the ids
     top = found.orderBy(F.desc("n"), "key").limit(max_ranked + 1).select("key").toArrow()["key"].to_numpy()
     closed = len(top) <= max_ranked
     top = top[:max_ranked].astype(np.int64)
