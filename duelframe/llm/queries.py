@@ -92,7 +92,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
     lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["b"] - r["a"])
     return cut.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"))
 
 
 def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
