@@ -66,8 +66,11 @@ NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infi
 
 
 def _number(c: Column) -> Column:
-    """``c`` where it is the text of a number, else NULL."""
-    return F.when(c.rlike(NUMBER), c)
+    """The text of ``c`` if it is a number's, else empty (no cast takes that).
+
+    ``c`` stands once in it: these expressions are nested for every column of a wide table.
+    """
+    return F.regexp_extract(c, NUMBER, 0)
 
 
 def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
