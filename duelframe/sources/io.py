@@ -49,12 +49,11 @@ def normalize_raw(df: DataFrame, schema: T.StructType | None = None) -> DataFram
                 elif isinstance(target, T.DateType):
                     c = lenient_date(c)
                 else:
-                    c = _number(c)
                     # integral text such as "3.0" (pandas writes nullable ints as floats)
                     if isinstance(target, (T.IntegerType, T.LongType, T.ShortType)):
-                        c = F.coalesce(c.try_cast(target), c.try_cast("double").try_cast(target))
+                        c = F.coalesce(c.try_cast(target), _number(c).try_cast("double").try_cast(target))
                     else:
-                        c = c.try_cast(target)
+                        c = _number(c).try_cast(target)
         if isinstance(target, (T.DoubleType, T.FloatType)):
             c = nan_to_null(c, target.simpleString())
         out.append(c.alias(name))
@@ -106,7 +105,7 @@ def infer_schema(text: DataFrame) -> T.StructType:
         c = F.when(_is_na(c), F.lit(None).cast("string")).otherwise(F.trim(c))
         aggs += [F.count(c).alias(f"n{i}"),
                  F.count_if(F.lower(c).isin("true", "false")).alias(f"b{i}"),
-                 F.count_if(_number(c).try_cast("bigint").isNotNull()).alias(f"i{i}"),
+                 F.count_if(c.try_cast("bigint").isNotNull()).alias(f"i{i}"),
                  F.count_if(_number(c).try_cast("double").isNotNull()).alias(f"d{i}"),
                  F.count_if(lenient_date(c).isNotNull()).alias(f"t{i}")]
     row = text.agg(*aggs).first()
