@@ -54,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_arrow
+from .common import in_arrow, written
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -510,8 +510,10 @@ def _draw(rows: DataFrame, plain: bool, most: int) -> tuple[list[tuple[list[list
 
     got = in_arrow(rows.select("__id", "__seed", "__text"), run,
                    "seed long, at long, features array<array<string>>, tags array<long>, n double")
-    first = (got.withColumn("hash", F.xxhash64("seed", "at")).orderBy("hash", "seed", "at", F.to_json("features"))
-             .limit(most).collect())
+    # written first: collected at once, every task would send as many to the driver
+    drawn = written(got.withColumn("hash", F.xxhash64("seed", "at")).withColumn("json", F.to_json("features"))
+                    .orderBy("hash", "seed", "at", "json").limit(most), "crf-pieces")
+    first = sorted(drawn.collect(), key=lambda r: (r["hash"], r["seed"], r["at"], r["json"]))
     return ([(r["features"], r["tags"], r["n"]) for r in first],
             _part(first[-1]["hash"]) if len(first) == most else 1.0)
 
