@@ -16,7 +16,11 @@ fitting rule wins.  The other pages follow their host:
 Only DataFrame functions are used.  Pages are reduced to hosts and distinct,
 weighted host edges first, combined map-side, so a host with a third of all
 pages is one row.  Each round is a join and a sum over host edges, trust and
-distrust together; tables are written to the shared folder every few rounds.
+distrust together; a table is written to the shared folder every few rounds.  Rounds go
+on until a table holds no host that the one before lacks and their masses, one
+of trust and one of distrust in all, differ by at most ``SETTLED`` in sum; a
+round shrinks that by the damping.  Mass at a host without edges onwards is
+lost.
 The hosts' verdicts are written and joined back to the pages: broadcast where
 their real size allows, else by a sort-merge join that splits crowded hosts.
 
@@ -38,7 +42,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (rule, verdict): a rule is a host and a path.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block"))
-DAMPING, ROUNDS, ROUNDS_PER_TABLE, THRESHOLD = 0.85, 12, 4, 0.5
+DAMPING, SETTLED, ROUNDS_PER_TABLE, THRESHOLD = 0.85, 1e-6, 8, 0.5
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?(?:https?:)?//([^/?#"'\s<>]+)"""
 
 
@@ -84,7 +88,7 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:
     """(host, trust, distrust) from edges (src, dst, weight) and seeds (host, allowed, blocked)."""
     way = [edges.select(F.lit(kind).alias("kind"), F.col(a).alias("src"), F.col(b).alias("dst"), "weight")
            for kind, a, b in (("trust", "src", "dst"), ("distrust", "dst", "src"))]
@@ -96,26 +100,31 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rou
     total = start.groupBy("kind").agg(F.sum("n").alias("total"))  # two rows
     start = written(start.join(F.broadcast(total), "kind").select(
         "kind", "host", (F.col("n") / F.col("total")).alias("mass")), "seeds")
-    mass = start
-    for i in range(rounds):
-        at = mass.select("kind", "host", "mass")
-        sent = (at.join(ways, (F.col("kind") == F.col("way")) & (F.col("host") == F.col("src")))
-                .select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass")))
-        mass = (sent.union(start.select("kind", "host", (F.col("mass") * (1 - damping)).alias("mass")))
-                .groupBy("kind", "host").agg(F.sum("mass").alias("mass")))
-        if (i + 1) % ROUNDS_PER_TABLE == 0 or i + 1 == rounds:
-            mass = written(mass, "trust")
+    mass, change, fresh = start, 1.0, 1
+    while fresh or change > settled:
+        before = mass
+        for _ in range(ROUNDS_PER_TABLE):
+            at = mass.select("kind", "host", "mass")
+            sent = (at.join(ways, (F.col("kind") == F.col("way")) & (F.col("host") == F.col("src")))
+                    .select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass")))
+            mass = (sent.union(start.select("kind", "host", (F.col("mass") * (1 - damping)).alias("mass")))
+                    .groupBy("kind", "host").agg(F.sum("mass").alias("mass")))
+        mass = written(mass, "trust")
+        old = before.select("kind", "host", F.col("mass").alias("old"))
+        change, fresh = mass.join(old, ["kind", "host"], "left").agg(  # hosts never leave
+            F.coalesce(F.sum(F.abs(F.col("mass") - F.coalesce("old", F.lit(0.0)))), F.lit(0.0)),
+            F.count_if(F.col("old").isNull())).first()
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)).alias(kind)
     return mass.groupBy("host").agg(of("trust"), of("distrust"))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url", html: str = "html",
-          threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+          threshold: float = THRESHOLD, settled: float = SETTLED) -> DataFrame:
     """``pages`` without html, with host, path, rule and verdict."""
     marked = parsed(pages.drop("host", "path", "rule", "by_rule", "verdict"), rules, url)
     seeds = marked.where("host <> ''").groupBy("host").agg(
         F.count_if(F.col("by_rule") == "allow").alias("allowed"), F.count_if(F.col("by_rule") == "block").alias("blocked"))
-    scores = propagated(host_edges(marked, html), seeds, rounds=rounds)
+    scores = propagated(host_edges(marked, html), seeds, settled=settled)
     bad = written(scores.where(F.col("distrust") > F.lit(threshold) * (F.col("trust") + F.col("distrust")))
                   .select(F.col("host").alias("__bad")), "bad-hosts")
     judged = marked.drop(html).join(bad, F.col("host") == F.col("__bad"), "left")

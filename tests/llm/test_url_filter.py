@@ -20,7 +20,7 @@ def by_rule(host, path, rules=U.RULES):
     return max(fits)[1:] if fits else (None, None)
 
 
-def brute(pages, rounds=U.ROUNDS):
+def brute(pages, rounds=200):
     """pages of (url, html) -> (host, path, rule, verdict)."""
     rows = [(*split(u), h) for u, h in pages]
     weight, names = Counter(), {h for h, _, _ in rows if h}
@@ -103,6 +103,16 @@ def test_without_seeds_or_rows(spark, pages):
     assert [r["verdict"] for r in got] == ["allow"] * len(pages)
 
 
+def test_a_long_chain_is_judged_to_its_end(spark):
+    pages = [(f"http://h{i}.net/", f'<a href="http://h{i + 1}.net/">') for i in range(45)] + [("http://h45.net/", '<a href="http://a.com/de/">')]
+    pages += [("http://a.com/de/x", ""), ("http://b.com/fr/x", '<a href="http://c0.net">')]
+    pages += [(f"http://c{i}.net/", f'<a href="http://c{i + 1}.net/">') for i in range(45)]
+    rows = [(i, u, h, None, None) for i, (u, h) in enumerate(pages)]
+    got = U.judge(spark.createDataFrame(rows, SCHEMA)).orderBy("page_id").collect()
+    assert [(r["host"], r["path"], r["rule"], r["verdict"]) for r in got] == brute(pages)
+    assert [r["verdict"] for r in got] == ["block"] * 47 + ["allow"] * 46
+
+
 def test_plan_has_no_python(spark):
     plan = queries.op7_url_filter(spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "InArrow"))
