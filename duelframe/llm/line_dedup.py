@@ -1,9 +1,11 @@
 """Site-relative line dedup: drop lines that stand on too large a share of a host's pages.
 
 Per host, the pages that hold a line (trimmed of spaces, blank lines apart)
-are divided by the host's pages in all.  A line above ``ratio`` that stands on
-at least ``min_pages`` pages is boilerplate and is dropped from every page of
-that host; all other lines stay, in order.
+are divided by the host's pages in all.  A line above ``ratio`` is boilerplate
+and is dropped from every page of that host; all other lines stay, in order.
+On a small host a single page exceeds any ratio, so there the ratio rises to
+``min_pages`` of the host's pages, to all of them on a host with fewer, and two
+pages at least.
 
 Only DataFrame functions are used.  Counting shuffles one digest per distinct
 line of a page, combined map-side, so a host with a third of all pages, or a
@@ -46,10 +48,11 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
     total = pages.groupBy("host").agg(F.count("*").alias("pages"))
     line = pages.select("host", F.explode(F.array_distinct(_keys(_lines(F.col("text"))))).alias("key"))
     seen = (line.where("key <> ''").groupBy("host", "key").agg(F.count("*").alias("n"))
-            .where(F.col("n") >= min_pages))
+            .where(F.col("n") >= min(min_pages, 2)))
     total = written(total, "host-pages").select(F.col("host").alias("of"), "pages")
     return (seen.join(total, F.col("host").eqNullSafe(F.col("of")))
             .where(F.col("n") > F.lit(ratio) * F.col("pages"))
+            .where(F.col("n") >= F.least(F.lit(min_pages), F.col("pages")))
             .groupBy("host").agg(F.collect_set("key").alias("drop")))
 
 

@@ -129,7 +129,7 @@ WITH numbered AS MATERIALIZED (
   SELECT s.source, s.key
   FROM (SELECT source, key, count(DISTINCT rn) AS n FROM lines WHERE key <> '' GROUP BY source, key) s
   JOIN pages p ON s.source IS NOT DISTINCT FROM p.source
-  WHERE s.n >= {line_dedup.MIN_PAGES} AND s.n > {line_dedup.RATIO}::DOUBLE * p.n
+  WHERE s.n >= greatest(2, least({line_dedup.MIN_PAGES}, p.n)) AND s.n > {line_dedup.RATIO}::DOUBLE * p.n
 ), marked AS (
   SELECT l.*, b.key IS NOT NULL AS dropped
   FROM lines l LEFT JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.key = b.key

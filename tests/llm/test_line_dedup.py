@@ -16,7 +16,7 @@ def brute(rows, ratio, least):
     out = []
     for h, t in rows:
         lines = [] if t is None else t.split("\n")
-        bad = lambda x: seen[h][x] >= least and seen[h][x] > ratio * pages[h]
+        bad = lambda x: seen[h][x] >= max(min(least, 2), min(least, pages[h])) and seen[h][x] > ratio * pages[h]
         kept = [x for x in lines if not x.strip(" ") or not bad(x.strip(" "))]
         out.append((None if t is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
     return out
@@ -38,6 +38,16 @@ def test_matches_brute_force_with_a_hot_host(spark):
     assert sum(w[2] for w in want) > 50
 
 
+def test_small_hosts(spark):
+    rows = [(100 * h + i, f"menu\n{h} {i}\n" + ("often\n" if i else ""), "en", f"host{h}", 1)
+            for h in range(40) for i in range(1 + h % 6)]
+    got = L.drop_boilerplate(spark.createDataFrame(rows, SCHEMA)).orderBy("doc_id").collect()
+    assert [(r["text"], r["n_lines"], r["n_dropped"]) for r in got] == brute([(r[3], r[1]) for r in rows], L.RATIO, L.MIN_PAGES)
+    for r in got:
+        pages = 1 + int(r["source"][4:]) % 6
+        assert ("menu" in r["text"]) == (pages == 1)  # on every page of a host with two or more
+
+
 def test_same_result_when_nothing_is_broadcast(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     one = sorted(map(str, L.drop_boilerplate(docs, ratio=0.02, min_pages=2).collect()))
