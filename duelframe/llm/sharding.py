@@ -8,8 +8,8 @@ dealt almost evenly, and adding or removing a shard moves little else.
 
 A row's key is hashed to a slot, and a join with the broadcast table places it
 in constant time without moving the row.  The table has ``size`` rows by
-construction, 1,601 unless the caller chooses otherwise (a hundred for each of
-16 shards, which keeps their shares within a percent) and at most
+construction, 4,099 unless the caller chooses otherwise (256 for each of 16
+shards, which keeps their shares within half a percent) and at most
 ``MOST_SLOTS``, so the broadcast cannot grow with the data.
 
 The key is the row's own id: a hot source is dealt over all shards.  Rows that
@@ -28,7 +28,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLOTS = 1601
+SLOTS = 4099
 MOST_SLOTS = 1 << 20
 DIGITS = 13  # 52 bits of an MD5 digest
 
