@@ -21,7 +21,11 @@ words is one shingle).  The steps:
     ``threshold``.
 
 ``RADIUS`` is set so that a similarity of 0.8 lies well inside: 64 random
-signs differ there in 9.7 places on average, 2.9 of standard deviation.
+signs differ there in 9.7 places on average, 2.9 of standard deviation.  That
+holds for shingles that differ.  An item with few different shingles (two words
+in turn) differs in 16 places on average, so items that repeat a shingle have
+the radius ``WIDE_RADIUS``; blocks are no help that far, and the fingerprints of
+those of one length are compared one by one.
 
 The benchmark is the stated query set.  It is taken in blocks of at most
 ``BLOCK_ITEMS`` items, whose words go to the tasks; documents are read once
@@ -53,6 +57,7 @@ from .common import in_arrow
 
 SHINGLE, THRESHOLD = 5, 0.8
 RADIUS, BLOCKS = 19, 4
+WIDE_RADIUS = 34
 BLOCK_ITEMS = 5000
 _WIDTH = 64 // BLOCKS
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -131,6 +136,11 @@ class Index:
         item = np.repeat(np.arange(len(self.ids)), keys.shape[1])
         order = np.argsort(keys.ravel(), kind="stable")
         self.keys, self.items = keys.ravel()[order], item[order]
+        #: window length -> items that repeat a shingle
+        self.repeating: dict[int, np.ndarray] = {}
+        again = [at for at, bag in enumerate(self.bags) if max(bag.values()) > 1]
+        for n in {int(self.length[at]) for at in again}:
+            self.repeating[n] = np.array([at for at in again if self.length[at] == n], np.int64)
 
     @staticmethod
     def _block_keys(fingerprints: np.ndarray, length: np.ndarray, block: int) -> np.ndarray:
@@ -151,6 +161,9 @@ class Index:
             item = self.items[at]
             bits = np.bitwise_count(fingerprints[row] ^ self.fingerprint[item])
             out.update(zip(row[bits <= RADIUS].tolist(), item[bits <= RADIUS].tolist()))
+        for item in self.repeating.get(length, np.zeros(0, np.int64)).tolist():
+            bits = np.bitwise_count(fingerprints ^ self.fingerprint[item])
+            out.update((row, item) for row in np.flatnonzero(bits <= WIDE_RADIUS).tolist())
         return out
 
     def _shared(self, words: list[bytes], codes: np.ndarray, k: int) -> np.ndarray:

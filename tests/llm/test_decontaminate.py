@@ -153,3 +153,28 @@ def test_text_shorter_than_the_item(spark):
     docs = spark.createDataFrame([(1, " ".join(x[3:])), (2, "clean")], "doc_id long, text string")
     bench = spark.createDataFrame([(7, " ".join(x))], "item_id long, text string")
     assert [r["doc_id"] for r in D.without_leaks(docs, bench).collect()] == [2]
+
+
+def test_items_that_repeat_shingles_at_the_threshold():
+    rng = random.Random(31)
+    items, texts = [], []
+    for i in range(400):
+        period = rng.choice([1, 2, 3])
+        base = [w + str(i) for w in words(rng, period).split(" ")]
+        item = [base[j % period] for j in range(rng.randrange(27, 50))]
+        edited = list(item)
+        for j in range(rng.randrange(0, 4)):  # at an end, so that few shingles change
+            edited[j if rng.random() < .5 else -1 - j] = f"new{j}"
+        items.append((i, " ".join(item)))
+        texts.append(f"{words(rng, 30)} {' '.join(edited)} {words(rng, 30)}")
+    index, near = D.Index(tuple(items)), 0
+    for i, (text, (_, item)) in enumerate(zip(texts, items)):
+        w, x = text.split(), item.split()
+        bag, best = Counter(zip(*(x[j:] for j in range(5)))), 0.0
+        for a in range(len(w) - len(x) + 1):
+            part = w[a:a + len(x)]
+            common = sum((Counter(zip(*(part[j:] for j in range(5)))) & bag).values())
+            best = max(best, common / (2 * (len(x) - 4) - common))
+        near += 0.8 <= best < 0.9
+        assert (i in index.matches(text, 0.8)) == (best >= 0.8), (text, item)
+    assert near > 50
