@@ -388,7 +388,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_bytes, removed, kept): the removed ranges, merged, and the bytes that stay."""
     keyed = _keyed(docs, doc_id, text)
     spans = written(repeated_spans(keyed, length, crowd), "spans").groupBy(
-        F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+        F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(F.collect_set(F.struct("a", "b")).alias("spans"))  # equal rows give equal spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
