@@ -18,7 +18,8 @@ runs a sort-merge join, whose crowded hosts it splits.
 Defined results: a null text stays null and has no lines; an empty text stays
 empty; pages without a host form a host of their own; a repeated row counts as
 a page of its own; a line that repeats within a page counts once and all its
-copies go; a text whose lines all go becomes empty.
+copies go; a text whose lines all go becomes empty.  Extra columns of any name pass
+through; a column named like the two counts is refused until they get other names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_name, written
 
 RATIO = 0.05
 MIN_PAGES = 5
@@ -62,16 +63,18 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
     """``docs`` with ``text`` cleaned, and the numbers of lines it had and lost."""
     if clash := {n_lines.lower(), n_dropped.lower()} & {c.lower() for c in docs.columns}:
         raise ValueError(f"the input already has {sorted(clash)}: pass other names")
+    of, gone, lines, keys, hit, left = (free_name(docs.columns, n) for n in (
+        "__of", "__drop", "__lines", "__keys", "__hit", "__kept"))
     drop = written(boilerplate(docs, host, text, ratio, min_pages), "boilerplate").select(
-        F.col("host").alias("__of"), F.col("drop").alias("__drop"))
-    keyed = (docs.join(drop, F.col(host).eqNullSafe(F.col("__of")), "left")
-             .withColumn("__lines", _lines(F.col(text))).withColumn("__keys", _keys(F.col("__lines")))
-             .withColumn("__hit", F.array_intersect("__keys", F.coalesce("__drop", F.array().cast("array<string>")))))
-    stay = F.filter(F.arrays_zip("__lines", "__keys"), lambda x: ~F.array_contains(F.col("__hit"), x["__keys"]))
-    kept = F.when(F.size("__hit") == 0, F.col("__lines")).otherwise(F.transform(stay, lambda x: x["__lines"]))
+        F.col("host").alias(of), F.col("drop").alias(gone))
+    keyed = (docs.join(drop, F.col(host).eqNullSafe(F.col(of)), "left")
+             .withColumn(lines, _lines(F.col(text))).withColumn(keys, _keys(F.col(lines)))
+             .withColumn(hit, F.array_intersect(keys, F.coalesce(gone, F.array().cast("array<string>")))))
+    stay = F.filter(F.arrays_zip(lines, keys), lambda x: ~F.array_contains(F.col(hit), x[keys]))
+    kept = F.when(F.size(hit) == 0, F.col(lines)).otherwise(F.transform(stay, lambda x: x[lines]))
     own = [F.col(f"`{c}`") for c in docs.columns]
-    return (keyed.withColumn("__kept", kept)
-            .select(*[F.array_join("__kept", "\n").alias(text) if c == text else col
+    return (keyed.withColumn(left, kept)
+            .select(*[F.array_join(left, "\n").alias(text) if c == text else col
                       for c, col in zip(docs.columns, own)],
-                    F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias(n_lines),
-                    F.coalesce(F.size("__lines") - F.size("__kept"), F.lit(0)).cast("long").alias(n_dropped)))
+                    F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(n_lines),
+                    F.coalesce(F.size(lines) - F.size(left), F.lit(0)).cast("long").alias(n_dropped)))

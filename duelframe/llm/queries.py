@@ -69,7 +69,8 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Per document: token count and digests of its ids and of the decoded bytes."""
-    back = byte_bpe.encode(docs.select("doc_id", "text"), VOCABULARY, PATTERN, decoded_as="decoded")
+    back = byte_bpe.encode(docs.select("doc_id", "text"), VOCABULARY, PATTERN, decoded_as="decoded",
+                           cut_at_spaces=True)
     return back.select("doc_id", F.expr("cast(octet_length(token_ids) div 4 as long)").alias("n_tokens"),
                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

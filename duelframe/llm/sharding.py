@@ -18,7 +18,8 @@ hot one can be salted by adding a second column.
 
 Defined results: null keys are hashed as the text ``\\N`` and so share a slot;
 repeated rows go to one shard; an empty table stays empty; extra columns pass
-through.  Shard names must be distinct and at least one.
+through, whatever their names, but for those of the two new columns, which are
+refused until these get other names.  Shard names must be distinct and at least one.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 SLOTS = 4099
 MOST_SLOTS = 1 << 20
 DIGITS = 13  # 52 bits of an MD5 digest
@@ -66,7 +69,8 @@ def place(df: DataFrame, shards: list[str], key: str | list[str] = "doc_id", siz
     keys = [key] if isinstance(key, str) else key
     text = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys])
     hashed = F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("long")
+    of = free_name([*df.columns, slot, shard], "__slot")
     table = F.broadcast(slot_table(df.sparkSession, shards, size)).select(
-        F.col("slot").alias("__slot"), F.col("shard").alias(shard))
+        F.col("slot").alias(of), F.col("shard").alias(shard))
     keyed = df.withColumn(slot, hashed % F.lit(size))
-    return keyed.join(table, F.col(slot) == F.col("__slot")).drop("__slot")
+    return keyed.join(table, F.col(slot) == F.col(of)).drop(of)

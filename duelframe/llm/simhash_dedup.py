@@ -24,7 +24,8 @@ anchor is crowded.
 
 Defined results: a null text is the empty text; texts without words have
 fingerprint zero and are linked like any other; a null id never names a group
-unless all ids of the group are null; repeated rows are one member each.
+unless all ids of the group are null; repeated rows are one member each.  Extra columns
+of any name stay in ``keep_one`` and are not read by the others.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_arrow, written
+from .common import free_name, in_arrow, written
 from .components import connected_components
 
 SEED = 42
@@ -188,12 +189,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
     candidates = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = candidates.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("key"), F.count("*").alias("n"))
     keys = written(chosen.select("key.doc_id", "key.text_key", (F.col("n") > 1).alias("repeated")), "kept")
-    keyed = docs.withColumn("__id", F.col(doc_id).cast("long")).withColumn("__key", F.xxhash64(text))
+    own_id, own_key = free_name(docs.columns, "__id"), free_name(docs.columns, "__key")
+    keyed = docs.withColumn(own_id, F.col(doc_id).cast("long")).withColumn(own_key, F.xxhash64(text))
 
     def of(rows: DataFrame) -> DataFrame:
-        hit = (keyed["__id"].eqNullSafe(rows["doc_id"])) & (keyed["__key"] == rows["text_key"])
+        hit = (keyed[own_id].eqNullSafe(rows["doc_id"])) & (keyed[own_key] == rows["text_key"])
         return keyed.join(rows, hit, "left_semi")
 
     once = of(keys.where("not repeated"))
-    again = of(keys.where("repeated")).dropDuplicates(["__id", "__key"])
-    return once.unionByName(again).drop("__id", "__key")
+    again = of(keys.where("repeated")).dropDuplicates([own_id, own_key])
+    return once.unionByName(again).drop(own_id, own_key)

@@ -26,7 +26,8 @@ their real size allows, else by a sort-merge join that splits crowded hosts.
 
 Defined results: a null URL, or one without ``://``, has empty host and path,
 fits no rule and is allowed; a null html has no links; repeated rows count as
-pages of their own; without seeds everything else is allowed.
+pages of their own; without seeds everything else is allowed.  Columns named host, path,
+rule or verdict are replaced by the results; all others but html pass through.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_name, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (rule, verdict): a rule is a host and a path.
@@ -60,14 +61,15 @@ def _fits(rule: str, host: Column, path: Column) -> Column:
     return ((host == of) | host.endswith("." + of)) & path.startswith(slash + rest)
 
 
-def parsed(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url") -> DataFrame:
-    """``pages`` with host, path, the rule that decides and its verdict (null where none fits)."""
+def parsed(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url",
+           by_rule: str = "by_rule") -> DataFrame:
+    """``pages`` with host, path, the rule that decides and, in ``by_rule``, its verdict (null where none fits)."""
     rows = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
     rule = verdict = F.lit(None).cast("string")
     for text, says in sorted(rules, key=lambda r: (len(r[0]), r[0])):  # the longest is asked first
         fits = _fits(text, F.col("host"), F.col("path"))
         rule, verdict = F.when(fits, text).otherwise(rule), F.when(fits, says).otherwise(verdict)
-    return rows.withColumn("rule", rule).withColumn("by_rule", verdict)
+    return rows.withColumn("rule", rule).withColumn(by_rule, verdict)
 
 
 def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -120,13 +122,14 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, set
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url", html: str = "html",
           threshold: float = THRESHOLD, settled: float = SETTLED) -> DataFrame:
-    """``pages`` without html, with host, path, rule and verdict."""
-    marked = parsed(pages.drop("host", "path", "rule", "by_rule", "verdict"), rules, url)
+    """``pages`` without html, with host, path, rule and verdict, which replace columns of these names."""
+    told, bad_host = free_name(pages.columns, "by_rule"), free_name(pages.columns, "__bad")
+    marked = parsed(pages.drop(*{"host", "path", "rule", "verdict"} - {url, html}), rules, url, told)
     seeds = marked.where("host <> ''").groupBy("host").agg(
-        F.count_if(F.col("by_rule") == "allow").alias("allowed"), F.count_if(F.col("by_rule") == "block").alias("blocked"))
+        F.count_if(F.col(told) == "allow").alias("allowed"), F.count_if(F.col(told) == "block").alias("blocked"))
     scores = propagated(host_edges(marked, html), seeds, settled=settled)
     bad = written(scores.where(F.col("distrust") > F.lit(threshold) * (F.col("trust") + F.col("distrust")))
-                  .select(F.col("host").alias("__bad")), "bad-hosts")
-    judged = marked.drop(html).join(bad, F.col("host") == F.col("__bad"), "left")
-    by_host = F.when(F.col("__bad").isNotNull(), "block").otherwise("allow")
-    return judged.withColumn("verdict", F.coalesce("by_rule", by_host)).drop("__bad", "by_rule")
+                  .select(F.col("host").alias(bad_host)), "bad-hosts")
+    judged = marked.drop(html).join(bad, F.col("host") == F.col(bad_host), "left")
+    by_host = F.when(F.col(bad_host).isNotNull(), "block").otherwise("allow")
+    return judged.withColumn("verdict", F.coalesce(told, by_host)).drop(bad_host, told)

@@ -12,7 +12,7 @@ from duelframe.llm import byte_bpe, queries
 
 @pytest.fixture(scope="module")
 def coder():
-    return byte_bpe.coder(queries.VOCABULARY, PATTERN)
+    return byte_bpe.coder(queries.VOCABULARY, PATTERN, cut_at_spaces=True)
 
 
 @pytest.fixture(scope="module")
