@@ -12,13 +12,16 @@ A builder writes to a folder of its own and then creates a small pointer file
 that names it.  Nothing is renamed or overwritten, so this also holds on
 object stores, where a rename copies objects one by one: readers follow the
 pointer, which exists only after the table is complete.  The first pointer
-wins; a later builder removes its own folder.
+wins; a later builder removes its own folder.  A pointer whose writer died
+before it wrote the name is empty: it is passed over, and the next builder
+uses the pointer with the next number.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from itertools import count
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -69,35 +72,46 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _published(spark: SparkSession, path: str) -> str | None:
-    """The complete table that the pointer names, if there is one."""
-    fs, pointer = _fs(spark, f"{path}/{POINTER}")
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
-    try:
-        name = bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-    return f"{path}/{name}" if name else None  # empty: its writer has not finished
+    """The complete table that the first pointer with a name points to, if there is one."""
+    for number in count():
+        fs, pointer = _fs(spark, _pointer(path, number))
+        if not fs.exists(pointer):
+            return None
+        stream = fs.open(pointer)
+        try:
+            name = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        if name:
+            return f"{path}/{name}"
+
+
+def _pointer(path: str, number: int) -> str:
+    return f"{path}/{POINTER}" + (f"-{number}" if number else "")
 
 
 def _publish(spark: SparkSession, df: DataFrame, path: str) -> str:
     """Write a table of its own, then point to it; the published table's path."""
     name = f"data-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(f"{path}/{name}")
-    fs, pointer = _fs(spark, f"{path}/{POINTER}")
-    try:
-        stream = fs.create(pointer, False)
-    except Py4JJavaError:  # another builder was first
-        own_fs, own = _fs(spark, f"{path}/{name}")
-        found = _published(spark, path)
-        if found is None:
-            raise
-        own_fs.delete(own, True)
-        return found
-    stream.writeBytes(name)
-    stream.close()
-    return f"{path}/{name}"
+    own_fs, own = _fs(spark, f"{path}/{name}")
+    for number in count():
+        fs, pointer = _fs(spark, _pointer(path, number))
+        try:
+            stream = fs.create(pointer, False)
+        except Py4JJavaError:
+            taken = fs.exists(pointer)
+            found = _published(spark, path)
+            if found or not taken:  # another builder was first, or the folder can't be written
+                own_fs.delete(own, True)
+            if found:
+                return found
+            if not taken:
+                raise
+            continue  # the pointer is empty
+        stream.writeBytes(name)
+        stream.close()
+        return f"{path}/{name}"
 
 
 def stage(spark: SparkSession, name: str, sf_dir: str, tables: list[str], build) -> DataFrame:

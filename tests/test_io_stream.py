@@ -89,6 +89,19 @@ def test_a_table_without_pointer_is_not_read(spark, tmp_path):
     assert _published(spark, str(tmp_path / "stage")) is None
 
 
+def test_a_pointer_of_a_dead_builder_is_passed_over(spark, tmp_path):
+    from duelframe.sources.stages import POINTER, _publish, _published
+    target = tmp_path / "stage"
+    target.mkdir()
+    (target / POINTER).write_text("")                          # two builders died before they wrote the name
+    (target / f"{POINTER}-1").write_text("")
+    first = _publish(spark, spark.range(5), str(target))
+    assert _publish(spark, spark.range(7), str(target)) == first == _published(spark, str(target))
+    assert spark.read.parquet(first).count() == 5
+    left = {p.name for p in target.iterdir() if not p.name.startswith(".")}
+    assert left == {POINTER, f"{POINTER}-1", f"{POINTER}-2", first.rsplit("/", 1)[1]}
+
+
 def test_stage_signature_follows_input_and_config(spark, tmp_path, monkeypatch):
     from duelframe import config
     from duelframe.sources import stages
@@ -128,14 +141,16 @@ def test_csv_text_as_pandas_reads_it(spark, tmp_path):
     assert read_raw_csv(spark, str(path)).toPandas().values.tolist() == pd.read_csv(path).values.tolist()
 
 
-def test_several_files_need_a_key(spark, tmp_path):
+def test_several_files_without_a_key_are_numbered_by_path_and_place(spark, tmp_path):
     import pytest
-    from duelframe.sources.io import read_contests
+    from duelframe.sources.io import read_contests, with_row_key
     for name, text in (("a.csv", "x\n1\n"), ("b.csv", "x\n2\n3\n")):
         (tmp_path / name).write_text(text)
-    with pytest.raises(ValueError, match="key"):
-        read_contests(spark, str(tmp_path))
+    got = read_contests(spark, str(tmp_path)).collect()
+    assert sorted((r["bout_id"], r["x"]) for r in got) == [(0, 1), (1, 2), (2, 3)]
     assert [r["bout_id"] for r in read_contests(spark, str(tmp_path / "b.csv")).collect()] == [0, 1]
+    with pytest.raises(ValueError, match="key"):  # an id that follows the scan would depend on its splits
+        with_row_key(spark.read.csv(str(tmp_path), header=True))
 
 
 def test_checkpoint_folder_only_local_masters_go_without(spark, monkeypatch):
