@@ -10,6 +10,7 @@
   from a bounded sample by hash; the bucket id is a balanced CASE tree.
 * ``kth_smallest`` / ``positions``: exact order statistics and exact places in
   a sorted order, from bucket counts, without sorting everything in one task.
+* ``top_counts``: the most frequent values, exact, without a shuffle of all values.
 * ``prefix_before``: exclusive running sums over a *small* ordered table
   (bucket totals), used to turn per-bucket counts into global offsets.
 """
@@ -30,21 +31,62 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+SKETCH_GROUPS = 32  # tasks that merge the sketches of one set of quantiles
+
+
 def quantile_edges(df: DataFrame, col: str, n_buckets: int,
                    accuracy: int = 10000) -> list:
     """Sorted distinct approximate quantile edges of ``col`` (bounded list).
 
-    One distributed aggregation; only ``n_buckets - 1`` scalars reach the
-    driver.
+    Tasks' sketches are merged in ``SKETCH_GROUPS`` groups by task, so no task
+    merges them all.  The groups' quantiles, weighted by the groups' rows, are
+    merged on the driver: ``SKETCH_GROUPS * (n_buckets - 1)`` numbers at most.
     """
     if n_buckets <= 1:
         return []
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col), probs, accuracy).alias("q")).first()
-    qs = row["q"] if row is not None else None
-    if not qs:
-        return []
-    return sorted({q for q in qs if q is not None})
+    groups = (df.select(F.col(col).alias("_v"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g"))
+              .where(F.col("_v").isNotNull()).groupBy("_g")
+              .agg(F.percentile_approx("_v", probs, accuracy).alias("q"), F.count(F.lit(1)).alias("n")).collect())
+    points = sorted((q, r["n"] / len(probs)) for r in groups for q in r["q"])
+    share = sum(r["n"] for r in groups) / n_buckets
+    edges, below = [], 0.0
+    for q, n in points:
+        below += n
+        while below >= share * (len(edges) + 1) and len(edges) < n_buckets - 1:
+            edges.append(q)
+    return sorted(set(edges))
+
+
+COUNT_BUCKETS = 1 << 16
+
+
+def top_counts(df: DataFrame, col: str, k: int, n_buckets: int = COUNT_BUCKETS) -> DataFrame:
+    """The ``k`` most frequent non-NULL values (value, n), ties to the smaller value; exact.
+
+    Counting every value shuffles a row per distinct value.  Here rows are
+    first counted per hash bucket (``n_buckets`` rows a task at most); a value
+    occurs no more often than its bucket.  Recounting the values of the ``k``
+    fullest buckets gives a k-th count that the answer can't fall below, so
+    only buckets that reach it are recounted for the answer.  With a few heavy
+    values that is a small part of the values; without, it is all of them.
+    """
+    value = F.col(col)
+    if df.schema[col].dataType.typeName() in ("double", "float"):
+        value = value + F.lit(0.0).cast(df.schema[col].dataType)  # -0.0 equals 0.0 but has another hash
+    rows = df.select(value.alias("value")).where(F.col("value").isNotNull()) \
+        .withColumn("_b", F.pmod(F.xxhash64("value"), F.lit(n_buckets)).cast("int"))
+    full = sorted(((r["n"], r["_b"]) for r in rows.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+
+    def counted(buckets: list[int]) -> DataFrame:
+        table = df.sparkSession.createDataFrame([(b,) for b in buckets], "_b int")
+        return (rows.join(F.broadcast(table), "_b", "left_semi")  # <= n_buckets rows
+                .groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+                .orderBy(F.col("n").desc(), F.col("value")).limit(k))
+
+    first = counted([b for _, b in full[:k]]).collect()
+    least = first[-1]["n"] if len(first) == k else 0
+    return counted([b for n, b in full if n >= least])
 
 
 EDGES = 255  # edges of one CASE tree

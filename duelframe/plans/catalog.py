@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from duelframe import config as C
 from duelframe.functions.exprs import lenient_date
+from duelframe.functions.ordering import top_counts
+from duelframe.operators import category_fit
 from duelframe.operators import evaluate as ev
 from duelframe.operators import features as fe
 from duelframe.operators import model as mo
@@ -347,6 +349,19 @@ def rule_status(s, d):
     return ev.results_status(row, p.majority(), row)
 
 
+def top_competitors(s, d):
+    """The ten Red competitors with most bouts, without a shuffle of all competitors."""
+    return top_counts(P(s, d).clean(), "RedFighter", 10)
+
+
+def competitor_effects(s, d):
+    """Coefficients of every Red competitor beside the odds, fitted on the train side."""
+    p = P(s, d)
+    fit = category_fit.solve(p.split().where("split = 'train'"), ["odds_diff"], F.col("RedFighter"), F.col("target"),
+                             penalty=1e-3, means=[0.0], scales=[100.0])
+    return fin(fit.categories, ("coefficient",))
+
+
 #: A declared linear model: feature -> coefficient.
 DECLARED = {"odds_diff": 0.0001, "td_pct_diff": -0.5, "draws_diff": 0.03125, "is_male": 0.25, "wc_rank_diff": -0.0078125}
 
@@ -431,6 +446,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lenient_dates, text_date_quality,
         split_text_key, rule_comparison, rule_summary, rule_status, declared_scores, declared_report, declared_coefficients, odds_baseline,
         logreg_baseline, scored_bouts, top_coefficients, model_report, baseline_comparison,
-        results_summary, metrics_report,
+        results_summary, metrics_report, top_competitors, competitor_effects,
     ]
 }

@@ -351,6 +351,9 @@ def build() -> dict[str, str]:
     s["vocab_unbounded"] = with_ctes(
         """SELECT bout_id, CAST(dense_rank() OVER (ORDER BY "RedFighter") - 1 AS BIGINT) AS position
            FROM bouts WHERE "RedFighter" IS NOT NULL""")
+    s["top_competitors"] = with_ctes(
+        """SELECT "RedFighter" AS value, count(*) AS n FROM bouts WHERE "RedFighter" IS NOT NULL
+           GROUP BY 1 ORDER BY n DESC, value LIMIT 10""")
     s["split_text_key"] = with_ctes(
         """SELECT bout_id, text_key, CASE WHEN row_number() OVER (ORDER BY "Date", text_key NULLS FIRST, bout_id)
                                                <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split
