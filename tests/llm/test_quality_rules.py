@@ -77,3 +77,21 @@ def test_odd_rows_and_labels(spark):
     none = Q.fit(docs, labels.limit(0))
     assert none.threshold == np.inf
     assert Q.judge(empty_docs(spark), Q.fit(empty_docs(spark), labels)).count() == 0
+
+
+def test_model_and_threshold_use_every_labelled_document(spark):
+    """More labelled documents than the 6,000 once sampled: all count in the leaves, the ranges and the threshold."""
+    rng = np.random.default_rng(1)
+    words = np.array(["the", "a.", "House", "river,", "42", "green", "walked", "stone;", "over", "night"])
+    texts = [" ".join(rng.choice(words, 55)) for _ in range(6500)]
+    texts += [" ".join(rng.choice(["#", "zz$", "&", "9|9", *words[:2 + i % 5]], 55)) for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 6500)) for i in range(len(texts))], "doc_id long, quality int")
+    forest = Q.fit(docs, labels)
+    x, good = np.array([Q.statistics(t)[1] for t in texts]), np.arange(len(texts)) < 6500
+    assert forest.rows == 6500
+    held = np.array([np.bincount(node, minlength=forest.column.shape[1]) for node in forest.leaves(x[good])])
+    assert np.array_equal(forest.counted(held).length, forest.length)
+    assert forest.threshold == Q.calibrated(forest.scores(x), good, 0.995) < np.inf
+    kept = {r["doc_id"]: r["kept"] for r in Q.judge(docs, forest).where("not base_failed").collect()}
+    assert all(kept[i] == (not s > forest.threshold) for i, s in enumerate(forest.scores(x)) if i in kept)
