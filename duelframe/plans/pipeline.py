@@ -84,7 +84,7 @@ class ContestPipeline:
         # groups by their Date statistics
         return self._m("raw", lambda: stage(
             self.spark, "raw", self.sf_dir, TABLES,
-            lambda: normalize_raw(fixtures.bouts(self.spark, self.sf_dir)).sortWithinPartitions("Date", "bout_id")))
+            lambda: normalize_raw(fixtures.bouts(self.spark, self.sf_dir, by_date=True))))
 
     def clean(self) -> DataFrame:
         if self._clean is not None:

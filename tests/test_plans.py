@@ -122,3 +122,34 @@ def test_split_bound_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(Date", plan(p.test()))
     assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(Date", plan(p.train()))
     assert p.train().count() + p.test().count() == p.split().count()
+
+
+def test_wide_plans_are_split_and_stages_take_smaller_tasks(spark):
+    from duelframe.session import SMALLER_TASKS, apply_defaults, smaller_tasks
+    apply_defaults(spark)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    was = [spark.conf.get(k) for k, _, _ in SMALLER_TASKS]
+    with smaller_tasks(spark):
+        assert [spark.conf.get(k) for k, _, _ in SMALLER_TASKS] == ["32m", "16m"]
+    assert [spark.conf.get(k) for k, _, _ in SMALLER_TASKS] == was
+    spark.conf.set(SMALLER_TASKS[0][0], "1000000")
+    try:
+        with smaller_tasks(spark):
+            assert spark.conf.get(SMALLER_TASKS[0][0]) == "1000000"
+        assert spark.conf.get(SMALLER_TASKS[0][0]) == "1000000"
+    finally:
+        spark.conf.unset(SMALLER_TASKS[0][0])
+
+
+def test_bouts_are_sorted_before_they_widen(spark):
+    """The sort of the raw stage holds the joined columns, not the hundred derived ones; the rows are the same."""
+    from conftest import SF0001
+    from duelframe.sources import fixtures
+    df = fixtures.bouts(spark, SF0001, by_date=True)
+    sort = df._jdf.queryExecution().optimizedPlan()
+    while sort.getClass().getSimpleName() != "Sort":
+        sort = sort.children().head()
+    assert sort.output().size() < 30 < len(df.columns)
+    parts = df.select("Date", "bout_id").rdd.glom().collect()
+    assert all(p == sorted(p) for p in parts)
+    assert df.exceptAll(fixtures.bouts(spark, SF0001)).count() == 0
