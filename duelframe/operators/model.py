@@ -10,8 +10,12 @@ constant columns.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -61,6 +65,38 @@ def scaler_stats(train: DataFrame, feature_cols: list[str]) -> DataFrame:
         .withColumn("scale", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
 
 
+def moments(train: DataFrame, feature_cols: list[str]) -> DataFrame:
+    """(at, mean, square): mean and mean squared deviation of the at-th feature, NULLs left out.
+
+    Tasks add up whole columns; a feature without values has no row.
+    """
+    d = len(feature_cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, spread = np.zeros(d), np.zeros(d), np.zeros(d)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(0).flatten()
+            x = column.to_numpy(zero_copy_only=False).reshape(-1, d)
+            there = column.is_valid().to_numpy(zero_copy_only=False).reshape(-1, d)
+            k = there.sum(axis=0).astype(float)
+            own = np.where(there, x, 0.0).sum(axis=0) / np.maximum(k, 1)
+            off = own - mean
+            spread += (np.where(there, x - own, 0.0) ** 2).sum(axis=0) + off ** 2 * n * k / np.maximum(n + k, 1)
+            mean += off * k / np.maximum(n + k, 1)
+            n += k
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(d, dtype=np.int32)), pa.array(n), pa.array(mean),
+                                          pa.array(spread)], ["at", "n", "m", "spread"])
+
+    parts = (train.select(F.array(*[F.col(f"`{c}`").cast("double") for c in feature_cols]).alias("x"))
+             .mapInArrow(run, "at int, n double, m double, spread double").where("n > 0"))
+    every = Window.partitionBy("at")  # a row per task
+    whole = parts.withColumn("mean", F.sum(F.col("n") * F.col("m")).over(every) / F.sum("n").over(every))
+    off = F.col("m") - F.col("mean")
+    return whole.groupBy("at", "mean").agg((F.sum(F.col("spread") + F.col("n") * off * off) / F.sum("n")).alias("square"))
+
+
 @dataclass
 class Scaler:
     feature_cols: list[str]
@@ -69,9 +105,9 @@ class Scaler:
 
     @classmethod
     def fit(cls, train: DataFrame, feature_cols: list[str]) -> "Scaler":
-        row = scaler_stats_wide(train, feature_cols).first()  # 2 x features scalars
-        means = [float(row[f"m{i}"] or 0.0) for i in range(len(feature_cols))]
-        scales = [float(row[f"s{i}"]) if row[f"s{i}"] else 1.0 for i in range(len(feature_cols))]
+        found = {r["at"]: r for r in moments(train, feature_cols).collect()}  # one row per feature
+        means = [float(found[i]["mean"]) if i in found else 0.0 for i in range(len(feature_cols))]
+        scales = [(math.sqrt(found[i]["square"]) or 1.0) if i in found else 1.0 for i in range(len(feature_cols))]
         return cls(feature_cols, means, scales)
 
     def scaled_name(self, c: str) -> str:
@@ -192,8 +228,12 @@ def fit_logistic(train: DataFrame, feature_cols: list[str], scaler: Scaler | Non
     when not supplied.
     """
     n_train = n_train if n_train is not None else train.count()
-    data = with_weights(train) if balanced else train
-    found = newton.solve(data, feature_cols, F.col("target"), F.col("weight") if balanced else None,
+    weight = None
+    if balanced:  # a number per class, so that a pass has no join
+        weight = F.lit(None).cast("double")
+        for r in class_weights(train).where("class is not null").collect():
+            weight = F.when(F.col("target") == r["class"], F.lit(r["weight"])).otherwise(weight)
+    found = newton.solve(train, feature_cols, F.col("target"), weight,
                          scaler.means if scaler else None, scaler.scales if scaler else None,
                          penalty=1.0 / max(n_train, 1), tol=tol, on_null=handle_invalid)
     return FittedModel.declared(feature_cols, found.coefficients, found.intercept, scaler, handle_invalid,

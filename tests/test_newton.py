@@ -74,3 +74,40 @@ def test_declared_model_scores_saves_and_refuses_nulls(spark, tmp_path):
             assert r.prediction == (margins[r.bout_id] > 0) and abs(r.score - 1 / (1 + np.exp(-margins[r.bout_id]))) < 1e-15
     with pytest.raises(Exception, match="scored row is NULL"):
         m.score(df.withColumn("a", F.lit(None).cast("double"))).collect()
+
+
+def test_features_are_built_once_and_the_packed_table_goes(spark):
+    """However many passes, every source row is evaluated once; nothing stays in the checkpoint folder."""
+    import os
+
+    from duelframe.session import ensure_checkpoint_dir
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 2))
+    y = (x[:, 0] + rng.normal(size=300) > 0).astype(int)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, t int")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    got = newton.solve(rows.mapInArrow(counted, rows.schema), ["a", "b"], F.col("t"), penalty=0.01)
+    assert got.passes > 2 and seen.value == 300
+    assert not [f for f in set(os.listdir(folder)) - before if f.startswith("duelframe-fit")]
+
+
+def test_moments_match_numpy_with_nulls(spark):
+    from duelframe.operators import model as mo
+    rng = np.random.default_rng(4)
+    x = rng.normal(1e6, 3, size=(500, 3))
+    x[:, 2] = 7
+    x[::9, 0] = np.nan
+    rows = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) + (None,) for r in x],
+                                 "a double, b double, c double, d double").repartition(5)
+    scaler = mo.Scaler.fit(rows, ["a", "b", "c", "d"])
+    assert np.allclose(scaler.means, [*np.nanmean(x, axis=0), 0.0], rtol=1e-14)
+    assert np.allclose(scaler.scales, [np.nanstd(x[:, 0]), x[:, 1].std(), 1.0, 1.0], rtol=1e-9)
+    assert mo.Scaler.fit(rows.limit(0), ["a"]).scales == [1.0]
