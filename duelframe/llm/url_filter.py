@@ -16,7 +16,10 @@ fitting rule wins.  The other pages follow their host:
 Only DataFrame functions are used.  Pages are reduced to hosts and distinct,
 weighted host edges first, combined map-side, so a host with a third of all
 pages is one row.  Each round is a join and a sum over host edges, trust and
-distrust together; a table is written to the shared folder every few rounds.  Rounds go
+distrust together; a table is written to the shared folder every few rounds.  The
+tasks of a round follow the rows of edges and seeds: with the session's shuffle
+partitions, a number that suits pages, each of some 90 rounds would write that many shuffle
+files for a few thousand hosts.  Rounds go
 on until a table holds no host that the one before lacks and their masses, one
 of trust and one of distrust in all, differ by at most ``SETTLED`` in sum; a
 round shrinks that by the damping.  Mass at a host without edges onwards is
@@ -44,6 +47,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block"))
 DAMPING, SETTLED, ROUNDS_PER_TABLE, THRESHOLD = 0.85, 1e-6, 8, 0.5
+ROWS_PER_TASK = 50_000
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?(?:https?:)?//([^/?#"'\s<>]+)"""
 
 
@@ -92,16 +96,23 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:
     """(host, trust, distrust) from edges (src, dst, weight) and seeds (host, allowed, blocked)."""
+    edges, seeds = written(edges, "edges"), written(seeds.where("allowed + blocked > 0"), "seeds")
+    tasks = max(1, -(-(edges.count() + seeds.count()) // ROWS_PER_TASK))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        few = tasks < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.coalesce(tasks) if few else df
+
     way = [edges.select(F.lit(kind).alias("kind"), F.col(a).alias("src"), F.col(b).alias("dst"), "weight")
            for kind, a, b in (("trust", "src", "dst"), ("distrust", "dst", "src"))]
     ways = way[0].union(way[1])
     out = ways.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
-    ways = written(ways.join(out, ["kind", "src"]).select(
-        F.col("kind").alias("way"), "src", "dst", (F.col("weight") / F.col("all")).alias("share")), "host-edges")
+    ways = dealt(written(dealt(ways.join(out, ["kind", "src"]).select(
+        F.col("kind").alias("way"), "src", "dst", (F.col("weight") / F.col("all")).alias("share"))), "host-edges"))
     start = seeds.select("host", F.expr("stack(2, 'trust', allowed, 'distrust', blocked) as (kind, n)")).where("n > 0")
     total = start.groupBy("kind").agg(F.sum("n").alias("total"))  # two rows
-    start = written(start.join(F.broadcast(total), "kind").select(
-        "kind", "host", (F.col("n") / F.col("total")).alias("mass")), "seeds")
+    start = dealt(written(dealt(start.join(F.broadcast(total), "kind").select(
+        "kind", "host", (F.col("n") / F.col("total")).alias("mass"))), "start"))
     mass, change, fresh = start, 1.0, 1
     while fresh or change > settled:
         before = mass
@@ -109,9 +120,9 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, set
             at = mass.select("kind", "host", "mass")
             sent = (at.join(ways, (F.col("kind") == F.col("way")) & (F.col("host") == F.col("src")))
                     .select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass")))
-            mass = (sent.union(start.select("kind", "host", (F.col("mass") * (1 - damping)).alias("mass")))
-                    .groupBy("kind", "host").agg(F.sum("mass").alias("mass")))
-        mass = written(mass, "trust")
+            mass = dealt(sent.union(start.select("kind", "host", (F.col("mass") * (1 - damping)).alias("mass")))
+                         .groupBy("kind", "host").agg(F.sum("mass").alias("mass")))
+        mass = dealt(written(mass, "trust"))
         old = before.select("kind", "host", F.col("mass").alias("old"))
         change, fresh = mass.join(old, ["kind", "host"], "left").agg(  # hosts never leave
             F.coalesce(F.sum(F.abs(F.col("mass") - F.coalesce("old", F.lit(0.0)))), F.lit(0.0)),

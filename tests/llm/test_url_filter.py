@@ -116,3 +116,19 @@ def test_a_long_chain_is_judged_to_its_end(spark):
 def test_plan_has_no_python(spark):
     plan = queries.op7_url_filter(spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "InArrow"))
+
+
+def test_rounds_of_a_small_graph_make_one_file(spark):
+    """Shuffle partitions that suit pages are not taken for a few hosts."""
+    held = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1.0) for i in range(20)], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("h0", 1, 0), ("h20", 0, 1)], "host string, allowed long, blocked long")
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        scores = U.propagated(edges, seeds, settled=0.5)
+        assert len(scores.inputFiles()) == 1 and scores.count() == 21
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
