@@ -81,10 +81,17 @@ def do_features(spark, args, clean: DataFrame | None = None) -> DataFrame:
     return feats
 
 
+def _typed(spark: SparkSession, args) -> DataFrame:
+    """Features from CSV, typed once: the training reads them in many passes, and each would parse the text again
+    in plans that hold the parsing of every column."""
+    typed = f"{args.output.rstrip('/')}/typed-features"
+    write_features(_read(spark, args).drop("year"), typed)
+    return read_features(spark, typed)
+
+
 def do_train(spark, args, feats: DataFrame | None = None) -> DataFrame:
     if feats is None:
-        csv = _fmt(args.input, args.format) == "csv"
-        feats = _read(spark, args).drop("year") if csv else read_features(spark, args.input)
+        feats = _typed(spark, args) if _fmt(args.input, args.format) == "csv" else read_features(spark, args.input)
     p = _pipeline(spark, args, features=feats)
     _show("dates", sp.date_quality(feats))
     _show("split", sp.split_summary(p.split()))

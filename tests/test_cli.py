@@ -43,6 +43,19 @@ def test_cli_run_matches_fixture_pipeline(spark, tmp_path, capsys):
     assert "[status of the full model]" in capsys.readouterr().out
 
 
+def test_features_csv_is_typed_once_for_the_training(spark, tmp_path):
+    path, out = str(tmp_path / "feats.csv"), str(tmp_path / "out")
+    with open(path, "w") as f:
+        f.write("bout_id,Date,target,odds_diff,year\n1,2020-01-02,1,3.5,2020\n2,NA,0,NA,NA\n3,2021-05-06,0,-1,2021\n")
+    args = cli.parser().parse_args(["train", "--input", path, "--output", out])
+    feats = cli._typed(spark, args)
+    assert feats.columns == ["bout_id", "Date", "target", "odds_diff"]
+    got = sorted((r["bout_id"], str(r["Date"]), r["target"], r["odds_diff"]) for r in feats.collect())
+    assert got == [(1, "2020-01-02", 1, 3.5), (2, "None", 0, None), (3, "2021-05-06", 0, -1.0)]
+    assert feats.inputFiles() and all(f.endswith(".parquet") for f in feats.inputFiles())
+    assert "regexp" not in feats._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_cli_eda_runs(spark, tmp_path, capsys):
     fixture = ContestPipeline(spark, SF0001, odds_direction=1)
     path = str(tmp_path / "raw.parquet")
