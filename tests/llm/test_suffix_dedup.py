@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import Counter
 
 from llm_data import SF, empty_docs, odd_docs
@@ -109,6 +110,27 @@ def test_query_matches_brute_force(spark):
         assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
+def test_shuffle_files_of_ended_steps_are_dropped(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = files.getAllFiles().iterator()
+        out = set()
+        while found.hasNext():
+            out.add(found.next().getName())
+        return {f for f in out if f.startswith("shuffle_")}
+
+    before = shuffles()
+    rng = random.Random(11)
+    docs = spark.createDataFrame(list(enumerate(mutated(rng, 50, letters=8, size=900))), "doc_id long, text string")
+    left = X.remove_repeats(docs, length=100)  # all steps but the last have run
+    end = time.time() + 20
+    while shuffles() - before and time.time() < end:
+        time.sleep(0.2)  # files go in the background
+    assert not shuffles() - before
+    assert left.count() == 50
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark).withColumnRenamed("lang", "gram").withColumnRenamed("source", "key")
     rows = docs.collect()
