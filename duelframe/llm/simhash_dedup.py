@@ -22,6 +22,11 @@ which bounds the links of the densest cluster by its size times a constant.
 The join by anchor is an ordinary sort-merge join, which Spark splits when an
 anchor is crowded.
 
+Tables with a row for each document, fingerprint or anchor are joined with the
+merge hint.  Spark would broadcast them by their compressed files' size, which
+says little about the rows: the anchors of 250,000 fingerprints, 61 rows of each,
+count as a few MB there and do not fit into a driver of 1 GB.
+
 Defined results: a null text is the empty text; texts without words have
 fingerprint zero and are linked like any other; a null id never names a group
 unless all ids of the group are null; repeated rows are one member each.  Extra columns
@@ -154,7 +159,8 @@ def links(classes: DataFrame, max_bits: int = 2, codes: tuple | None = None) ->
     near = in_arrow(classes.select("fp"), run, "anchor long, fp long, home boolean")
     # only the lookup, no hashing of texts, is repeated for the two sides
     at_home = near.where("home").select("anchor", F.col("fp").alias("a"))
-    return (at_home.join(near.select("anchor", F.col("fp").alias("b")), "anchor")
+    # the estimate of a map's size takes one row for each of its input's, here there are some 61
+    return (at_home.join(near.select("anchor", F.col("fp").alias("b")).hint("merge"), "anchor")
             .where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
             .select("a", "b"))
 
@@ -169,12 +175,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     marked = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = connected_components(links(classes, max_bits, codes))
-    linked = roots.join(classes, roots["node"] == classes["fp"]).select("root", "fp", "least")
+    linked = roots.join(classes.hint("merge"), roots["node"] == classes["fp"]).select("root", "fp", "least")
     of_root = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     groups = written(linked.join(of_root, "root").select("fp", "component_id", "root"), "groups")
-    named = classes.join(groups, "fp", "left").select(
+    named = classes.join(groups.hint("merge"), "fp", "left").select(
         "fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
-    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
+    named = written(named, "named")  # Spark splits a crowded fingerprint only in a join of two tables, not of three
+    return marked.join(named.hint("merge"), "fp").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

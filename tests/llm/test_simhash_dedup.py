@@ -130,6 +130,28 @@ def test_groups_that_share_their_smallest_id_keep_one_row_each(spark):
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(want)
 
 
+def joins_of(df):
+    """Kinds of joins and broadcasts as planned; what runs at last must have no other kinds."""
+    find = lambda: re.findall(r"\w+Join(?=[ (])|BroadcastExchange", df._jdf.queryExecution().executedPlan().toString())
+    planned = find()
+    df.collect()
+    assert set(find()) == set(planned)
+    return planned
+
+
+def test_tables_of_the_documents_size_are_not_broadcast(spark):
+    """These are small, so that without hints all would be, far below Spark's own threshold."""
+    docs = spark.createDataFrame([(i, f"some words {i % 40} that stand here", "en", "s", 1) for i in range(80)], SCHEMA)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        classes = S.written(S.fingerprints(docs).groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+        assert joins_of(S.links(classes)) == ["SortMergeJoin"]
+        assert joins_of(S.near_duplicates(docs)) == ["SortMergeJoin"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_linked_rows_without_ids_keep_one(spark):
     rng = random.Random(23)
     while True:  # two texts whose fingerprints are linked but differ
