@@ -201,7 +201,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
 
     def of(rows: DataFrame) -> DataFrame:
         hit = (keyed[own_id].eqNullSafe(rows["doc_id"])) & (keyed[own_key] == rows["text_key"])
-        return keyed.join(rows, hit, "left_semi")
+        return keyed.join(rows.hint("merge"), hit, "left_semi")
 
     once = of(keys.where("not repeated"))
     again = of(keys.where("repeated")).dropDuplicates([own_id, own_key])

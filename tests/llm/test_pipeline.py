@@ -3,7 +3,7 @@ from llm_data import SCHEMA, SF, empty_docs, odd_docs
 from test_decontaminate import brute as leaks
 from test_line_dedup import brute as boilerplate
 from test_quality_rules import brute as counts
-from test_simhash_dedup import brute_fingerprint, brute_groups
+from test_simhash_dedup import brute_fingerprint, brute_groups, joins_of
 
 import corpus_pipeline as C
 from duelframe.llm import line_dedup, queries
@@ -52,6 +52,16 @@ def test_stages_keep_columns_and_take_odd_rows(spark, k):
             assert rows == 0
 
 
+def test_near_duplicate_stage_broadcasts_no_list_of_documents(spark):
+    docs = spark.createDataFrame([(i, f"some words {i % 40} that stand here", "en", "s", 1) for i in range(80)], SCHEMA)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        assert joins_of(C.near_duplicates(spark, docs, SF)) == ["SortMergeJoin"] * 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_line_stage_updates_n_chars(spark):
     rows = [(i, f"same line\nown line {i}", "en", "s", 99) for i in range(20)]
     out = C.lines(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()
